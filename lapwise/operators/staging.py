@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,8 @@ def stage(df: DataFrame) -> DataFrame:
     """Compute once and keep in shared storage: later readers do not repeat the work, lost executors cost nothing."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder path in the same shared storage."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
