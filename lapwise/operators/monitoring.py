@@ -73,7 +73,7 @@ def table_record(
     record = df.agg(rows.alias("row_count"), (size / (1 << 20)).alias("size_mb"), parts.alias("partitions"))
     score = quality.select("pass_rate").scalar() if quality is not None else F.lit(None).cast("double")
     return record.select(
-        F.lit(name).alias("table_name"), F.lit(at).alias("recorded"), "row_count", "size_mb", "partitions",
+        F.lit(name).alias("table_name"), _clock(at).alias("recorded"), "row_count", "size_mb", "partitions",
         score.alias("quality_score"),
     )
 
@@ -109,17 +109,18 @@ def table_summary(latest: DataFrame) -> DataFrame:
     )
 
 
-def _hours_before(as_of: dt.datetime, hours: int) -> Column:
-    return F.lit(as_of - dt.timedelta(hours=hours))
+def _clock(as_of: dt.datetime, hours_before: int = 0) -> Column:
+    """A wall-clock time, free of any time zone."""
+    return F.lit((as_of - dt.timedelta(hours=hours_before)).isoformat(" ")).cast("timestamp_ntz")
 
 
 def stale_tables(latest: DataFrame, as_of: dt.datetime, hours: int = STALE_HOURS) -> DataFrame:
-    return latest.filter(F.col("recorded") < _hours_before(as_of, hours))
+    return latest.filter(F.col("recorded") < _clock(as_of, hours))
 
 
 def health(runs: DataFrame, latest: DataFrame, as_of: dt.datetime) -> DataFrame:
     """One row for the 24 hours before ``as_of``."""
-    recent = runs.filter((F.col("started") >= _hours_before(as_of, 24)) & (F.col("started") <= F.lit(as_of)))
+    recent = runs.filter(F.col("started").between(_clock(as_of, 24), _clock(as_of)))
     stale = stale_tables(latest, as_of).agg(F.count(F.lit(1))).scalar()
     rate = F.col("failure_rate")
     return (

@@ -53,7 +53,7 @@ def _row(spec: CheckSpec, total: Column, bad: Column, pct: Column, status: Colum
 def _percent_row(spec: CheckSpec, total: Column, bad: Column, warn_pct: float, what: str) -> Column:
     pct = F.coalesce(F.try_divide(bad * 100.0, total.cast("double")), F.lit(0.0))
     status = _status(pct, spec.threshold, pct > warn_pct)
-    return _row(spec, total, bad, pct, status, F.format_string(f"%d {what} (%.2f%%)", bad.cast("long"), pct))
+    return _row(spec, total, bad, pct, status, F.format_string(f"%d {what} in %d rows", bad.cast("long"), total))
 
 
 def _problem(df: DataFrame, spec: CheckSpec) -> str | None:
@@ -77,7 +77,7 @@ def _measure(df: DataFrame, spec: CheckSpec, i: int) -> Column:
     if spec.kind == "range_check":
         return F.count_if(~F.coalesce(F.expr(spec.condition), F.lit(False))).alias(f"m{i}")
     if spec.kind == "freshness_check":
-        return F.max(F.col(spec.columns[0]).cast("timestamp")).alias(f"m{i}")
+        return F.max(F.col(spec.columns[0]).cast("timestamp_ntz")).alias(f"m{i}")
     return F.count(F.lit(1)).alias(f"m{i}")
 
 
@@ -154,7 +154,7 @@ def run_checks(
 
     ``warn_pct`` is the share of bad rows a layer tolerates before it warns; ``as_of`` is the clock of freshness.
     """
-    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    now = F.lit(as_of.isoformat(" ")).cast("timestamp_ntz") if as_of else F.localtimestamp()
     broken = {s.name: _problem(df, s) for s in specs}
     sound = [s for s in specs if broken[s.name] is None]
     parts: list[DataFrame] = []

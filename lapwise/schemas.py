@@ -7,8 +7,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "INT": T.IntegerType(),
+    "LONG": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def _schema(text: str) -> T.StructType:
+    """``name TYPE, ...`` without a session, so the module can be imported before one exists."""
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 RAW = {

@@ -20,11 +20,16 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
 
 
 def merged(
-    target: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str] | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update_columns: list[str] | None = None,
+    newer_by: list[str] | None = None,
 ) -> DataFrame:
     """Target after the upsert: matched rows take ``update_columns`` (default: all) from the source, the rest of
     the source is inserted, the rest of the target stays. Null source values overwrite as well. Keys are unique on
-    both sides, so the join has no hot key."""
+    both sides, so the join has no hot key. With ``newer_by`` a matched row changes only if the source row is not
+    older than the target row in these columns, so batches may arrive in any order."""
     columns = target.columns
     updated = [c for c in columns if c not in keys] if update_columns is None else update_columns
     old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in columns if c not in keys], F.lit(1).alias("_old"))
@@ -35,8 +40,13 @@ def merged(
         F.lit(1).alias("_new"),
     )
 
+    matched = F.col("_new").isNotNull()
+    if newer_by:
+        sides = [F.struct(*[F.col(f"{side}_{c}").alias(c) for c in newer_by]) for side in ("_new", "_old")]
+        matched = matched & (F.col("_old").isNull() | (sides[0] >= sides[1]))
+
     def value(name: str):
-        take_new = F.col("_new").isNotNull() if name in updated else F.col("_old").isNull()
+        take_new = matched if name in updated else F.col("_old").isNull()
         return F.when(take_new, F.col(f"_new_{name}")).otherwise(F.col(f"_old_{name}")).alias(name)
 
     return old.join(new, keys, "full_outer").select(*[F.col(c) if c in keys else value(c) for c in columns])
@@ -66,6 +76,7 @@ def upsert_partitions(
     keys: list[str],
     partition_by: str,
     update_columns: list[str] | None = None,
+    newer_by: list[str] | None = None,
 ) -> None:
     """Upsert that rewrites only the partitions the source touches.
 
@@ -75,7 +86,7 @@ def upsert_partitions(
     require_unique(source, keys)
     values = [row[0] for row in source.select(partition_by).distinct().collect()]
     touched = read_table(spark, path).filter(F.col(partition_by).isin(values))
-    rows = stage(merged(touched, source, list(dict.fromkeys([*keys, partition_by])), update_columns))
+    rows = stage(merged(touched, source, list(dict.fromkeys([*keys, partition_by])), update_columns, newer_by))
     rows.repartitionByRange(partition_by, *keys).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition_by).parquet(path)
