@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["silver", "gold", "reports", "storage", "quality"]
+AREAS = ["silver", "gold", "reports", "storage", "quality", "learning"]
 
 
 def collect(attribute: str) -> dict:
