@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["silver", "gold", "reports", "storage", "quality", "learning"]
+AREAS = ["silver", "gold", "reports", "storage", "quality", "learning", "kpis"]
 
 
 def collect(attribute: str) -> dict:
