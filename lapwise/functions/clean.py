@@ -75,6 +75,13 @@ def within_or_null(column: Column, bounds: tuple[int, int]) -> Column:
     return column.isNull() | column.between(*bounds)
 
 
+def whole_within_or_null(column: Column, bounds: tuple[int, int]) -> Column:
+    """The same for whole numbers as one membership test: a parsed column is then evaluated once per row, also
+    after the optimizer has moved the filter below the parsing."""
+    low, high = bounds
+    return F.coalesce(column, F.lit(low)).isin(*range(low, high + 1))
+
+
 def flag(test: Column) -> Column:
     """A boolean with null counted as false."""
     return F.coalesce(test, F.lit(False))

@@ -1,4 +1,4 @@
-"""Reliable intermediate results."""
+"""Reliable intermediate results in shared storage."""
 
 from __future__ import annotations
 
@@ -12,20 +12,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    current = context.getCheckpointDir()
-    if named and not current:
-        context.setCheckpointDir(named)
-    elif not named and not current:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lapwise-checkpoint-"))
+    if named:
+        return named
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lapwise-"))
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Compute once and keep in shared storage: later readers do not repeat the work, lost executors cost nothing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder path in the same shared storage."""
+    """A new folder path in that storage."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table and read it from there.
+
+    Later readers repeat none of the work, read only the columns they need, and lose nothing with an executor.
+    """
+    path = scratch(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -81,7 +81,7 @@ def cleaned_results(results: DataFrame) -> DataFrame:
         }
     )
     return typed.filter(
-        clean.within_or_null(F.col("position"), C.POSITION_RANGE)
+        clean.whole_within_or_null(F.col("position"), C.POSITION_RANGE)
         & clean.within_or_null(F.col("points"), C.POINTS_RANGE)
         & clean.within_or_null(F.col("laps"), C.LAPS_RANGE)
     ).withColumns(

@@ -247,9 +247,9 @@ def _quarantined(b: Binding) -> DataFrame:
 
 
 def _dead_letters(b: Binding) -> DataFrame:
-    path, side = scratch(b.spark, "valid"), scratch(b.spark, "quarantine")
-    writers.write_with_quarantine(silver.cleaned_results(b.results()), RULES, path, side)
-    good, bad = readers.read_table(b.spark, path), readers.read_table(b.spark, side)
+    good, bad = writers.write_with_quarantine(
+        silver.cleaned_results(b.results()), RULES, scratch(b.spark, "checked-results")
+    )
     return (
         good.withColumn("valid", F.lit(True))
         .unionByName(bad.drop("reject_reason").withColumn("valid", F.lit(False)))

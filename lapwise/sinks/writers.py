@@ -79,11 +79,14 @@ def quarantine(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFra
     return marked.filter("reject_reason = ''").drop("reject_reason"), marked.filter("reject_reason <> ''")
 
 
-def write_with_quarantine(df: DataFrame, rules: dict[str, str], path: str, reject_path: str) -> None:
-    """Write rows that keep all rules and, to a side path, those that break one."""
-    good, bad = quarantine(df, rules)
-    good.write.mode("overwrite").parquet(path)
-    bad.write.mode("overwrite").parquet(reject_path)
+def write_with_quarantine(df: DataFrame, rules: dict[str, str], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write both sides in one pass, to ``path/rejected=false`` and the side path ``path/rejected=true``, and
+    return them as read from there: the rows to go on with and the rejected ones with their reasons."""
+    marked = checked(df, rules).withColumn("rejected", F.col("reject_reason") != "")
+    marked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    good = stored.filter(~F.col("rejected")).drop("rejected", "reject_reason")
+    return good, stored.filter("rejected").drop("rejected")
 
 
 def retained(df: DataFrame, date_column: str, days: int, as_of: dt.date) -> DataFrame:
