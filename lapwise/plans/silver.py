@@ -102,7 +102,11 @@ def race_facts(results: DataFrame, races_: DataFrame) -> DataFrame:
 def performance(
     results: DataFrame, races_: DataFrame, drivers_: DataFrame, constructors_: DataFrame
 ) -> DataFrame:
-    """Star join of results with its dimensions, each cut to the columns it adds, so no name is ambiguous."""
+    """Star join of results with its dimensions, each cut to the columns it adds, so no name is ambiguous.
+
+    The load time of the results, when they have one, stays for freshness checks and incremental loads.
+    """
+    loaded = [c for c in ["ingestion_timestamp"] if c in results.columns]
     race = races_.select("raceId", "year", "round", "name", "circuitId")
     driver = drivers_.select("driverId", "forename", "surname", "nationality")
     team = constructors_.select("constructorId", "constructorName", "constructorNationality")
@@ -117,6 +121,7 @@ def performance(
             *race.columns[1:],
             *driver.columns[1:],
             *team.columns[1:],
+            *loaded,
         )
     )
 

@@ -7,7 +7,7 @@ import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,9 +118,14 @@ def probe(spark: SparkSession, specs: list[TableSpec], base: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [facts(spec) for spec in specs])
 
 
+def _clock(at: dt.datetime | None) -> Column:
+    """A given wall-clock time of the session time zone, or now."""
+    return F.lit(at.isoformat(" ")).cast("timestamp") if at else F.current_timestamp()
+
+
 def audited(df: DataFrame, batch_id: int, at: dt.datetime | None = None) -> DataFrame:
     """Load time, load date and one batch id for all rows of the load."""
-    now = F.lit(at) if at else F.current_timestamp()
+    now = _clock(at)
     return df.withColumns(
         {
             "ingestion_timestamp": now,
@@ -131,7 +136,7 @@ def audited(df: DataFrame, batch_id: int, at: dt.datetime | None = None) -> Data
 
 
 def updated(df: DataFrame, at: dt.datetime | None = None) -> DataFrame:
-    now = F.lit(at) if at else F.current_timestamp()
+    now = _clock(at)
     return df.withColumns({"last_updated_timestamp": now, "last_updated_date": now.cast("date")})
 
 
