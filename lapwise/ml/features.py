@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.operators.running import framed
+from lapwise.operators.running import framed, largest_group
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
 
@@ -162,15 +162,20 @@ def lap_features(
         .join(drivers.select("driverId", "dob"), "driverId", "left")
         .join(places, ["raceId", "driverId"], "left")
     )
+    # Bounds from the laps alone: the joins above keep or drop laps, they never add any.
+    per_race = laps.groupBy("raceId").count()
+    per_circuit = per_race.join(race, "raceId").groupBy("circuitId").agg(F.sum("count").alias("n"))
+    driver_rows = largest_group(laps, ["driverId"])
+    circuit_rows = per_circuit.agg(F.max("n")).first()[0] or 0
     by_driver = framed(
         joined, ["driverId"], [F.asc("raceId"), F.asc("lap")], 5, -1,
         {"driver_avg_lap_time_recent": F.avg("milliseconds")},
-        splits=[c("raceId"), F.floor(c("lap") / 1000)], max_group_rows=max_group_rows,
+        splits=[c("raceId"), F.floor(c("lap") / 1000)], max_group_rows=max_group_rows, group_rows=driver_rows,
     )
     both = framed(
         by_driver, ["circuitId"], [F.asc("raceId"), F.asc("lap"), F.asc("driverId")], 10, -1,
         {"circuit_avg_lap_time_recent": F.avg("milliseconds")},
-        splits=[c("raceId"), c("lap")], max_group_rows=max_group_rows,
+        splits=[c("raceId"), c("lap")], max_group_rows=max_group_rows, group_rows=circuit_rows,
     )
     region_is = lambda name: c("circuit_region") == name
     street = c("name").rlike(C.STREET_PATTERN)

@@ -21,6 +21,11 @@ RUN_SCHEMA = (
     "seconds DOUBLE, error STRING"
 )
 
+TABLE_SCHEMA = (
+    "table_name STRING, recorded TIMESTAMP_NTZ, row_count BIGINT, size_mb DOUBLE, partitions BIGINT, "
+    "quality_score DOUBLE"
+)
+
 UNHEALTHY_PERCENT = 20
 WARNING_PERCENT = 10
 LONG_RUN_SECONDS = 3600

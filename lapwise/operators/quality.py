@@ -27,6 +27,11 @@ class CheckSpec:
     expected: T.StructType | None = None
 
 
+RESULT_SCHEMA = (
+    "check_name STRING, check_type STRING, column STRING, status STRING, total_rows BIGINT, bad_rows BIGINT, "
+    "bad_pct DOUBLE, message STRING"
+)
+
 STALE_HOURS = 24
 ONE_PASS = ("null_check", "range_check", "freshness_check", "row_count_check")
 KINDS = (*ONE_PASS, "duplicate_check", "schema_check")
@@ -166,11 +171,7 @@ def run_checks(
     unsound = [s for s in specs if broken[s.name] is not None]
     if unsound:
         rows = [(s.name, s.kind, ",".join(s.columns), "FAIL", None, None, None, broken[s.name]) for s in unsound]
-        ddl = (
-            "check_name STRING, check_type STRING, column STRING, status STRING, total_rows BIGINT, "
-            "bad_rows BIGINT, bad_pct DOUBLE, message STRING"
-        )
-        parts.append(df.sparkSession.createDataFrame(rows, ddl))
+        parts.append(df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -32,15 +32,17 @@ def running_totals(
     totals: dict[str, Column],
     splits: list[Column],
     max_group_rows: int | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add running sums (current row included) of integer columns per group, in ``order``.
 
     ``totals`` maps each new column to the integer it sums; ``F.lit(1)`` gives a row number. ``splits`` cut
     the order into cells, coarse to fine; each must be non-decreasing along ``order`` within the ones before.
+    ``group_rows`` is an upper bound of the largest group where the caller knows one without counting ``df``.
     Key and split columns must not be null, and ``order`` must be total for a repeatable result.
     """
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if largest_group(df, keys) <= limit:
+    if (largest_group(df, keys) if group_rows is None else group_rows) <= limit:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(upto) for name, value in totals.items()})
 
@@ -82,9 +84,10 @@ def row_numbers(
     name: str,
     splits: list[Column],
     max_group_rows: int | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add a row number per group in ``order``."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, splits, max_group_rows)
+    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, splits, max_group_rows, group_rows)
 
 
 def framed(
@@ -97,6 +100,7 @@ def framed(
     splits: list[Column],
     max_group_rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add aggregates over the frame of rows ``-preceding .. following`` per group, ``following`` <= 0.
 
@@ -106,11 +110,12 @@ def framed(
     if following > 0 or preceding > block_rows:
         raise ValueError("the frame must end at or before the current row and fit in a block")
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if largest_group(df, keys) <= limit:
+    largest = largest_group(df, keys) if group_rows is None else group_rows
+    if largest <= limit:
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-preceding, following)
         return df.withColumns({name: agg.over(frame) for name, agg in frames.items()})
 
-    numbered = row_numbers(df, keys, order, "_n", splits, limit)
+    numbered = row_numbers(df, keys, order, "_n", splits, limit, largest)
     block = F.floor((F.col("_n") - 1) / block_rows)
     in_tail = (F.col("_n") - 1) % block_rows >= block_rows - preceding
     targets = F.when(in_tail, F.array(block, block + 1)).otherwise(F.array(block))

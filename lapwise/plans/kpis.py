@@ -145,12 +145,23 @@ def grid_statistics(qualifying_vs_race: DataFrame) -> DataFrame:
 def head_to_head(facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Record of each given pair (year, driverId, rivalId) in the races both finished.
 
-    Each driver's best place per race is joined once for the driver and once for the rival, so the work is one
-    row per pair and race, never all pairs of a race.
+    Each side is cut to the drivers of the pairs and to its best place per race before the join, so the work is
+    one row per pair and race, never all pairs of a race.
     """
-    best = facts.groupBy("year", "raceId", "driverId").agg(F.min("position").alias("place")).filter("place IS NOT NULL")
-    rival = best.select("year", "raceId", F.col("driverId").alias("rivalId"), F.col("place").alias("rival_place"))
-    met = best.join(pairs, ["year", "driverId"]).join(rival, ["year", "raceId", "rivalId"])
+
+    def best(name: str, place: str) -> DataFrame:
+        named = facts.filter("position IS NOT NULL").withColumnRenamed("driverId", name)
+        return (
+            named.join(pairs.select("year", name).distinct(), ["year", name], "left_semi")
+            .groupBy("year", "raceId", name)
+            .agg(F.min("position").alias(place))
+        )
+
+    met = (
+        best("driverId", "place")
+        .join(pairs, ["year", "driverId"])
+        .join(best("rivalId", "rival_place"), ["year", "raceId", "rivalId"])
+    )
     return met.groupBy("year", "driverId", "rivalId").agg(
         F.count(F.lit(1)).alias("races"),
         F.count_if(F.col("place") < F.col("rival_place")).alias("ahead"),

@@ -1,13 +1,13 @@
 """Raw files to bronze, silver and gold tables: a short loop in dependency order, with checks and ledgers.
 
-A table costs one pass for its checks and one for its write. A failed check keeps a table out of the layer; the
-tables after it go on. Ledgers are appended under ``<lake>/monitoring``.
+A table is computed once: it is written under its batch, checked as stored, and only the ledger row written after
+its checks passed makes it visible. So a failed check leaves the last good batch in place, and the tables after it go
+on from that. Ledgers are appended under ``<lake>/monitoring``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,26 +23,40 @@ from lapwise.sources import readers
 
 
 class Lake:
-    """Tables by full name below one folder."""
+    """Tables by full name below one folder; each reads its last accepted batch."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
-    def table(self, name: str) -> DataFrame:
-        return readers.read_table(self.spark, SPECS[name].path(self.base))
+    def path(self, name: str, batch_id: int) -> str:
+        return f"{SPECS[name].path(self.base)}/batch={batch_id}"
 
-    def store(self, spec: TableSpec, df: DataFrame) -> DataFrame:
-        writers.write_table(df, spec.path(self.base), spec.partition_by, spec.cluster_by)
-        return self.table(spec.full_name)
+    def table(self, name: str) -> DataFrame:
+        accepted = self.ledger("tables").filter(F.col("table_name") == name)
+        batch = accepted.agg(F.max_by("batch_id", F.struct("recorded", "batch_id"))).first()[0]
+        if batch is None:
+            raise LookupError(f"no accepted batch of {name}")
+        return readers.read_table(self.spark, self.path(name, batch))
 
     def ledger(self, name: str) -> DataFrame:
-        return readers.read_table(self.spark, f"{self.base}/monitoring/{name}")
+        schema = LEDGERS[name]
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.base}/monitoring/{name}")
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
 
     def note(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.base}/monitoring/{name}")
 
 
+LEDGERS = {
+    "runs": mon.RUN_SCHEMA,
+    "tables": mon.TABLE_SCHEMA + ", batch_id BIGINT",
+    "checks": dq.RESULT_SCHEMA + ", table STRING, batch_id BIGINT, checked TIMESTAMP",
+}
+
+
 def _teams(lake: Lake) -> DataFrame:
     return lake.table("bronze.constructors").select(
         "constructorId", F.col("name").alias("constructorName"), F.col("nationality").alias("constructorNationality")
@@ -88,22 +102,27 @@ GOLD_BUILDERS = {
 }
 
 
-def _checked_store(lake: Lake, spec: TableSpec, df: DataFrame, at: dt.datetime) -> bool:
-    """Check, gate, write and record one table; False when a check failed."""
+def _publish(lake: Lake, spec: TableSpec, df: DataFrame, batch_id: int, at: dt.datetime) -> bool:
+    """Write one table, check it as stored and record it; False when a check failed and it stays invisible."""
+    name, path = spec.full_name, lake.path(spec.full_name, batch_id)
+    writers.write_table(df, path, spec.partition_by, spec.cluster_by)
+    stored = readers.read_table(lake.spark, path)
     quality = None
-    specs = dq.SUITES.get(spec.full_name)
-    if specs:
-        results = dq.run_checks(df, specs, at, C.WARNING_PERCENT[spec.layer])
-        lake.note("checks", results.withColumn("table", F.lit(spec.full_name)).withColumn("checked", F.lit(at)))
-        results = lake.ledger("checks").filter(
-            (F.col("table") == spec.full_name) & (F.col("checked") == F.lit(at))
+    if name in dq.SUITES:
+        results = dq.run_checks(stored, dq.SUITES[name], at, C.WARNING_PERCENT[spec.layer])
+        marked = results.withColumns(
+            {"table": F.lit(name), "batch_id": F.lit(batch_id).cast("long"), "checked": F.lit(at)}
+        )
+        lake.note("checks", marked)
+        noted = lake.ledger("checks").filter(
+            (F.col("table") == name) & (F.col("batch_id") == batch_id) & (F.col("checked") == F.lit(at))
         )
-        if not dq.accepted(results):
+        if not dq.accepted(noted):
             return False
-        quality = dq.summary(results)
-    stored = lake.store(spec, df)
+        quality = dq.summary(noted)
     partition = spec.partition_by[0] if spec.partition_by else None
-    lake.note("tables", mon.table_record(stored, spec.full_name, at, quality, partition))
+    record = mon.table_record(stored, name, at, quality, partition)
+    lake.note("tables", record.withColumn("batch_id", F.lit(batch_id).cast("long")))
     return True
 
 
@@ -135,15 +154,15 @@ def run(
         started, done, problems = dt.datetime.now(), [], []
         for spec, make in wanted:
             try:
-                if _checked_store(lake, spec, make(), at):
+                if _publish(lake, spec, make(), batch_id, at):
                     done.append(spec.full_name)
                 else:
                     problems.append(f"{spec.full_name}: failed checks")
-            except AnalysisException as error:
-                problems.append(f"{spec.full_name}: {error.getCondition() or error}")
+            except (AnalysisException, LookupError) as error:
+                problems.append(f"{spec.full_name}: {error}")
         states[layer] = mon.final_status(len(done), len(wanted))
-        written = [lake.table(name).agg(F.count(F.lit(1)).alias("n")) for name in done]
-        rows = reduce(DataFrame.unionByName, written).agg(F.sum("n")).first()[0] if written else 0
+        written = lake.ledger("tables").filter((F.col("batch_id") == batch_id) & F.col("table_name").isin(done))
+        rows = mon.latest_per_table(written).agg(F.sum("row_count")).first()[0] or 0
         lake.note(
             "runs",
             mon.run_record(

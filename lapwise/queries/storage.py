@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise import constants as C
-from lapwise.operators.staging import scratch
+from lapwise.operators.staging import scratch, stage
 from lapwise.plans import silver
 from lapwise.queries.common import sql
 from lapwise.queries.gold import _q, performance, standings
@@ -144,7 +144,7 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 def _old_and_new(b: Binding) -> tuple[DataFrame, DataFrame]:
     """A target of the seasons up to 1999 and a correction of all from 1999 on."""
-    rows = _keyed(silver.race_facts(b.results(), b.races()))
+    rows = stage(_keyed(silver.race_facts(b.results(), b.races())))
     changed = rows.filter("year >= 1999").withColumns({"points": F.col("points") + 1, "fastestLap": F.lit(-1)})
     return rows.filter("year <= 1999"), changed
 

@@ -60,9 +60,13 @@ def upsert(
     keys: list[str],
     update_columns: list[str] | None = None,
 ) -> DataFrame:
-    """Write target plus source as a new snapshot at ``new_path``; without a target the source becomes it."""
+    """Write target plus source as a new snapshot at ``new_path``; without a target the source becomes it.
+
+    The source is staged first: it is computed once, and the rows checked are the rows merged.
+    """
     if target_path == new_path:
         raise ValueError("a snapshot must not replace the one it is built from")
+    source = stage(source)
     require_unique(source, keys)
     rows = source if target_path is None else merged(read_table(spark, target_path), source, keys, update_columns)
     rows.write.mode("overwrite").parquet(new_path)
@@ -80,9 +84,10 @@ def upsert_partitions(
 ) -> None:
     """Upsert that rewrites only the partitions the source touches.
 
-    A key must stay in its partition. Merged rows are staged before anything is overwritten, so a rerun after a
+    A key must stay in its partition. Source and merged rows are staged before anything is overwritten, so a rerun after a
     failure starts from whole data. The touched values are at most as many as there are partition directories.
     """
+    source = stage(source)
     require_unique(source, keys)
     values = [row[0] for row in source.select(partition_by).distinct().collect()]
     touched = read_table(spark, path).filter(F.col(partition_by).isin(values))

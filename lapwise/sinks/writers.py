@@ -17,7 +17,7 @@ def clustered(df: DataFrame, columns: list[str], partitions: int | None = None)
     """Range-cluster rows so files cover narrow key ranges and scans skip by min/max statistics.
 
     Ranges are cut by sampled row counts over all ``columns``, so one hot leading value spreads over several
-    tasks as long as later columns differ.
+    tasks as long as later columns differ. Sampling reads ``df`` twice, so use it on stored tables.
     """
     ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
     return ranged.sortWithinPartitions(*columns)
@@ -31,9 +31,15 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
 ) -> None:
-    """Write a table. Rows are ranged by partition, then cluster columns, so each directory gets few files."""
-    layout = [*(partition_by or []), *(cluster_by or [])]
-    out = clustered(df, layout) if layout else df
+    """Write a table.
+
+    Rows are rebalanced by partition and sorted by ``cluster_by`` inside each task: a partition gets few files, a
+    hot one is split by size at run time, and row groups cover narrow key ranges. Unlike ranging, this computes
+    ``df`` once.
+    """
+    out = df.hint("rebalance", *(partition_by or []))
+    if cluster_by:
+        out = out.sortWithinPartitions(*(partition_by or []), *cluster_by)
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
