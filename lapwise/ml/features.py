@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.operators.running import framed, largest_group
+from lapwise.operators.running import MAX_GROUP_ROWS, framed, largest_group
+from lapwise.operators.staging import stage
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
 
@@ -167,13 +168,15 @@ def lap_features(
     per_circuit = per_race.join(race, "raceId").groupBy("circuitId").agg(F.sum("count").alias("n"))
     driver_rows = largest_group(laps, ["driverId"])
     circuit_rows = per_circuit.agg(F.max("n")).first()[0] or 0
+    hot = max(driver_rows, circuit_rows) > (MAX_GROUP_ROWS if max_group_rows is None else max_group_rows)
+    settled = stage if hot else (lambda df: df)  # split frames read their input several times
     by_driver = framed(
-        joined, ["driverId"], [F.asc("raceId"), F.asc("lap")], 5, -1,
+        settled(joined), ["driverId"], [F.asc("raceId"), F.asc("lap")], 5, -1,
         {"driver_avg_lap_time_recent": F.avg("milliseconds")},
         splits=[c("raceId"), F.floor(c("lap") / 1000)], max_group_rows=max_group_rows, group_rows=driver_rows,
     )
     both = framed(
-        by_driver, ["circuitId"], [F.asc("raceId"), F.asc("lap"), F.asc("driverId")], 10, -1,
+        settled(by_driver), ["circuitId"], [F.asc("raceId"), F.asc("lap"), F.asc("driverId")], 10, -1,
         {"circuit_avg_lap_time_recent": F.avg("milliseconds")},
         splits=[c("raceId"), c("lap")], max_group_rows=max_group_rows, group_rows=circuit_rows,
     )

@@ -83,8 +83,12 @@ def driver_statistics(partials: DataFrame, drivers: DataFrame, constructors: Dat
 
 def constructor_rankings(partials: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFrame:
     """Team seasons. ``total_races`` counts result rows. The partials have one row per driver, so counting them
-    gives the number of distinct drivers without a distinct aggregate."""
-    known = partials.join(drivers.select("driverId"), "driverId", "left_semi")
+    gives the number of distinct drivers without a distinct aggregate.
+
+    Known drivers are kept by an inner join on their unique id: a semi join would be moved below the partials and
+    shuffle the facts once more.
+    """
+    known = partials.join(drivers.select("driverId"), "driverId")
     teams = constructors.select("constructorId", "constructorName", "constructorNationality")
     races = F.col("total_races")
     return (

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lapwise import constants as C
 from lapwise.operators import monitoring as mon
 from lapwise.operators import quality as dq
+from lapwise.operators.staging import stage
 from lapwise.plans import gold, silver
 from lapwise.schemas import BRONZE, SPECS, TableSpec
 from lapwise.sinks import writers
@@ -28,6 +29,13 @@ class Lake:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._partials: DataFrame | None = None
+
+    def season_partials(self) -> DataFrame:
+        """The sums behind all season tables, computed once per run from the accepted performance table."""
+        if self._partials is None:
+            self._partials = stage(gold.season_partials(self.table("silver.performance")))
+        return self._partials
 
     def path(self, name: str, batch_id: int) -> str:
         return f"{SPECS[name].path(self.base)}/batch={batch_id}"
@@ -63,10 +71,6 @@ def _teams(lake: Lake) -> DataFrame:
     )
 
 
-def _partials(lake: Lake) -> DataFrame:
-    return gold.season_partials(lake.table("silver.performance"))
-
-
 SILVER_BUILDERS = {
     "silver.races": lambda k: silver.races(k.table("bronze.races")),
     "silver.drivers": lambda k: silver.drivers(k.table("bronze.drivers")),
@@ -81,9 +85,9 @@ SILVER_BUILDERS = {
 }
 
 GOLD_BUILDERS = {
-    "gold.driver_statistics": lambda k: gold.driver_statistics(_partials(k), k.table("bronze.drivers"), _teams(k)),
+    "gold.driver_statistics": lambda k: gold.driver_statistics(k.season_partials(), k.table("bronze.drivers"), _teams(k)),
     "gold.constructor_rankings": lambda k: gold.constructor_rankings(
-        _partials(k), k.table("bronze.drivers"), _teams(k)
+        k.season_partials(), k.table("bronze.drivers"), _teams(k)
     ),
     "gold.lap_time_trends": lambda k: gold.lap_time_trends(
         k.table("bronze.lap_times"), k.table("bronze.races"), silver.race_teams(k.table("bronze.results"))
@@ -93,7 +97,7 @@ GOLD_BUILDERS = {
         k.table("silver.performance"), k.table("bronze.lap_times")
     ),
     "gold.championship_standings": lambda k: gold.championship_standings(
-        gold.driver_seasons(_partials(k), k.table("bronze.drivers"))
+        gold.driver_seasons(k.season_partials(), k.table("bronze.drivers"))
     ),
     "gold.qualifying_vs_race": lambda k: gold.qualifying_vs_race(
         k.table("bronze.qualifying"), k.table("silver.performance")

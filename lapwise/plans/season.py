@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise import constants as C
 from lapwise.functions import clean
 from lapwise.functions import metrics as M
 from lapwise.plans.reports import latest
+from lapwise.sinks.writers import write_table
+from lapwise.sources.readers import read_csv_or_json, read_table
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -29,7 +31,7 @@ def enriched_results(results: DataFrame, races: DataFrame, constructors: DataFra
         .join(team, "constructorid")
         .withColumns(
             {
-                "podium_finish": F.col("positionorder") <= last_podium,
+                "podium_finish": F.col("positionorder").try_cast("int") <= last_podium,
                 "points": clean.number_or_zero(F.col("points")),
             }
         )
@@ -69,3 +71,21 @@ def last_season_constructors(enriched: DataFrame) -> DataFrame:
         )
         .withColumn("team_win_rate", M.ratio(F.col("total_wins"), F.col("total_races")))
     )
+
+
+def run(spark: SparkSession, raw_base: str, out_base: str) -> None:
+    """Raw files (CSV, else JSON) to four Parquet tables: drivers, performance and the two last-season tables.
+
+    The season tables read the stored performance table, so the joins run once.
+    """
+    raw = {n: read_csv_or_json(spark, f"{raw_base}/{n}") for n in ["drivers", "results", "races", "constructors"]}
+    names = [F.col("forename"), F.col("surname")]
+    typed = enriched_results(raw["results"], raw["races"], raw["constructors"]).withColumns(
+        {"year": F.col("year").cast("int"), "positionorder": F.col("positionorder").try_cast("int")}
+    )
+    write_table(raw["drivers"].withColumn("full_name", clean.full_name(*names)), f"{out_base}/silver/drivers")
+    write_table(typed, f"{out_base}/silver/performance", cluster_by=["raceid", "driverid"])
+    stored = read_table(spark, f"{out_base}/silver/performance")
+    drivers = read_table(spark, f"{out_base}/silver/drivers")
+    last_season_drivers(stored, drivers).write.mode("overwrite").parquet(f"{out_base}/gold/driver_statistics")
+    last_season_constructors(stored).write.mode("overwrite").parquet(f"{out_base}/gold/constructor_rankings")

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise import constants as C
+from lapwise.operators import monitoring
 from lapwise.operators.staging import scratch, stage
-from lapwise.plans import silver
+from lapwise.plans import season, silver
+from lapwise.queries import quality as ledgers
 from lapwise.queries.common import sql
 from lapwise.queries.gold import _q, performance, standings
 from lapwise.schemas import RAW, SPECS
@@ -258,6 +260,33 @@ def _dead_letters(b: Binding) -> DataFrame:
     )
 
 
+def _season_tables(b: Binding) -> DataFrame:
+    """The one-season variant from files to files; its constructor table."""
+    raw, out = scratch(b.spark, "season-raw"), scratch(b.spark, "season")
+    teams = b.constructors().select(
+        "constructorId", F.col("constructorName").alias("name"), F.col("constructorNationality").alias("nationality")
+    )
+    for name, df in {"drivers": b.drivers(), "results": b.results(), "races": b.races()}.items():
+        df.write.option("header", True).csv(f"{raw}/{name}.csv")
+    teams.write.json(f"{raw}/constructors.json")
+    season.run(b.spark, raw, out)
+    return readers.read_table(b.spark, f"{out}/gold/constructor_rankings")
+
+
+def _exported(b: Binding) -> DataFrame:
+    """Both ledgers written as JSON and read back."""
+    out = scratch(b.spark, "metrics")
+    monitoring.export(ledgers.runs(b), ledgers.tables(b), out)
+    runs = readers.read_json(b.spark, f"{out}/runs", ledgers.runs(b).schema)
+    tables = readers.read_json(b.spark, f"{out}/tables", ledgers.tables(b).schema)
+    return (
+        runs.select(F.lit("runs").alias("ledger"), F.col("rows_processed").alias("n"))
+        .unionByName(tables.select(F.lit("tables").alias("ledger"), F.col("row_count").alias("n")))
+        .groupBy("ledger")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("n").alias("rows"))
+    )
+
+
 def _refreshed(b: Binding) -> DataFrame:
     current = standings(b).filter("year = 2001").select("driverId", "year", "championship_position", "total_points")
     return writers.refresh(current, scratch(b.spark, "current-standings"))
@@ -281,6 +310,8 @@ QUERIES = {
     "snk4_upsert_partitions": _q(_upserted_partitions),
     "snk6_clustered_table": _q(_clustered),
     "snk7_compacted_table": _q(_compacted),
+    "snk8_season_tables": _q(_season_tables),
+    "snk9_metrics_export": _q(_exported),
     "snk10_quarantine_reasons": _q(_quarantined),
     "snk10_dead_letters": _q(_dead_letters),
     "snk11_refreshed_standings": _q(_refreshed),
@@ -366,6 +397,17 @@ SQL = {
         GROUP BY circuitId""",
         "races",
     ),
+    "snk8_season_tables": sql(
+        """SELECT constructorName, y.year, sum(points) AS total_points, count(DISTINCT r.raceId) AS total_races,
+        count(*) FILTER (WHERE positionOrder = 1) AS total_wins,
+        count(*) FILTER (WHERE positionOrder = 1) / count(DISTINCT r.raceId) AS team_win_rate
+        FROM results r JOIN races y ON r.raceId = y.raceId JOIN constructors c ON r.constructorId = c.constructorId
+        WHERE y.year = (SELECT max(s.year) FROM races s JOIN results t ON s.raceId = t.raceId) GROUP BY ALL""",
+        "results", "races", "constructors",
+    ),
+    "snk9_metrics_export": """SELECT 'runs' AS ledger, count(*) AS records, CAST(sum(user_id) AS BIGINT) AS "rows"
+        FROM events UNION ALL SELECT 'tables', count(*), CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT)
+        FROM events""",
     "snk10_quarantine_reasons": sql(
         f"""SELECT concat_ws(',', {_FAILS}) AS reject_reason, count(*) AS "rows", sum(points) AS points
         FROM facts GROUP BY 1""",

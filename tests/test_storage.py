@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lapwise import constants as C
 from lapwise.operators import monitoring as mon
 from lapwise.operators.staging import checkpoint_dir, stage
-from lapwise.plans import medallion
+from lapwise.plans import medallion, season
 from lapwise.schemas import BRONZE, RAW, SPECS
 from lapwise.sinks import merge, writers
 from lapwise.sources import readers
@@ -237,3 +237,15 @@ def test_metrics_export(spark, tmp_path):
     mon.export(runs, tables, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out" / "runs")).first()["seconds"] == 5.0
     assert C.RETENTION_DAYS["gold"] == 1825
+
+
+def test_season_variant_from_files(spark, tmp_path, values):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    raw_files(spark, raw)
+    season.run(spark, raw, out)
+    stats = spark.read.parquet(f"{out}/gold/driver_statistics")
+    assert [r["year"] for r in stats.select("year").distinct().collect()] == [2001]
+    assert stats.agg(F.sum("total_races")).first()[0] == 220
+    teams = spark.read.parquet(f"{out}/gold/constructor_rankings")
+    assert values(teams, "constructorName", "total_races") == [("blue", 55), ("red", 55)]
+    assert spark.read.parquet(f"{out}/silver/drivers").filter("full_name = 'F1 S1'").count() == 1
