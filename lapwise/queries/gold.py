@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,20 +66,21 @@ def qualifying_vs_race(b: Binding) -> DataFrame:
 STATISTIC_ROUNDS = ["position_stddev", "consistency_score"]
 
 
-def _q(build):
+def bound(build: Callable[[Binding], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A registry entry: the query over the racing tables bound to a folder of given tables."""
     return lambda spark, folder: build(Binding(spark, folder))
 
 
 QUERIES = {
-    "join1_performance": _q(performance),
-    "join2_pit_analysis": _q(lambda b: pits(b).withColumnRenamed("pit_time_category", "category")),
-    "join3_race_pace": _q(lambda b: gold.race_pace_analysis(performance(b), b.lap_times())),
-    "join4_qualifying_vs_race": _q(qualifying_vs_race),
-    "agg1_driver_statistics": _q(lambda b: rounded(statistics(b), *STATISTIC_ROUNDS)),
-    "agg2_constructor_rankings": _q(rankings),
-    "agg3_lap_time_trends": _q(lambda b: rounded(trends(b), "lap_time_stddev", "pace_consistency")),
-    "agg4_pit_stop_efficiency": _q(lambda b: rounded(pit_efficiency(b), "pit_consistency")),
-    "agg5_race_pace_summary": _q(
+    "join1_performance": bound(performance),
+    "join2_pit_analysis": bound(lambda b: pits(b).withColumnRenamed("pit_time_category", "category")),
+    "join3_race_pace": bound(lambda b: gold.race_pace_analysis(performance(b), b.lap_times())),
+    "join4_qualifying_vs_race": bound(qualifying_vs_race),
+    "agg1_driver_statistics": bound(lambda b: rounded(statistics(b), *STATISTIC_ROUNDS)),
+    "agg2_constructor_rankings": bound(rankings),
+    "agg3_lap_time_trends": bound(lambda b: rounded(trends(b), "lap_time_stddev", "pace_consistency")),
+    "agg4_pit_stop_efficiency": bound(lambda b: rounded(pit_efficiency(b), "pit_consistency")),
+    "agg5_race_pace_summary": bound(
         lambda b: gold.race_pace_analysis(performance(b), b.lap_times())
         .groupBy("year")
         .agg(
@@ -88,16 +91,16 @@ QUERIES = {
             F.round(F.avg("race_finish_time"), 4).alias("average_finish_time"),
         )
     ),
-    "win1_championship_standings": _q(lambda b: rounded(standings(b), "consistency_score")),
-    "win2_leader_points": _q(
+    "win1_championship_standings": bound(lambda b: rounded(standings(b), "consistency_score")),
+    "win2_leader_points": bound(
         lambda b: seasons(b).groupBy("year").agg(F.max("total_points").alias("leader_points"))
     ),
-    "win3_driver_consistency": _q(
+    "win3_driver_consistency": bound(
         lambda b: rounded(
             gold.driver_consistency(statistics(b)), *STATISTIC_ROUNDS, "rolling_average_position", "position_variance"
         )
     ),
-    "met7_position_changes": _q(
+    "met7_position_changes": bound(
         lambda b: qualifying_vs_race(b)
         .groupBy("constructorName", "year")
         .agg(
@@ -107,12 +110,12 @@ QUERIES = {
             F.sum("qualifying_performance_score").alias("qualifying_score"),
         )
     ),
-    "met9_battle_status": _q(
+    "met9_battle_status": bound(
         lambda b: standings(b).groupBy("year", "championship_battle_status").agg(
             F.count(F.lit(1)).alias("drivers"), F.min("points_gap_to_leader").alias("largest_gap")
         )
     ),
-    "met10_form_labels": _q(
+    "met10_form_labels": bound(
         lambda b: gold.driver_consistency(statistics(b))
         .groupBy("consistency_rating", "form_trend")
         .agg(F.count(F.lit(1)).alias("rows"))

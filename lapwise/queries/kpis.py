@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lapwise.plans import kpis, silver
 from lapwise.queries.common import sql
-from lapwise.queries.gold import _q, partials, pits, qualifying_vs_race, rounded, seasons, standings
+from lapwise.queries.gold import bound, partials, pits, qualifying_vs_race, rounded, seasons, standings
 from lapwise.sources.binding import Binding
 
 MAX_PER_ROUND = 12.0
@@ -32,27 +32,27 @@ def _weighted(b: Binding) -> DataFrame:
 
 
 QUERIES = {
-    "kpi1_pace_index": _q(lambda b: rounded(kpis.pace_index(b.lap_times()), "pace_index")),
-    "kpi2_undercut": _q(lambda b: kpis.undercut_efficiency(b.pit_stops(), _places(b))),
-    "kpi3_weighted_consistency": _q(_weighted),
-    "kpi4_reliability": _q(lambda b: rounded(kpis.reliability(facts(b)), "reliability")),
-    "kpi5_fastest_laps": _q(lambda b: kpis.fastest_laps(b.lap_times(), b.races())),
-    "kpi5_pit_benchmarks": _q(lambda b: rounded(kpis.pit_benchmarks(pits(b)), "average_stop")),
-    "kpi5_season_benchmarks": _q(
+    "kpi1_pace_index": bound(lambda b: rounded(kpis.pace_index(b.lap_times()), "pace_index")),
+    "kpi2_undercut": bound(lambda b: kpis.undercut_efficiency(b.pit_stops(), _places(b))),
+    "kpi3_weighted_consistency": bound(_weighted),
+    "kpi4_reliability": bound(lambda b: rounded(kpis.reliability(facts(b)), "reliability")),
+    "kpi5_fastest_laps": bound(lambda b: kpis.fastest_laps(b.lap_times(), b.races())),
+    "kpi5_pit_benchmarks": bound(lambda b: rounded(kpis.pit_benchmarks(pits(b)), "average_stop")),
+    "kpi5_season_benchmarks": bound(
         lambda b: rounded(kpis.season_benchmarks(seasons(b)), "average_points", "average_win_rate")
     ),
-    "kpi6_grid_statistics": _q(
+    "kpi6_grid_statistics": bound(
         lambda b: rounded(kpis.grid_statistics(qualifying_vs_race(b)), "correlation", "slope", "intercept")
     ),
-    "kpi7_head_to_head": _q(lambda b: kpis.head_to_head(facts(b), kpis.against_leader(standings(b)))),
-    "kpi7_season_trend": _q(lambda b: kpis.season_trend(seasons(b))),
-    "kpi7_standings_evolution": _q(lambda b: kpis.standings_evolution(facts(b), b.races())),
-    "kpi8_contribution": _q(lambda b: kpis.contribution(partials(b))),
-    "kpi9_pit_histogram": _q(lambda b: kpis.histogram(b.pit_stops(), "milliseconds", 5000)),
-    "kpi10_elimination": _q(lambda b: kpis.eliminated(facts(b), b.races(), 6, MAX_PER_ROUND)),
-    "kpi11_pace_histogram": _q(lambda b: kpis.histogram(b.lap_times(), "milliseconds", 10000, "year")),
-    "kpi11_lap_progression": _q(lambda b: rounded(kpis.lap_progression(b.lap_times()), "average", "smoothed")),
-    "kpi12_gains_by_stops": _q(
+    "kpi7_head_to_head": bound(lambda b: kpis.head_to_head(facts(b), kpis.against_leader(standings(b)))),
+    "kpi7_season_trend": bound(lambda b: kpis.season_trend(seasons(b))),
+    "kpi7_standings_evolution": bound(lambda b: kpis.standings_evolution(facts(b), b.races())),
+    "kpi8_contribution": bound(lambda b: kpis.contribution(partials(b))),
+    "kpi9_pit_histogram": bound(lambda b: kpis.histogram(b.pit_stops(), "milliseconds", 5000)),
+    "kpi10_elimination": bound(lambda b: kpis.eliminated(facts(b), b.races(), 6, MAX_PER_ROUND)),
+    "kpi11_pace_histogram": bound(lambda b: kpis.histogram(b.lap_times(), "milliseconds", 10000, "year")),
+    "kpi11_lap_progression": bound(lambda b: rounded(kpis.lap_progression(b.lap_times()), "average", "smoothed")),
+    "kpi12_gains_by_stops": bound(
         lambda b: rounded(kpis.gains_by_stops(qualifying_vs_race(b), b.pit_stops()), "average_change")
     ),
 }

@@ -20,11 +20,11 @@ from lapwise.plans import gold, silver
 from lapwise.queries.common import sql
 from lapwise.queries.gold import (
     STATISTIC_ROUNDS,
-    _q,
+    bound,
+    partials,
     performance,
     pit_efficiency,
     qualifying_vs_race,
-    rankings,
     rounded,
     statistics,
     trends,
@@ -39,7 +39,10 @@ LAP_KEY = ["raceId", "driverId", "lap"]
 
 
 def season_features(b: Binding) -> DataFrame:
-    return ft.season_features(statistics(b), rankings(b), trends(b), pit_efficiency(b), qualifying_vs_race(b))
+    sums = stage(partials(b))
+    stats = gold.driver_statistics(sums, b.drivers(), b.constructors())
+    teams = gold.constructor_rankings(sums, b.drivers(), b.constructors())
+    return ft.season_features(stats, teams, trends(b), pit_efficiency(b), qualifying_vs_race(b))
 
 
 def winners(b: Binding) -> DataFrame:
@@ -93,16 +96,14 @@ def _lap_regression(b: Binding):
 
 
 def _scores(b: Binding) -> DataFrame:
-    return ml.scored(*reversed(_reordered(_winner_forest(b)))).select(
+    """The seasons kept from training, scored as a batch."""
+    model, predictions = _winner_forest(b)
+    batch = predictions.select(*SEASON_KEY, "is_winner", *ft.WINNER_FEATURES)
+    return ml.scored(model, batch).select(
         *SEASON_KEY, "is_winner", "prediction", "win_probability", "confidence"
     )
 
 
-def _reordered(pair):
-    model, predictions = pair
-    return predictions.drop("raw_features", "features", "rawPrediction", "probability", "prediction"), model
-
-
 def _importances(b: Binding) -> DataFrame:
     model, _ = _winner_forest(b)
     return ml.importances(b.spark, model)
@@ -206,6 +207,12 @@ def _pole_wins(b: Binding) -> DataFrame:
     )
 
 
+def _split_sizes(b: Binding) -> DataFrame:
+    train, test = ml.split(statistics(b), SEASON_KEY)
+    parts = train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _running_time(b: Binding) -> DataFrame:
     return running_totals(
         b.lap_times(), ["raceId", "driverId"], [F.asc("lap")], {"cumulative_time": F.col("milliseconds")},
@@ -220,13 +227,13 @@ _LAP_ROUNDS = [
 _RECENT = ["driver_avg_lap_time_recent", "circuit_avg_lap_time_recent", "lap_time_trend"]
 
 QUERIES = {
-    "join5_season_features": _q(
+    "join5_season_features": bound(
         lambda b: rounded(
             season_features(b), *STATISTIC_ROUNDS, "fastest_lap_time", "average_lap_time", "pace_consistency",
             "pit_efficiency_score",
         )
     ),
-    "ml2_winner_features": _q(
+    "ml2_winner_features": bound(
         lambda b: rounded(
             winners(b).select(
                 *SEASON_KEY, "is_winner", "win_to_podium_ratio", "points_per_win", "performance_consistency",
@@ -235,7 +242,7 @@ QUERIES = {
             "performance_consistency", "qualifying_to_race_correlation", "pace_efficiency_score",
         )
     ),
-    "ml3_cluster_features": _q(
+    "ml3_cluster_features": bound(
         lambda b: rounded(
             clusters(b).select(
                 *SEASON_KEY, "win_efficiency", "podium_efficiency", "points_per_race", "finish_rate",
@@ -245,34 +252,30 @@ QUERIES = {
             "consistency_score", "pace_quality", "pit_efficiency_normalized", "qualifying_strength",
         )
     ),
-    "ml4_lap_features": _q(
+    "ml4_lap_features": bound(
         lambda b: rounded(laps(b).drop("dob", "name"), *_LAP_ROUNDS)
     ),
-    "win4_recent_laps": _q(lambda b: rounded(laps(b).select(*LAP_KEY, "circuitId", *_RECENT), *_RECENT)),
-    "win8_running_time": _q(_running_time),
-    "agg10_cluster_profile": _q(_profile),
-    "agg12_error_report": _q(_naive_errors),
-    "agg13_classification_report": _q(lambda b: ml.classification_report(_pole_wins(b), "won")),
-    "agg13_confusion": _q(lambda b: ml.confusion(_pole_wins(b), "won")),
-    "ml7_split_sizes": _q(
-        lambda b: (lambda parts: parts[0].select(F.lit("train").alias("part")).unionByName(
-            parts[1].select(F.lit("test").alias("part"))).groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-        )(ml.split(statistics(b), SEASON_KEY))
-    ),
-    "ml8_winner_models": _q(_winner_models),
-    "ml9_lap_models": _q(_lap_models),
-    "ml10_importances": _q(_importances),
-    "ml11_k_sweep": _q(_sweep),
-    "ml12_cluster_centers": _q(_centers),
-    "ml14_driver_segments": _q(_segments),
-    "ml15_batch_scores": _q(_scores),
-    "ml16_race_simulation": _q(_simulation),
-    "ml17_reloaded_model": _q(_reloaded),
-    "ml18_four_segments": _q(_four),
-    "ml19_finish_model": _q(_finish_model),
-    "ml20_rule_chances": _q(_chances),
-    "ml21_forecast": _q(_forecast),
-    "ml22_podium_model": _q(_podium_model),
+    "win4_recent_laps": bound(lambda b: rounded(laps(b).select(*LAP_KEY, "circuitId", *_RECENT), *_RECENT)),
+    "win8_running_time": bound(_running_time),
+    "agg10_cluster_profile": bound(_profile),
+    "agg12_error_report": bound(_naive_errors),
+    "agg13_classification_report": bound(lambda b: ml.classification_report(_pole_wins(b), "won")),
+    "agg13_confusion": bound(lambda b: ml.confusion(_pole_wins(b), "won")),
+    "ml7_split_sizes": bound(_split_sizes),
+    "ml8_winner_models": bound(_winner_models),
+    "ml9_lap_models": bound(_lap_models),
+    "ml10_importances": bound(_importances),
+    "ml11_k_sweep": bound(_sweep),
+    "ml12_cluster_centers": bound(_centers),
+    "ml14_driver_segments": bound(_segments),
+    "ml15_batch_scores": bound(_scores),
+    "ml16_race_simulation": bound(_simulation),
+    "ml17_reloaded_model": bound(_reloaded),
+    "ml18_four_segments": bound(_four),
+    "ml19_finish_model": bound(_finish_model),
+    "ml20_rule_chances": bound(_chances),
+    "ml21_forecast": bound(_forecast),
+    "ml22_podium_model": bound(_podium_model),
 }
 
 _SEASON = """SELECT s.*, t.team_win_rate, t.team_podium_rate, t.points_per_race AS points_per_race_constructor,

@@ -13,7 +13,7 @@ from lapwise.operators import monitoring as mon
 from lapwise.operators import quality as dq
 from lapwise.operators.quality import CheckSpec
 from lapwise.queries.common import sql
-from lapwise.queries.gold import _q, performance, rankings, rounded, statistics
+from lapwise.queries.gold import bound, performance, rankings, rounded, statistics
 from lapwise.plans import silver
 from lapwise.schemas import GIVEN
 from lapwise.sources.binding import Binding
@@ -138,40 +138,40 @@ def _scored(b: Binding) -> DataFrame:
 
 
 QUERIES = {
-    "dq1_result_checks": _q(lambda b: rounded(dq.run_checks(_placed(b), RESULT_CHECKS), "bad_pct")),
-    "dq2_duplicates": _q(lambda b: rounded(dq.run_checks(_placed(b), DUPLICATE_CHECKS), "bad_pct")),
-    "dq4_schema_and_rows": _q(lambda b: _schema_and_rows(b).select("check_name", "status", "total_rows", "bad_rows")),
-    "dq5_freshness": _q(_freshness),
-    "dq8_summary": _q(
+    "dq1_result_checks": bound(lambda b: rounded(dq.run_checks(_placed(b), RESULT_CHECKS), "bad_pct")),
+    "dq2_duplicates": bound(lambda b: rounded(dq.run_checks(_placed(b), DUPLICATE_CHECKS), "bad_pct")),
+    "dq4_schema_and_rows": bound(lambda b: _schema_and_rows(b).select("check_name", "status", "total_rows", "bad_rows")),
+    "dq5_freshness": bound(_freshness),
+    "dq8_summary": bound(
         lambda b: rounded(
             dq.summary(dq.run_checks(_placed(b), [*RESULT_CHECKS, *DUPLICATE_CHECKS])), "pass_rate"
         )
     ),
-    "dq9_suites": _q(lambda b: _suites(b).select("table", "check_name", "status", "total_rows", "bad_rows")),
-    "dq12_references": _q(
+    "dq9_suites": bound(lambda b: _suites(b).select("table", "check_name", "status", "total_rows", "bad_rows")),
+    "dq12_references": bound(
         lambda b: _references(b).select("check_name", "column", "status", "total_rows", "bad_rows")
     ),
-    "dq15_layer_threshold": _q(
+    "dq15_layer_threshold": bound(
         lambda b: rounded(
             dq.run_checks(_placed(b), RESULT_CHECKS, warn_pct=C.WARNING_PERCENT["bronze"]), "bad_pct"
         ).select("check_name", "status", "bad_pct")
     ),
-    "join11_orphans": _q(lambda b: dq.orphans(b.lap_times(), b.drivers(), "driverId")),
-    "mon2_scored_table": _q(_scored),
-    "mon3_table_sizes": _q(_sizes),
-    "mon4_run_summary": _q(lambda b: rounded(mon.run_summary(runs(b), "run_name"), "average_seconds")),
-    "mon5_table_summary": _q(
+    "join11_orphans": bound(lambda b: dq.orphans(b.lap_times(), b.drivers(), "driverId")),
+    "mon2_scored_table": bound(_scored),
+    "mon3_table_sizes": bound(_sizes),
+    "mon4_run_summary": bound(lambda b: rounded(mon.run_summary(runs(b), "run_name"), "average_seconds")),
+    "mon5_table_summary": bound(
         lambda b: rounded(mon.table_summary(latest(b)), "total_size_mb", "average_quality_score")
     ),
-    "mon6_health": _q(lambda b: mon.health(runs(b), latest(b), MONITORED)),
-    "mon7_stale_tables": _q(
+    "mon6_health": bound(lambda b: mon.health(runs(b), latest(b), MONITORED)),
+    "mon7_stale_tables": bound(
         lambda b: mon.stale_tables(latest(b), MONITORED).select("table_name", "row_count", "size_mb")
     ),
-    "mon8_ingestion_status": _q(lambda b: rounded(mon.ingestion_status(runs(b), latest(b), MONITORED), "value")),
-    "sort7_latest_runs": _q(
+    "mon8_ingestion_status": bound(lambda b: rounded(mon.ingestion_status(runs(b), latest(b), MONITORED), "value")),
+    "sort7_latest_runs": bound(
         lambda b: mon.latest_runs(runs(b)).select("run_id", "run_name", "status", "rows_processed", "seconds")
     ),
-    "win9_latest_per_table": _q(lambda b: latest(b).drop("recorded")),
+    "win9_latest_per_table": bound(lambda b: latest(b).drop("recorded")),
 }
 
 

@@ -4,45 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lapwise.operators.staging import stage
 from lapwise.plans import gold, reports
 from lapwise.queries.common import sql
-from lapwise.queries.gold import _q, performance, pit_efficiency, rankings, rounded, standings, statistics
+from lapwise.queries.gold import bound, performance, pit_efficiency, rankings, rounded, standings, statistics
 
 
 def _consistency(b):
-    stats = statistics(b)
+    stats = stage(statistics(b))
     report = reports.consistency_and_aggression(gold.driver_consistency(stats), stats)
     return rounded(report, "consistency_score")
 
 
 QUERIES = {
-    "rpt1_championship_contenders": _q(lambda b: reports.championship_contenders(standings(b), 2000)),
-    "rpt2_team_dominance": _q(lambda b: reports.team_dominance(rankings(b))),
-    "rpt3_consistency_and_aggression": _q(_consistency),
-    "rpt4_pit_efficiency_by_team": _q(
+    "rpt1_championship_contenders": bound(lambda b: reports.championship_contenders(standings(b), 2000)),
+    "rpt2_team_dominance": bound(lambda b: reports.team_dominance(rankings(b))),
+    "rpt3_consistency_and_aggression": bound(_consistency),
+    "rpt4_pit_efficiency_by_team": bound(
         lambda b: rounded(reports.pit_efficiency_by_team(pit_efficiency(b)), "avg_pit_time", "avg_consistency")
     ),
-    "rpt5_current_season_standings": _q(
+    "rpt5_current_season_standings": bound(
         lambda b: rounded(reports.season(standings(b), 2001), "consistency_score")
     ),
-    "rpt5_driver_performance_trends": _q(lambda b: reports.driver_performance_trends(statistics(b))),
-    "rpt7_points_share": _q(lambda b: reports.points_share(rankings(b))),
-    "rpt7_top_drivers": _q(
+    "rpt5_driver_performance_trends": bound(lambda b: reports.driver_performance_trends(statistics(b))),
+    "rpt7_points_share": bound(lambda b: reports.points_share(rankings(b))),
+    "rpt7_top_drivers": bound(
         lambda b: reports.top_by_points(standings(b).select("driverId", "surname", "year", "total_points", "win_rate"))
     ),
-    "sort1_standings_ordered": _q(
+    "sort1_standings_ordered": bound(
         lambda b: standings(b)
         .select("year", "driverId", "total_points", "championship_position")
         .orderBy("year", "championship_position")
     ),
-    "sort4_teams_by_average_position": _q(
+    "sort4_teams_by_average_position": bound(
         lambda b: rankings(b)
         .groupBy("constructorName")
         .agg(F.round(F.avg("average_team_position"), 6).alias("average_position"))
         .orderBy("average_position")
     ),
-    "sort6_seasons_descending": _q(lambda b: reports.seasons_descending(performance(b))),
-    "sort6_race_names": _q(lambda b: reports.race_names(performance(b), 2000)),
+    "sort6_seasons_descending": bound(lambda b: reports.seasons_descending(performance(b))),
+    "sort6_race_names": bound(lambda b: reports.race_names(performance(b), 2000)),
 }
 
 SQL = {

@@ -9,7 +9,7 @@ from lapwise.functions import clean
 from lapwise.operators import declarative
 from lapwise.plans import reports, season, silver
 from lapwise.queries.common import sql
-from lapwise.queries.gold import _q, as_text, performance
+from lapwise.queries.gold import bound, as_text, performance
 from lapwise.sources.binding import Binding
 
 RACE_STEPS = [
@@ -80,9 +80,9 @@ def _enriched(b: Binding):
 
 
 QUERIES = {
-    "prj1_silver_races": _q(lambda b: _races_out(silver.races(b.raw_races()))),
-    "prj3_silver_drivers": _q(lambda b: as_text(silver.drivers(b.raw_drivers()), "dob")),
-    "prj4_title_case_names": _q(
+    "prj1_silver_races": bound(lambda b: _races_out(silver.races(b.raw_races()))),
+    "prj3_silver_drivers": bound(lambda b: as_text(silver.drivers(b.raw_drivers()), "dob")),
+    "prj4_title_case_names": bound(
         lambda b: silver.constructors(
             b.constructors().select(
                 "constructorId",
@@ -92,63 +92,63 @@ QUERIES = {
             title_case=True,
         )
     ),
-    "prj7_mixed_date_formats": _q(_mixed_dates),
-    "prj9_season_phases": _q(
+    "prj7_mixed_date_formats": bound(_mixed_dates),
+    "prj9_season_phases": bound(
         lambda b: silver.races(b.raw_races())
         .groupBy("year", "race_season_phase")
         .agg(F.count(F.lit(1)).alias("races"), F.count("time").alias("timed"))
     ),
-    "prj13_silver_circuits": _q(lambda b: silver.circuits(b.circuits())),
-    "prj15_cleaned_results": _q(lambda b: silver.cleaned_results(b.results()).drop("positionOrder")),
-    "prj17_outcome_flags": _q(
+    "prj13_silver_circuits": bound(lambda b: silver.circuits(b.circuits())),
+    "prj15_cleaned_results": bound(lambda b: silver.cleaned_results(b.results()).drop("positionOrder")),
+    "prj17_outcome_flags": bound(
         lambda b: silver.cleaned_results(b.results())
         .groupBy("finished_race", "podium_finish", "dnf_status")
         .agg(F.count(F.lit(1)).alias("results"), F.sum("points").alias("points"))
     ),
-    "prj19_pit_ranges": _q(
+    "prj19_pit_ranges": bound(
         lambda b: silver.pit_analysis(b.pit_stops(), b.races(), b.drivers()).select(
             "raceId", "driverId", "stop", "milliseconds", "pit_duration_seconds"
         )
     ),
-    "prj20_pit_categories": _q(
+    "prj20_pit_categories": bound(
         lambda b: b.pit_stops()
         .groupBy(clean.pit_category(F.col("milliseconds")).alias("pit_time_category"))
         .agg(F.count(F.lit(1)).alias("stops"), F.sum("milliseconds").alias("milliseconds"))
     ),
-    "prj21_year_range": _q(
+    "prj21_year_range": bound(
         lambda b: silver.races(b.raw_races(), C.YEAR_RANGE).groupBy("year").agg(F.count(F.lit(1)).alias("races"))
     ),
-    "prj22_declared_transforms": _q(lambda b: _races_out(declarative.transform(b.raw_races(), RACE_STEPS))),
-    "prj23_declared_aggregation": _q(lambda b: declarative.aggregate(performance(b), TEAM_SPEC)),
-    "prj24_numeric_or_zero": _q(
+    "prj22_declared_transforms": bound(lambda b: _races_out(declarative.transform(b.raw_races(), RACE_STEPS))),
+    "prj23_declared_aggregation": bound(lambda b: declarative.aggregate(performance(b), TEAM_SPEC)),
+    "prj24_numeric_or_zero": bound(
         lambda b: b.results()
         .withColumn("value", clean.number_or_zero(F.col("position")))
         .groupBy("constructorId")
         .agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("results"))
     ),
-    "prj25_latest_season": _q(
+    "prj25_latest_season": bound(
         lambda b: reports.latest(b.races()).groupBy("year", "round").agg(F.count(F.lit(1)).alias("races"))
     ),
-    "prj26_equality_slice": _q(
+    "prj26_equality_slice": bound(
         lambda b: reports.sliced(performance(b), year=2000, name="5-LOW")
         .groupBy("driverId", "constructorId")
         .agg(F.sum("points").alias("points"))
     ),
-    "prj28_street_circuits": _q(
+    "prj28_street_circuits": bound(
         lambda b: silver.races(b.raw_races())
         .groupBy("name", F.col("name").rlike(C.STREET_PATTERN).cast("int").alias("is_street_circuit"))
         .agg(F.count(F.lit(1)).alias("races"))
     ),
-    "join8_enriched_results": _q(
+    "join8_enriched_results": bound(
         lambda b: _enriched(b).select(
             "raceid", "driverid", "constructorid", "constructor_name", "nationality", "year", "name", "points",
             "positionorder", "podium_finish",
         )
     ),
-    "join9_wins_filled": _q(lambda b: season.wins_filled(_enriched(b))),
-    "agg6_last_season_drivers": _q(lambda b: season.last_season_drivers(_enriched(b), b.drivers())),
-    "agg7_last_season_constructors": _q(lambda b: season.last_season_constructors(_enriched(b))),
-    "set1_distinct_seasons": _q(lambda b: performance(b).select("year", "name", "constructorId").distinct()),
+    "join9_wins_filled": bound(lambda b: season.wins_filled(_enriched(b))),
+    "agg6_last_season_drivers": bound(lambda b: season.last_season_drivers(_enriched(b), b.drivers())),
+    "agg7_last_season_constructors": bound(lambda b: season.last_season_constructors(_enriched(b))),
+    "set1_distinct_seasons": bound(lambda b: performance(b).select("year", "name", "constructorId").distinct()),
 }
 
 _RACES = """SELECT raceId, year, round, name, circuitId, date,

@@ -16,7 +16,7 @@ from lapwise.operators.staging import scratch, stage
 from lapwise.plans import season, silver
 from lapwise.queries import quality as ledgers
 from lapwise.queries.common import sql
-from lapwise.queries.gold import _q, performance, standings
+from lapwise.queries.gold import bound, performance, standings
 from lapwise.schemas import RAW, SPECS
 from lapwise.sinks import merge, writers
 from lapwise.sources import readers
@@ -293,38 +293,38 @@ def _refreshed(b: Binding) -> DataFrame:
 
 
 QUERIES = {
-    "src1_csv_races": _q(_csv_races),
-    "src2_json_results": _q(_json_results),
-    "src3_directory_scan": _q(_directory),
-    "src5_table_scan": _q(
+    "src1_csv_races": bound(_csv_races),
+    "src2_json_results": bound(_json_results),
+    "src3_directory_scan": bound(_directory),
+    "src5_table_scan": bound(
         lambda b: b.given("lineitem").groupBy("l_returnflag", "l_linestatus").agg(
             F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").alias("quantity")
         )
     ),
-    "src7_lower_case_names": _q(_lower_names),
-    "src9_source_probe": _q(_probe),
-    "snk1_partitioned_table": _q(_partitioned),
-    "snk3_append": _q(_appended),
-    "snk3_schema_evolution": _q(_evolved),
-    "snk4_upsert": _q(_upserted),
-    "snk4_upsert_partitions": _q(_upserted_partitions),
-    "snk6_clustered_table": _q(_clustered),
-    "snk7_compacted_table": _q(_compacted),
-    "snk8_season_tables": _q(_season_tables),
-    "snk9_metrics_export": _q(_exported),
-    "snk10_quarantine_reasons": _q(_quarantined),
-    "snk10_dead_letters": _q(_dead_letters),
-    "snk11_refreshed_standings": _q(_refreshed),
-    "snk12_retention": _q(
+    "src7_lower_case_names": bound(_lower_names),
+    "src9_source_probe": bound(_probe),
+    "snk1_partitioned_table": bound(_partitioned),
+    "snk3_append": bound(_appended),
+    "snk3_schema_evolution": bound(_evolved),
+    "snk4_upsert": bound(_upserted),
+    "snk4_upsert_partitions": bound(_upserted_partitions),
+    "snk6_clustered_table": bound(_clustered),
+    "snk7_compacted_table": bound(_compacted),
+    "snk8_season_tables": bound(_season_tables),
+    "snk9_metrics_export": bound(_exported),
+    "snk10_quarantine_reasons": bound(_quarantined),
+    "snk10_dead_letters": bound(_dead_letters),
+    "snk11_refreshed_standings": bound(_refreshed),
+    "snk12_retention": bound(
         lambda b: writers.retained(b.races(), "date", C.RETENTION_DAYS["silver"], AS_OF.date())
         .groupBy("year", "round")
         .agg(F.count(F.lit(1)).alias("races"))
     ),
-    "join10_merge": _q(_merge_join),
-    "inc1_high_water_mark": _q(_high_water),
-    "inc3_stream_upsert": _q(_streamed),
-    "aud1_audit_columns": _q(_audit),
-    "aud3_source_file": _q(_source_file),
+    "join10_merge": bound(_merge_join),
+    "inc1_high_water_mark": bound(_high_water),
+    "inc3_stream_upsert": bound(_streamed),
+    "aud1_audit_columns": bound(_audit),
+    "aud3_source_file": bound(_source_file),
 }
 
 _KEYED = """SELECT raceId, driverId, constructorId, year, min(position) AS position, sum(points) AS points,

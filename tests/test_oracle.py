@@ -30,7 +30,10 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
-    assert check.compare(queries()[name](spark, FOLDER), duck, oracle_sql()[name]).startswith("ok")
+    df = queries()[name](spark, FOLDER)
+    assert check.compare(df, duck, oracle_sql()[name]).startswith("ok")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "Python" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(queries().keys() - oracle_sql().keys() - SLOW))
