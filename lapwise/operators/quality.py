@@ -214,12 +214,19 @@ def accepted(results: DataFrame) -> bool:
     return results.filter("status = 'FAIL'").isEmpty()
 
 
+# Suites by table. Dimension keys must be unique, or joins would multiply facts.
 SUITES: dict[str, list[CheckSpec]] = {
     "bronze.races": [
         CheckSpec("races_null_check", "null_check", ["raceId"], threshold=0.0),
         CheckSpec("races_row_count", "row_count_check", threshold=100),
+        CheckSpec("races_unique", "duplicate_check", ["raceId"], threshold=0.0),
     ],
-    "bronze.drivers": [CheckSpec("drivers_null_check", "null_check", ["driverId"], threshold=0.0)],
+    "bronze.drivers": [
+        CheckSpec("drivers_null_check", "null_check", ["driverId"], threshold=0.0),
+        CheckSpec("drivers_unique", "duplicate_check", ["driverId"], threshold=0.0),
+    ],
+    "bronze.constructors": [CheckSpec("constructors_unique", "duplicate_check", ["constructorId"], threshold=0.0)],
+    "bronze.circuits": [CheckSpec("circuits_unique", "duplicate_check", ["circuitId"], threshold=0.0)],
     "bronze.lap_times": [
         CheckSpec("lap_times_range_check", "range_check", ["milliseconds"], "milliseconds > 0", 1.0)
     ],

@@ -65,6 +65,8 @@ def _suites(b: Binding) -> DataFrame:
     tables = {
         "bronze.races": b.races(),
         "bronze.drivers": b.drivers(),
+        "bronze.constructors": b.constructors(),
+        "bronze.circuits": b.circuits(),
         "bronze.lap_times": b.lap_times(),
         "bronze.results": b.results(),
         "silver.performance": loaded,
@@ -249,6 +251,10 @@ _SUITE_SQL = " UNION ALL ".join(
         ("bronze.races", _null("races_null_check", ["raceId"], 0.0, "races")),
         ("bronze.races", _rows("races_row_count", 100, "races")),
         ("bronze.drivers", _null("drivers_null_check", ["driverId"], 0.0, "drivers")),
+        ("bronze.races", _dup("races_unique", ["raceId"], 0.0, "races")),
+        ("bronze.drivers", _dup("drivers_unique", ["driverId"], 0.0, "drivers")),
+        ("bronze.constructors", _dup("constructors_unique", ["constructorId"], 0.0, "constructors")),
+        ("bronze.circuits", _dup("circuits_unique", ["circuitId"], 0.0, "circuits")),
         ("bronze.lap_times", _range("lap_times_range_check", "milliseconds", "milliseconds > 0", 1.0, "laps", 5.0)),
         ("bronze.results", _null("results_keys", ["raceId", "driverId", "constructorId"], 0.0, "results", 5.0)),
         ("bronze.results", _rows("results_row_count", 1, "results")),
@@ -355,7 +361,7 @@ SQL = {
         "facts",
     ),
     "dq9_suites": sql(
-        _SUITE_SQL, "races", "drivers", "laps", "results", "performance", "pit_analysis", "driver_statistics",
+        _SUITE_SQL, "races", "drivers", "constructors", "circuits", "laps", "results", "performance", "pit_analysis", "driver_statistics",
         "constructor_rankings",
     ),
     "dq12_references": sql(

@@ -16,6 +16,8 @@ Every table grows with the given ones. No broadcast is forced: Spark decides by
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,7 +150,8 @@ class Binding:
             )
         )
 
-    def qualifying(self) -> DataFrame:
+    @cached_property
+    def _ranked_lines(self) -> DataFrame:
         """Grid position by price. Price steps split a hot race; the sort is descending, so steps are negated."""
         lines = self.given("lineitem").select(
             F.col("l_orderkey").alias("raceId"),
@@ -157,7 +160,7 @@ class Binding:
             "l_partkey",
             "l_linenumber",
         )
-        ranked = row_numbers(
+        return row_numbers(
             lines,
             ["raceId"],
             [F.desc("l_extendedprice"), F.asc("l_partkey"), F.asc("driverId"), F.asc("l_linenumber")],
@@ -165,8 +168,11 @@ class Binding:
             splits=[F.floor(-F.col("l_extendedprice") / 1000), F.floor(-F.col("l_extendedprice"))],
             max_group_rows=self.max_group_rows,
         )
-        return ranked.select("raceId", "driverId", F.col("position").cast("int").alias("position"))
 
+    def qualifying(self) -> DataFrame:
+        return self._ranked_lines.select("raceId", "driverId", F.col("position").cast("int").alias("position"))
+
+    @cached_property
     def _numbered_events(self) -> DataFrame:
         events = self.given("events").select(
             F.datediff(F.col("ts").cast("date"), F.lit("2023-12-31").cast("date")).cast("long").alias("raceId"),
@@ -187,13 +193,13 @@ class Binding:
         )
 
     def lap_times(self) -> DataFrame:
-        return self._numbered_events().select(
+        return self._numbered_events.select(
             "raceId", "driverId", "year", F.col("lap").cast("int").alias("lap"), "milliseconds"
         )
 
     def pit_stops(self) -> DataFrame:
         return (
-            self._numbered_events()
+            self._numbered_events
             .filter("in_pit")
             .select(
                 "raceId",
@@ -206,6 +212,6 @@ class Binding:
 
     def laps_with_stops(self) -> DataFrame:
         """Laps together with the number of stops made so far, from one pass over the events."""
-        return self._numbered_events().select(
+        return self._numbered_events.select(
             "raceId", "driverId", "year", F.col("lap").cast("int").alias("lap"), "milliseconds", "in_pit", "stop"
         )
