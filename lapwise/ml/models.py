@@ -53,9 +53,8 @@ def regressors(label: str) -> dict[str, Estimator]:
 
 
 def confusion(predictions: DataFrame, label: str) -> DataFrame:
-    return predictions.groupBy(F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    truth, guess = F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")
+    return predictions.groupBy(truth, guess).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def classification_report(predictions: DataFrame, label: str, positive: int = 1) -> DataFrame:
@@ -80,7 +79,10 @@ def classification_report(predictions: DataFrame, label: str, positive: int = 1)
 
 
 def error_report(predictions: DataFrame, label: str) -> DataFrame:
-    """Errors of a regression in one aggregation: rmse, mae, r2, mape and both distributions."""
+    """Errors of a regression in one aggregation: rmse, mae, r2, mape and both distributions.
+
+    A row whose actual value is 0 has no percentage error and is left out of mape only.
+    """
     truth, error = F.col(label).cast("double"), F.col(label) - F.col("prediction")
     sums = predictions.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -124,7 +126,9 @@ def compare(
     return best[1], df.sparkSession.createDataFrame(scores, ddl)
 
 
-def fitted(df: DataFrame, keys: list[str], inputs: list[str], estimator: Estimator, label: str) -> tuple[PipelineModel, DataFrame]:
+def fitted(
+    df: DataFrame, keys: list[str], inputs: list[str], estimator: Estimator, label: str
+) -> tuple[PipelineModel, DataFrame]:
     """One model on the training side and its predictions on the other."""
     inputs = present(df, inputs)
     train, test = split(df.select(*keys, label, *inputs), keys)

@@ -389,7 +389,7 @@ SQL = {
     ),
     "agg12_error_report": sql(
         """SELECT count(*) AS "rows", round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
-        round(avg(abs(e) / y) * 100, 4) AS mape, round(avg(y), 4) AS mean_actual, round(avg(p), 4) AS mean_predicted,
+        round(avg(abs(e) / nullif(y, 0)) * 100, 4) AS mape, round(avg(y), 4) AS mean_actual, round(avg(p), 4) AS mean_predicted,
         round(stddev_samp(y), 4) AS std_actual, round(stddev_samp(p), 4) AS std_predicted,
         round(1 - avg(e * e) / var_pop(y), 4) AS r2
         FROM (SELECT CAST(milliseconds AS DOUBLE) AS y, d_recent AS p, milliseconds - d_recent AS e FROM lapf

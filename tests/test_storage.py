@@ -182,7 +182,7 @@ def raw_files(spark, base):
     make(
         "races", [(r, 2000 + r % 2, r % 20 + 1, "1", f" race {r} ", f"{2000 + r % 2}-05-01", "14:00:00") for r in races]
     ).coalesce(1).write.option("header", True).csv(f"{base}/races.csv")
-    make("drivers", [(d, f"d{d}", f"F{d}", f"S{d}", "1990-01-01", "X") for d in drivers]).write.json(
+    make("drivers", [(d, f"d{d}", f"Fore{d}", f"Sur{d}", "1990-01-01", "X") for d in drivers]).write.json(
         f"{base}/drivers.json"
     )
     make("constructors", [(1, "red", "X"), (2, "blue", "Y")]).write.json(f"{base}/constructors.json")
@@ -196,9 +196,8 @@ def raw_files(spark, base):
             for r in races for d in drivers
         ],
     ).write.json(f"{base}/results.json")
-    make("lap_times", [(r, d, lap, 80000 + lap * 10 + d) for r in races for d in drivers for lap in range(1, 4)]).write.option(
-        "header", True
-    ).csv(f"{base}/lap_times")
+    laps = [(r, d, lap, 80000 + lap * 10 + d) for r in races for d in drivers for lap in range(1, 4)]
+    make("lap_times", laps).write.option("header", True).csv(f"{base}/lap_times")
     make("pit_stops", [(r, d, 1, 2, 21000 + d) for r in races for d in drivers]).write.json(f"{base}/pit_stops.json")
     make("qualifying", [(r, d, d) for r in races for d in drivers]).write.json(f"{base}/qualifying")
 
@@ -248,4 +247,4 @@ def test_season_variant_from_files(spark, tmp_path, values):
     assert stats.agg(F.sum("total_races")).first()[0] == 220
     teams = spark.read.parquet(f"{out}/gold/constructor_rankings")
     assert values(teams, "constructorName", "total_races") == [("blue", 55), ("red", 55)]
-    assert spark.read.parquet(f"{out}/silver/drivers").filter("full_name = 'F1 S1'").count() == 1
+    assert spark.read.parquet(f"{out}/silver/drivers").filter("full_name = 'Fore1 Sur1'").count() == 1
