@@ -120,7 +120,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "consistency": (
         ["driver_statistics"],
         """SELECT *, CASE WHEN round(position_variance, 9) < 2 THEN 'Very Consistent'
-             WHEN round(position_variance, 9) < 5 THEN 'Consistent' WHEN round(position_variance, 9) < 10 THEN 'Inconsistent' ELSE 'Very Inconsistent' END AS consistency_rating,
+             WHEN round(position_variance, 9) < 5 THEN 'Consistent' WHEN round(position_variance, 9) < 10 THEN 'Inconsistent'
+             ELSE 'Very Inconsistent' END AS consistency_rating,
            CASE WHEN round(rolling_average_position, 9) < 10 THEN 'Good Form'
              WHEN round(rolling_average_position, 9) < 15 THEN 'Average Form' ELSE 'Poor Form' END AS form_trend
            FROM (SELECT *, avg(average_finish_position) OVER w AS rolling_average_position,
