@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import repetition
+from lapwise.llm import minhash, repetition
+from lapwise.llm.shipping import ship
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -15,8 +17,13 @@ def op1_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.score(_table(spark, folder, "documents"))
 
 
+def op3_fast_similarity_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"), size=4)
+
+
 QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
+    "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
 }
 
 SQL: dict[str, str] = {}

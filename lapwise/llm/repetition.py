@@ -28,7 +28,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 # The suffix-array rule: largest covered fraction of the words, and longest repeat in words.
 MAX_COVERED = 0.2
-MAX_LONGEST = 200
+MAX_LONGEST = 100
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
