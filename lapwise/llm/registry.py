@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import minhash, repetition
+from lapwise.llm import minhash, packing, repetition
 from lapwise.llm.shipping import ship
 
 
@@ -21,9 +21,14 @@ def op3_fast_similarity_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=4)
 
 
+def op10_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
+    "op10_dominance_packing": op10_dominance_packing,
 }
 
 SQL: dict[str, str] = {}
