@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import minhash, packing, repetition
+from lapwise.llm import minhash, mixing, packing, repetition, sharding
 from lapwise.llm.shipping import ship
 
 
@@ -25,10 +25,60 @@ def op10_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op8_bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(_table(spark, folder, "documents"))
+
+
+def op9_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.weigh(_table(spark, folder, "documents"))
+
+
+def _op9_sql() -> str:
+    """The same raking as a chain of window sums."""
+    steps = [f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '{mixing.NONE}') AS source, coalesce(lang, '{mixing.NONE}') AS lang, text,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS n_tokens
+  FROM documents
+), rows_ AS (
+  SELECT doc_id, source, lang, n_tokens,
+    CASE WHEN 20 * (length(text) - length(translate(text, '#*$%&|<>', ''))) >= greatest(length(text), 1) THEN 'data'
+      WHEN n_tokens < 100 THEN 'note' WHEN n_tokens < 800 THEN 'article' ELSE 'book' END AS topic
+  FROM docs
+), cells AS (
+  SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS n FROM rows_ GROUP BY ALL HAVING sum(n_tokens) > 0
+)"""]
+    for name in ("source", "lang", "topic"):
+        steps.append(f"""t_{name} AS (
+  SELECT {name}, pow(sum(n), {mixing.FLATTEN}) / sum(pow(sum(n), {mixing.FLATTEN})) OVER () AS goal
+  FROM cells GROUP BY {name}
+)""")
+    last, value = "cells", "n"
+    for number in range(mixing.ROUNDS):
+        for name in ("source", "lang", "topic"):
+            here = f"w{number}_{name}"
+            steps.append(f"""{here} AS (
+  SELECT c.source, c.lang, c.topic, c.n, {value} * goal / sum({value}) OVER (PARTITION BY c.{name}) AS w
+  FROM {last} c JOIN t_{name} t ON c.{name} = t.{name}
+)""")
+            last, value = here, "w"
+    return ",\n".join(steps) + f"""
+SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, round(coalesce(w, 0), 9) AS cell_weight,
+  round(coalesce(p, 0), 9) AS probability,
+  ('0x' || substr(md5('{mixing.SEED}#' || coalesce(r.doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52)
+    < coalesce(p, 0) AS kept
+FROM rows_ r LEFT JOIN (SELECT *, w / n / max(w / n) OVER () AS p FROM {last}) f
+  ON r.source = f.source AND r.lang = f.lang AND r.topic = f.topic"""
+
+
 QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
+    "op8_bounded_ring": op8_bounded_ring,
+    "op9_raked_mixture": op9_raked_mixture,
     "op10_dominance_packing": op10_dominance_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_raked_mixture": _op9_sql(),
+}
