@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by smallest labels and shortcuts, with each round written out."""
+"""Connected components of a table of links, by contraction in a random order, with each round written out."""
 
 from __future__ import annotations
 
@@ -11,34 +11,41 @@ from lapwise.operators.staging import remove, stage
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, component) for all nodes of the links (a, b); the component is its smallest node.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so chains shrink
-    by half or more. Labels are small rows; a node with very many links is summed up by partial minima.
+    In each round every node joins the node of its neighbourhood that comes first by hash, and links are drawn between
+    what they joined; in random order that removes a fixed share of the nodes a round, also on long chains, and all
+    of a star at once. Nodes and links are narrow rows; a node with very many links is summed up by partial minima.
     """
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("near"))
-    edges = stage(both.union(links.select(F.col("b").alias("node"), F.col("a").alias("near"))))
-    labels = stage(edges.groupBy("node").agg(F.min("near").alias("near")).select(
-        "node", F.least("node", "near").alias("component"), F.lit(True).alias("moved")
-    ))
+    edges = stage(links.select("a", "b").filter("a <> b").distinct())
+    labels = None
     while True:
-        old = labels.select("node", "component")
-        seen = (
-            edges.join(old.select(F.col("node").alias("near"), "component"), "near")
-            .groupBy("node")
-            .agg(F.min("component").alias("seen"))
+        near = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("near"))
         )
-        nearest = old.join(seen, "node").select(
-            "node", F.col("component").alias("was"), F.least("component", "seen").alias("label")
+        own = F.struct(F.xxhash64("node").alias("order"), F.col("node").alias("near"))
+        first = F.min(F.struct(F.xxhash64("near").alias("order"), F.col("near")))
+        joined = stage(
+            near.groupBy("node").agg(first.alias("first")).select("node", F.least("first", own)["near"].alias("root"))
         )
-        shortcut = old.select(F.col("node").alias("label"), F.col("component").alias("further"))
-        fresh = stage(
-            nearest.join(shortcut, "label").select(
-                "node",
-                F.least("label", "further").alias("component"),
-                (F.least("label", "further") < F.col("was")).alias("moved"),
-            )
+        if labels is None:
+            labels = joined
+        else:
+            further = joined.select(F.col("node").alias("root"), F.col("root").alias("further"))
+            moved = stage(labels.join(further, "root", "left").select("node", F.coalesce("further", "root").alias("root")))
+            remove(labels)
+            labels = moved
+        fewer = stage(
+            edges.join(joined.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
+            .join(joined.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+            .filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         )
-        remove(labels)
-        labels = fresh
-        if labels.filter("moved").isEmpty():
-            remove(edges)
-            return labels.select("node", "component")
+        remove(edges)
+        if joined is not labels:
+            remove(joined)
+        edges = fewer
+        if edges.isEmpty():
+            break
+    named = labels.groupBy("root").agg(F.min("node").alias("component"))
+    found = stage(labels.join(named, "root").select("node", "component"))
+    remove(labels)
+    remove(edges)
+    return found

@@ -145,7 +145,7 @@ def _compared(pairs: DataFrame, sides: DataFrame, size: int) -> DataFrame:
 
     left = sides.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = sides.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(run, "a long, b long, percent int").groupBy("a", "b").agg(F.max("percent").alias("percent"))
 
 
@@ -175,7 +175,7 @@ def _late_links(members: DataFrame, sides: DataFrame, size: int) -> DataFrame:
     )
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     spread = (
-        members.join(groups.filter("low < high").select("grp", "n"), "grp")
+        members.join(groups.filter("low < high").select("grp", "n").hint("merge"), "grp")
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component")
@@ -203,14 +203,15 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
     vertices = stage(known.groupBy("mark", "check").agg(F.min(key).alias("node"), F.count("*").alias("rows")))
     banded = stage(
         known.withColumn("node", F.col(key))
-        .join(vertices.select("mark", "check", "node"), ["mark", "check", "node"], "left_semi")
+        .join(vertices.select("mark", "check", "node").hint("merge"), ["mark", "check", "node"], "left_semi")
         .select("node", F.explode("bands").alias("bucket"))
     )
     buckets = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    members = stage(banded.join(buckets.select("bucket", "low"), "bucket").filter("low < node"))
+    members = stage(banded.join(buckets.select("bucket", "low").hint("merge"), "bucket").filter("low < node"))
     remove(banded)
     pairs = stage(members.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # The merge hints keep one plan at every size: these sides grow with the documents and must never be broadcast.
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().hint("merge")
     sides = stage(df.select(F.col(key).alias("node"), F.col(text).alias("text")).join(named, "node", "left_semi"))
     compared = stage(_compared(pairs, sides, size))
     links = compared.filter(F.col("percent") >= PERCENT).select("a", "b")
@@ -236,7 +237,7 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
     )
     for done in (members, pairs, sides, compared, grouped, late, vertices):
         remove(done)
-    found = base.join(groups, ["mark", "check"], "left")
+    found = base.join(groups.hint("merge"), ["mark", "check"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("group", key)).otherwise(F.col(key))
     return found.select(key, "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True))

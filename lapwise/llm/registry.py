@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import minhash, mixing, packing, repetition, sharding
+from lapwise.llm import minhash, mixing, packing, repetition, sharding, toxicity
 from lapwise.llm.shipping import ship
 
 
@@ -25,6 +25,11 @@ def op10_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op4_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+
+
 def op8_bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(_table(spark, folder, "documents"))
 
@@ -74,6 +79,7 @@ FROM rows_ r LEFT JOIN (SELECT *, w / n / max(w / n) OVER () AS p FROM {last}) f
 QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
+    "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op8_bounded_ring": op8_bounded_ring,
     "op9_raked_mixture": op9_raked_mixture,
     "op10_dominance_packing": op10_dominance_packing,
