@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import minhash, mixing, packing, repetition, sharding, toxicity
+from lapwise.llm import langid, minhash, mixing, packing, repetition, sharding, toxicity
 from lapwise.llm.shipping import ship
 
 
@@ -30,6 +30,11 @@ def op4_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
 
 
+def op7_bitmask_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op8_bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(_table(spark, folder, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
+    "op7_bitmask_filters": op7_bitmask_filters,
     "op8_bounded_ring": op8_bounded_ring,
     "op9_raked_mixture": op9_raked_mixture,
     "op10_dominance_packing": op10_dominance_packing,

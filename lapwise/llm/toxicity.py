@@ -146,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .join(F.broadcast(chosen), "_id")  # 2 * SAMPLE rows at most
         .select("_label", "_order", "text")
         .mapInArrow(run, "_label int, _order long, _set binary")
+        .dropDuplicates(["_order"])  # one text of each labelled document
         .toArrow()
     )
     rows = sorted(zip(*[sampled.column(i).to_pylist() for i in (1, 2, 0)]))
