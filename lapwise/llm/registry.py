@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapwise.llm import langid, minhash, mixing, packing, repetition, sharding, toxicity
+from lapwise.llm import langid, minhash, mixing, packing, pivots, repetition, sharding, toxicity
 from lapwise.llm.shipping import ship
 
 
@@ -17,6 +18,10 @@ def op1_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.score(_table(spark, folder, "documents"))
 
 
+def op2_pivot_table(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_k(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_fast_similarity_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=4)
 
@@ -83,6 +88,7 @@ FROM rows_ r LEFT JOIN (SELECT *, w / n / max(w / n) OVER () AS p FROM {last}) f
 
 QUERIES = {
     "op1_suffix_repetition": op1_suffix_repetition,
+    "op2_pivot_table": op2_pivot_table,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op7_bitmask_filters": op7_bitmask_filters,
@@ -92,5 +98,17 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op2_pivot_table": f"""
+WITH v AS (
+  SELECT vec_id, [floor({pivots.SCALE} * x::DOUBLE) for x in embedding] AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id, score
+FROM s QUALIFY rank <= 10""",
     "op9_raked_mixture": _op9_sql(),
 }
