@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import langid, minhash, mixing, packing, pivots, repetition, sharding, toxicity
+from lapwise.llm import langid, licenses, minhash, mixing, packing, pivots, repetition, sharding, toxicity
 from lapwise.llm.shipping import ship
 
 
@@ -35,6 +35,11 @@ def op4_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
 
 
+def op5_license_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op7_bitmask_filters(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -91,6 +96,7 @@ QUERIES = {
     "op2_pivot_table": op2_pivot_table,
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
+    "op5_license_paragraphs": op5_license_paragraphs,
     "op7_bitmask_filters": op7_bitmask_filters,
     "op8_bounded_ring": op8_bounded_ring,
     "op9_raked_mixture": op9_raked_mixture,
