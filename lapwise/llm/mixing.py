@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lapwise.operators.staging import stage
 
 ROUNDS = 12
-FLATTEN = 0.7
+FLATTEN = 0.85
 SEED = "mix"
 NONE = "(none)"
 DIMENSIONS = ("_source", "_lang", "_topic")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import langid, licenses, minhash, mixing, packing, pivots, repetition, sharding, toxicity
+from lapwise.llm import langid, licenses, minhash, mixing, packing, pivots, pseudo_likelihood, repetition, sharding, toxicity
 from lapwise.llm.shipping import ship
 
 
@@ -40,6 +40,11 @@ def op5_license_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(docs))
 
 
+def op6_masked_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs))
+
+
 def op7_bitmask_filters(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -97,6 +102,7 @@ QUERIES = {
     "op3_fast_similarity_sketch": op3_fast_similarity_sketch,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op5_license_paragraphs": op5_license_paragraphs,
+    "op6_masked_pseudo_likelihood": op6_masked_pseudo_likelihood,
     "op7_bitmask_filters": op7_bitmask_filters,
     "op8_bounded_ring": op8_bounded_ring,
     "op9_raked_mixture": op9_raked_mixture,
