@@ -238,7 +238,8 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
     for done in (members, pairs, sides, compared, grouped, late, vertices):
         remove(done)
     found = base.join(groups.hint("merge"), ["mark", "check"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("group", key)).otherwise(F.col(key))
+    linked = (F.col("n_shingles") > 0) & F.col(key).isNotNull()
+    component = F.when(linked, F.coalesce("group", key)).otherwise(F.col(key))
     return found.select(key, "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True))
     )
