@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.operators.running import MAX_GROUP_ROWS, framed, largest_group
+from lapwise.operators.running import framed
 from lapwise.operators.staging import stage
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
@@ -140,7 +140,6 @@ def lap_features(
     since: int = 2015,
     min_laps: int = 10,
     average_bounds: tuple[int, int] = (60000, 180000),
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """One row per lap of a usable race.
 
@@ -163,22 +162,16 @@ def lap_features(
         .join(drivers.select("driverId", "dob"), "driverId", "left")
         .join(places, ["raceId", "driverId"], "left")
     )
-    # Bounds from the laps alone: the joins above keep or drop laps, they never add any.
-    per_race = laps.groupBy("raceId").count()
-    per_circuit = per_race.join(race, "raceId").groupBy("circuitId").agg(F.sum("count").alias("n"))
-    driver_rows = largest_group(laps, ["driverId"])
-    circuit_rows = per_circuit.agg(F.max("n")).first()[0] or 0
-    hot = max(driver_rows, circuit_rows) > (MAX_GROUP_ROWS if max_group_rows is None else max_group_rows)
-    settled = stage if hot else (lambda df: df)  # split frames read their input several times
+    # Frames in blocks read their input several times, so it is staged.
     by_driver = framed(
-        settled(joined), ["driverId"], [F.asc("raceId"), F.asc("lap")], 5, -1,
+        stage(joined), ["driverId"], [F.asc("raceId"), F.asc("lap")], 5, -1,
         {"driver_avg_lap_time_recent": F.avg("milliseconds")},
-        splits=[c("raceId"), F.floor(c("lap") / 1000)], max_group_rows=max_group_rows, group_rows=driver_rows,
+        splits=[c("raceId"), F.floor(c("lap") / 1000)],
     )
     both = framed(
-        settled(by_driver), ["circuitId"], [F.asc("raceId"), F.asc("lap"), F.asc("driverId")], 10, -1,
+        stage(by_driver), ["circuitId"], [F.asc("raceId"), F.asc("lap"), F.asc("driverId")], 10, -1,
         {"circuit_avg_lap_time_recent": F.avg("milliseconds")},
-        splits=[c("raceId"), c("lap")], max_group_rows=max_group_rows, group_rows=circuit_rows,
+        splits=[c("raceId"), c("lap")],
     )
     region_is = lambda name: c("circuit_region") == name
     street = c("name").rlike(C.STREET_PATTERN)

@@ -3,7 +3,7 @@
 Two ledgers hold one row per run and one row per table write. Every report is an aggregation over them, with the
 clock as a parameter.
 
-* runs: run_name, started, ended, status, rows_processed, seconds, error
+* runs: run_id, run_name, started, ended, status, rows_processed, seconds, error
 * tables: table_name, recorded, row_count, size_mb, partitions, quality_score
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN_SCHEMA = (
-    "run_name STRING, started TIMESTAMP, ended TIMESTAMP, status STRING, rows_processed BIGINT, tables STRING, "
+    "run_id STRING, run_name STRING, started TIMESTAMP, ended TIMESTAMP, status STRING, rows_processed BIGINT, tables STRING, "
     "seconds DOUBLE, error STRING"
 )
 
@@ -41,6 +41,7 @@ OTHER_WIDTH = 20
 
 def run_record(
     spark: SparkSession,
+    run_id: str,
     name: str,
     started: dt.datetime,
     ended: dt.datetime | None,
@@ -49,12 +50,19 @@ def run_record(
     tables: list[str] | None = None,
     error: str | None = None,
 ) -> DataFrame:
-    """One row to append to the run ledger; ``RUNNING`` has no end."""
+    """One row to append to the run ledger; ``RUNNING`` has no end and stands until a row with an end follows it."""
     seconds = (ended - started).total_seconds() if ended else None
-    row = (name, started, ended, status, rows, ",".join(tables or []), seconds, error)
+    row = (run_id, name, started, ended, status, rows, ",".join(tables or []), seconds, error)
     return spark.createDataFrame([row], RUN_SCHEMA)
 
 
+def current_runs(runs: DataFrame) -> DataFrame:
+    """The last row of each run: its end if it has one, else the row of its start."""
+    values = [c for c in runs.columns if c != "run_id"]
+    last = F.max_by(F.struct(*values), F.struct(F.col("ended").isNotNull(), F.col("ended")))
+    return runs.groupBy("run_id").agg(last.alias("r")).select("run_id", "r.*").select(*runs.columns)
+
+
 def final_status(done: int, planned: int) -> str:
     if done == planned:
         return "SUCCESS"

@@ -10,6 +10,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,7 +73,18 @@ def _problem(df: DataFrame, spec: CheckSpec) -> str | None:
     if spec.kind == "schema_check":
         return None if spec.expected is not None else "no schema given"
     missing = [c for c in spec.columns if c not in df.columns]
-    return f"missing column {','.join(missing)}" if missing else None
+    if missing:
+        return f"missing column {','.join(missing)}"
+    return _invalid(df, spec.condition) if spec.kind == "range_check" else None
+
+
+def _invalid(df: DataFrame, condition: str) -> str | None:
+    """Why a condition cannot be evaluated on ``df``, found by analysing it alone."""
+    try:
+        kind = df.select(F.expr(condition).alias("c")).schema["c"].dataType
+    except AnalysisException as error:
+        return f"invalid condition: {error.getCondition() or 'error'}"
+    return None if kind == T.BooleanType() else f"condition is {kind.simpleString()}, not boolean"
 
 
 def _measure(df: DataFrame, spec: CheckSpec, i: int) -> Column:

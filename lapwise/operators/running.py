@@ -1,10 +1,9 @@
 """Ordered numbering and frames that do not need a whole group in one task.
 
-A window function sorts one key's rows in one task. That is right for small groups and wrong for a key that
-holds a third of a 100 TB table. The functions here count the largest group first (one aggregation over the
-key columns only). Up to ``MAX_GROUP_ROWS`` they use a plain window; beyond it they take an equal but split
-form: each group is cut along its sort order into cells, every cell is numbered on its own, and the totals of
-the preceding cells are added from a small table of per-cell sums.
+A window function sorts one key's rows in one task. That is right where the domain bounds a group (laps of a driver in
+a race, lines of an order) and wrong for a key that may hold a third of a 100 TB table. The functions here always take
+the split form: each group is cut along its sort order into cells, every cell is numbered on its own, and the totals
+of the preceding cells are added from a small table of per-cell sums. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -12,40 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one group that one task may sort.
-MAX_GROUP_ROWS = 2_000_000
-
 # Rows per block of a split frame.
 BLOCK_ROWS = 100_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; partial counts first, then one number reaches the driver."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
-
-
 def running_totals(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    totals: dict[str, Column],
-    splits: list[Column],
-    max_group_rows: int | None = None,
-    group_rows: int | None = None,
+    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], splits: list[Column]
 ) -> DataFrame:
     """Add running sums (current row included) of integer columns per group, in ``order``.
 
     ``totals`` maps each new column to the integer it sums; ``F.lit(1)`` gives a row number. ``splits`` cut
     the order into cells, coarse to fine; each must be non-decreasing along ``order`` within the ones before.
-    ``group_rows`` is an upper bound of the largest group where the caller knows one without counting ``df``.
     Key and split columns must not be null, and ``order`` must be total for a repeatable result.
     """
-    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if (largest_group(df, keys) if group_rows is None else group_rows) <= limit:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(upto) for name, value in totals.items()})
-
     cuts = [f"_cut{i}" for i in range(len(splits))]
     parts = {name: f"_part_{name}" for name in totals}
     rows = df.withColumns(dict(zip(cuts, splits)))
@@ -77,17 +55,9 @@ def _carries(cells: DataFrame, keys: list[str], cuts: list[str], parts: dict[str
     )
 
 
-def row_numbers(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str,
-    splits: list[Column],
-    max_group_rows: int | None = None,
-    group_rows: int | None = None,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[Column], name: str, splits: list[Column]) -> DataFrame:
     """Add a row number per group in ``order``."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, splits, max_group_rows, group_rows)
+    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, splits)
 
 
 def framed(
@@ -98,24 +68,16 @@ def framed(
     following: int,
     frames: dict[str, Column],
     splits: list[Column],
-    max_group_rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Add aggregates over the frame of rows ``-preceding .. following`` per group, ``following`` <= 0.
 
-    Groups above the limit are numbered, cut into blocks of ``block_rows`` rows, and the last ``preceding``
-    rows of a block are also given to the next one, so every frame is whole inside its block.
+    Rows are numbered and cut into blocks of ``block_rows`` rows, and the last ``preceding`` rows of a block are also
+    given to the next one, so every frame is whole inside its block.
     """
     if following > 0 or preceding > block_rows:
         raise ValueError("the frame must end at or before the current row and fit in a block")
-    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    largest = largest_group(df, keys) if group_rows is None else group_rows
-    if largest <= limit:
-        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-preceding, following)
-        return df.withColumns({name: agg.over(frame) for name, agg in frames.items()})
-
-    numbered = row_numbers(df, keys, order, "_n", splits, limit, largest)
+    numbered = row_numbers(df, keys, order, "_n", splits)
     block = F.floor((F.col("_n") - 1) / block_rows)
     in_tail = (F.col("_n") - 1) % block_rows >= block_rows - preceding
     targets = F.when(in_tail, F.array(block, block + 1)).otherwise(F.array(block))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import metrics as M
 from lapwise.operators.running import row_numbers
-from lapwise.operators.staging import stage
 
 
 def season_partials(facts: DataFrame) -> DataFrame:
@@ -115,20 +114,18 @@ def driver_seasons(partials: DataFrame, drivers: DataFrame) -> DataFrame:
     return driver_measures(roll_up(partials, "driverId", "year").drop("members")).join(names, "driverId")
 
 
-def championship_standings(seasons: DataFrame, max_group_rows: int | None = None) -> DataFrame:
+def championship_standings(seasons: DataFrame) -> DataFrame:
     """Rank drivers within each year; ties end at the driver id.
 
-    The gap is own minus leader (never positive); the status reads how far behind that is. ``seasons`` is
-    aggregated once and staged, since it is counted, ranked and searched for the leader.
+    The gap is own minus leader (never positive); the status reads how far behind that is. A year is ranked in cells
+    of points, so no task holds a year.
     """
-    seasons = stage(seasons)
     ranked = row_numbers(
         seasons,
         ["year"],
         [F.desc("total_points"), F.desc("total_wins"), F.desc("total_podiums"), F.asc("driverId")],
         "championship_position",
         splits=[F.floor(-F.col("total_points") / (1 << 20)), F.floor(-F.col("total_points") / 32)],
-        max_group_rows=max_group_rows,
     )
     leaders = seasons.groupBy("year").agg(F.max("total_points").alias("leader_points"))
     behind = F.col("leader_points") - F.col("total_points")

@@ -5,12 +5,12 @@ All of them aggregate before they join or rank, and none pairs the members of a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.operators.running import running_totals
+from lapwise.operators.running import framed, running_totals
 
 
 def pace_index(laps: DataFrame) -> DataFrame:
@@ -24,45 +24,56 @@ def pace_index(laps: DataFrame) -> DataFrame:
     )
 
 
-def undercut_efficiency(stops: DataFrame, places: DataFrame, last_place: int = C.POSITION_RANGE[1]) -> DataFrame:
+def undercut_efficiency(stops: DataFrame, places: DataFrame) -> DataFrame:
     """Share of later-stopping rivals a driver finishes ahead of.
 
-    A rival makes the same numbered stop of the same race on a later lap; only classified drivers count
-    (places 1 .. ``last_place``, the valid range of cleaned results). Instead of pairing drivers, later stops are
-    counted per place with one suffix sum over laps, and each stop adds up the counts of worse places.
+    A rival makes the same numbered stop of the same race on a later lap; only classified drivers (place 1 or worse)
+    count. Drivers are not paired. A worse place is larger, so at the first binary digit in which it differs it has 1
+    where the driver's place has 0: for each digit, stops with 1 are counted under the digits above, and a stop with 0
+    there adds up the counts of later laps under its own digits above. Places have no upper limit.
     """
-    placed = stops.join(places.filter(F.col("position").between(1, last_place)), ["raceId", "driverId"])
-    numbers = range(1, last_place + 1)
-    cells = placed.groupBy("raceId", "stop", "lap").agg(
-        *[F.count_if(F.col("position") == p).alias(f"p{p}") for p in numbers]
-    )
-    later = Window.partitionBy("raceId", "stop").orderBy("lap").rowsBetween(1, Window.unboundedFollowing)
-    suffix = cells.select(
-        "raceId", "stop", "lap",
-        F.array(*[F.coalesce(F.sum(f"p{p}").over(later), F.lit(0)) for p in numbers]).alias("later"),
-    )
-    total = lambda counts: F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
-    judged = placed.join(suffix, ["raceId", "stop", "lap"]).select(
-        "driverId",
-        total(F.col("later")).alias("rivals"),
-        total(F.slice("later", F.col("position") + 1, F.lit(last_place))).alias("beaten"),
+    stop = ["raceId", "stop"]
+    placed = stops.join(places.filter(F.col("position") >= 1), ["raceId", "driverId"]).select(
+        *stop, "lap", "driverId", F.col("position").cast("long").alias("position")
+    )
+    digits = F.explode(F.sequence(F.lit(0), F.lit(30))).alias("digit")
+    shifted = F.expr("shiftright(position, digit)")
+    by_digit = placed.select(*stop, "lap", "driverId", "position", digits).select(
+        *stop, "lap", "driverId", "digit", F.expr("shiftright(position, digit + 1)").alias("above"),
+        (shifted % 2 == 1).alias("one"),
+    )
+    all_later = _later(placed, stop).join(placed, [*stop, "lap"]).groupBy("driverId").agg(F.sum("later").alias("rivals"))
+    under = [*stop, "digit", "above"]
+    waits = by_digit.filter("not one").groupBy(*under, "lap", "driverId").count()
+    marks = by_digit.withColumn("weight", F.col("one").cast("long"))
+    beaten = (
+        _later(marks, under, F.sum("weight")).join(waits, [*under, "lap"])
+        .groupBy("driverId").agg(F.sum(F.col("later") * F.col("count")).alias("beaten"))
     )
     return (
-        judged.groupBy("driverId")
-        .agg(F.sum("rivals").alias("rivals"), F.sum("beaten").alias("beaten"))
-        .filter("rivals > 0")
+        all_later.filter("rivals > 0").join(beaten, "driverId", "left").na.fill(0, ["beaten"])
         .withColumn("undercut_efficiency", M.ratio(F.col("beaten"), F.col("rivals")))
     )
 
 
-def with_tyre_age(laps: DataFrame, stops: DataFrame, max_group_rows: int | None = None) -> DataFrame:
-    """Laps with their stint (stops made so far, the lap of the stop included) and tyre age, which starts at 1."""
+def _later(rows: DataFrame, keys: list[str], count: Column | None = None) -> DataFrame:
+    """Per key and lap, the rows (or their weight) of later laps; laps are counted in cells of a thousand."""
+    counted = F.count(F.lit(1)) if count is None else count
+    laps = rows.groupBy(*keys, "lap").agg(counted.alias("own"))
+    totals = running_totals(laps, keys, [F.desc("lap")], {"upto": F.col("own")}, [F.floor(-F.col("lap") / 1000)])
+    return totals.select(*keys, "lap", (F.col("upto") - F.col("own")).alias("later"))
+
+
+def with_tyre_age(laps: DataFrame, stops: DataFrame) -> DataFrame:
+    """Laps with their stint (stops made so far, the lap of the stop included) and tyre age, which starts at 1.
+
+    A window holds the laps of one driver in one race.
+    """
     race = ["raceId", "driverId"]
     marks = stops.groupBy(*race, "lap").agg(F.count(F.lit(1)).alias("_stops"))
     flagged = laps.join(marks, [*race, "lap"], "left").na.fill(0, ["_stops"])
-    stints = running_totals(
-        flagged, race, [F.asc("lap")], {"stint": F.col("_stops")}, [F.floor(F.col("lap") / 1000)], max_group_rows
-    ).drop("_stops")
+    upto = Window.partitionBy(*race).orderBy("lap").rowsBetween(Window.unboundedPreceding, 0)
+    stints = flagged.withColumn("stint", F.sum("_stops").over(upto)).drop("_stops")
     starts = stints.groupBy(*race, "stint").agg(F.min("lap").alias("_start"))
     return (
         stints.join(starts, [*race, "stint"]).withColumn("tyre_age", F.col("lap") - F.col("_start") + 1).drop("_start")
@@ -169,10 +180,11 @@ def head_to_head(facts: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def against_leader(standings: DataFrame) -> DataFrame:
-    """Pairs of every driver with the leader of the season."""
-    leaders = standings.filter("championship_position = 1").select("year", F.col("driverId").alias("rivalId"))
-    return standings.select("year", "driverId").join(leaders, "year").filter("driverId <> rivalId")
+def against_leader(seasons: DataFrame) -> DataFrame:
+    """Pairs of every driver with the leader of the season, found as a maximum in the order of the standings."""
+    order = F.struct("total_points", "total_wins", "total_podiums", -F.col("driverId"))
+    leaders = seasons.groupBy("year").agg(F.max_by("driverId", order).alias("rivalId"))
+    return seasons.select("year", "driverId").join(leaders, "year").filter("driverId <> rivalId")
 
 
 def season_trend(seasons: DataFrame) -> DataFrame:
@@ -230,10 +242,12 @@ def eliminated(facts: DataFrame, races: DataFrame, after_round: int, max_points_
 
 
 def lap_progression(laps: DataFrame, window_laps: int = 3) -> DataFrame:
-    """Mean time per race and lap number, smoothed over the last laps; a window holds the lap numbers of one race."""
+    """Mean time per race and lap number, smoothed over the last laps; long races are smoothed in blocks."""
     per_lap = laps.groupBy("raceId", "lap").agg(F.avg("milliseconds").alias("average"))
-    recent = Window.partitionBy("raceId").orderBy("lap").rowsBetween(-(window_laps - 1), 0)
-    return per_lap.withColumn("smoothed", F.avg("average").over(recent))
+    return framed(
+        per_lap, ["raceId"], [F.asc("lap")], window_laps - 1, 0, {"smoothed": F.avg("average")},
+        splits=[F.floor(F.col("lap") / 1000)],
+    )
 
 
 def gains_by_stops(qualifying_vs_race: DataFrame, stops: DataFrame) -> DataFrame:

@@ -51,7 +51,9 @@ class Lake:
         schema = LEDGERS[name]
         try:
             return self.spark.read.schema(schema).parquet(f"{self.base}/monitoring/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def note(self, name: str, df: DataFrame) -> None:
@@ -150,27 +152,39 @@ def run(
         "silver": [(SPECS[n], lambda make=make: readers.updated(make(lake), at)) for n, make in SILVER_BUILDERS.items()],
         "gold": [(SPECS[n], lambda make=make: readers.updated(make(lake), at)) for n, make in GOLD_BUILDERS.items()],
     }
-    states = {}
+    states: dict[str, str] = {}
     for layer, steps in layers.items():
         wanted = [(spec, make) for spec, make in steps if tables is None or spec.full_name in tables]
         if not wanted:
             continue
-        started, done, problems = dt.datetime.now(), [], []
-        for spec, make in wanted:
-            try:
-                if _publish(lake, spec, make(), batch_id, at):
-                    done.append(spec.full_name)
-                else:
-                    problems.append(f"{spec.full_name}: failed checks")
-            except (AnalysisException, LookupError) as error:
-                problems.append(f"{spec.full_name}: {error}")
-        states[layer] = mon.final_status(len(done), len(wanted))
+        states[layer] = _run_layer(lake, layer, wanted, batch_id, at)
+    return states
+
+
+def _run_layer(lake: Lake, layer: str, wanted: list, batch_id: int, at: dt.datetime) -> str:
+    """Publish the tables of one layer. The ledger has the start of the run at once, and its end also after a crash."""
+    started, done, problems = dt.datetime.now(), [], []
+    run_id = f"{layer}-{batch_id}-{started.isoformat()}"
+    lake.note("runs", mon.run_record(lake.spark, run_id, layer, started, None, "RUNNING"))
+
+    def close(status: str) -> None:
         written = lake.ledger("tables").filter((F.col("batch_id") == batch_id) & F.col("table_name").isin(done))
         rows = mon.latest_per_table(written).agg(F.sum("row_count")).first()[0] or 0
-        lake.note(
-            "runs",
-            mon.run_record(
-                spark, layer, started, dt.datetime.now(), states[layer], rows, done, "; ".join(problems) or None
-            ),
-        )
-    return states
+        error = "; ".join(problems) or None
+        lake.note("runs", mon.run_record(lake.spark, run_id, layer, started, dt.datetime.now(), status, rows, done, error))
+
+    for spec, make in wanted:
+        try:
+            if _publish(lake, spec, make(), batch_id, at):
+                done.append(spec.full_name)
+            else:
+                problems.append(f"{spec.full_name}: failed checks")
+        except (AnalysisException, LookupError) as error:
+            problems.append(f"{spec.full_name}: {error}")
+        except Exception as error:
+            problems.append(f"{spec.full_name}: {error}")
+            close("FAILED")
+            raise
+    status = mon.final_status(len(done), len(wanted))
+    close(status)
+    return status

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapwise.operators.running import row_numbers
 from lapwise.plans import kpis, silver
 from lapwise.queries.common import sql
-from lapwise.queries.gold import bound, partials, pits, qualifying_vs_race, rounded, seasons, standings
+from lapwise.queries.gold import bound, partials, pits, qualifying_vs_race, rounded, seasons
 from lapwise.sources.binding import Binding
 
 MAX_PER_ROUND = 12.0
@@ -18,13 +19,14 @@ def facts(b: Binding) -> DataFrame:
 
 
 def _places(b: Binding) -> DataFrame:
-    """A finishing place for everyone who drove laps, from the ids of driver and race."""
-    drove = b.lap_times().select("raceId", "driverId").distinct()
-    return drove.withColumn("position", ((F.col("driverId") * 7 + F.col("raceId")) % 20 + 1).cast("int"))
+    """The finishing order of everyone who drove laps, by total time."""
+    drove = b.lap_times().groupBy("raceId", "driverId").agg(F.sum("milliseconds").alias("total"))
+    order = [F.asc("total"), F.asc("driverId")]
+    return row_numbers(drove, ["raceId"], order, "position", [F.floor(F.col("total") / 100_000)]).drop("total")
 
 
 def _weighted(b: Binding) -> DataFrame:
-    aged = kpis.with_tyre_age(b.lap_times(), b.pit_stops(), b.max_group_rows)
+    aged = kpis.with_tyre_age(b.lap_times(), b.pit_stops())
     scores = kpis.weighted_consistency(aged)
     return scores.select(
         "driverId", "year", "laps", *[F.round(c, 4).alias(c) for c in ["weighted_mean", "weighted_stddev", "consistency"]]
@@ -44,7 +46,7 @@ QUERIES = {
     "kpi6_grid_statistics": bound(
         lambda b: rounded(kpis.grid_statistics(qualifying_vs_race(b)), "correlation", "slope", "intercept")
     ),
-    "kpi7_head_to_head": bound(lambda b: kpis.head_to_head(facts(b), kpis.against_leader(standings(b)))),
+    "kpi7_head_to_head": bound(lambda b: kpis.head_to_head(facts(b), kpis.against_leader(seasons(b)))),
     "kpi7_season_trend": bound(lambda b: kpis.season_trend(seasons(b))),
     "kpi7_standings_evolution": bound(lambda b: kpis.standings_evolution(facts(b), b.races())),
     "kpi8_contribution": bound(lambda b: kpis.contribution(partials(b))),
@@ -70,8 +72,11 @@ SQL = {
         """SELECT a.driverId, count(*) AS rivals, count(*) FILTER (WHERE a.position < b.position) AS beaten,
         count(*) FILTER (WHERE a.position < b.position) / count(*) AS undercut_efficiency
         FROM placed a JOIN placed b ON a.raceId = b.raceId AND a.stop = b.stop AND a.lap < b.lap GROUP BY a.driverId""",
-        "pit_stops",
-        placed="SELECT *, (driverId * 7 + raceId) % 20 + 1 AS position FROM pit_stops",
+        "pit_stops", "laps",
+        placed="""SELECT * FROM pit_stops JOIN (SELECT raceId, driverId, row_number() OVER
+        (PARTITION BY raceId ORDER BY sum(milliseconds), driverId) AS position
+        FROM laps GROUP BY raceId, driverId)
+        USING (raceId, driverId)""",
     ),
     "kpi3_weighted_consistency": sql(
         """SELECT driverId, year, laps, round(m, 4) AS weighted_mean, round(s, 4) AS weighted_stddev,

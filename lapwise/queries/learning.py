@@ -6,7 +6,7 @@ Feature tables and reports have SQL counterparts; fitted models do not.
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.functions import clean
@@ -14,7 +14,6 @@ from lapwise.ml import features as ft
 from lapwise.ml import forecast as fc
 from lapwise.ml import models as ml
 from lapwise.ml import segments as sg
-from lapwise.operators.running import running_totals
 from lapwise.operators.staging import scratch, stage
 from lapwise.plans import gold, silver
 from lapwise.queries.common import sql
@@ -57,7 +56,7 @@ def laps(b: Binding) -> DataFrame:
     places = silver.cleaned_results(b.results()).groupBy("raceId", "driverId").agg(F.min("position").alias("position"))
     return ft.lap_features(
         b.lap_times(), b.races(), silver.circuits(b.circuits()), silver.drivers(b.raw_drivers()), places,
-        since=SINCE, min_laps=2, average_bounds=(0, 180000), max_group_rows=b.max_group_rows,
+        since=SINCE, min_laps=2, average_bounds=(0, 180000),
     )
 
 
@@ -96,9 +95,12 @@ def _lap_regression(b: Binding):
 
 
 def _scores(b: Binding) -> DataFrame:
-    """The seasons kept from training, scored as a batch."""
-    model, predictions = _winner_forest(b)
-    batch = predictions.select(*SEASON_KEY, "is_winner", *ft.WINNER_FEATURES)
+    """All seasons, scored as a batch."""
+    data = _labelled_seasons(b, "is_winner")
+    model, _ = ml.fitted(
+        data, SEASON_KEY, ft.WINNER_FEATURES, ml.classifiers("is_winner")["random_forest"], "is_winner"
+    )
+    batch = data.select(*SEASON_KEY, "is_winner", *ft.WINNER_FEATURES)
     return ml.scored(model, batch).select(
         *SEASON_KEY, "is_winner", "prediction", "win_probability", "confidence"
     )
@@ -214,10 +216,9 @@ def _split_sizes(b: Binding) -> DataFrame:
 
 
 def _running_time(b: Binding) -> DataFrame:
-    return running_totals(
-        b.lap_times(), ["raceId", "driverId"], [F.asc("lap")], {"cumulative_time": F.col("milliseconds")},
-        splits=[F.floor(F.col("lap") / 1000)], max_group_rows=b.max_group_rows,
-    ).select("raceId", "driverId", "lap", "cumulative_time")
+    upto = Window.partitionBy("raceId", "driverId").orderBy("lap").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("milliseconds").over(upto)
+    return b.lap_times().select("raceId", "driverId", "lap", total.alias("cumulative_time"))
 
 
 _LAP_ROUNDS = [

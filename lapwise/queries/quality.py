@@ -108,6 +108,40 @@ def runs(b: Binding) -> DataFrame:
     )
 
 
+def _ledger(b: Binding) -> DataFrame:
+    """Every run as written: a row of its start, and for most a row of its end."""
+    ended = runs(b).withColumn("ended", F.col("started") + F.make_dt_interval(secs=F.col("seconds")))
+    begun = ended.withColumns({
+        "ended": F.lit(None).cast("timestamp_ntz"), "status": F.lit("RUNNING"), "rows_processed": F.lit(0).cast("long"),
+        "seconds": F.lit(None).cast("double"),
+    })
+    return begun.withColumn("ended", F.col("ended").cast(ended.schema["ended"].dataType)).union(
+        ended.filter("status <> 'FAILED'")
+    )
+
+
+def _bad_conditions(b: Binding) -> DataFrame:
+    """Conditions that cannot run fail alone; the sound checks beside them still run."""
+    specs = [
+        CheckSpec("unknown_column", "range_check", [], "no_such_column > 1", threshold=0.0),
+        CheckSpec("bad_syntax", "range_check", [], "laps >>>", threshold=0.0),
+        CheckSpec("not_boolean", "range_check", [], "laps + 1", threshold=0.0),
+        CheckSpec("missing", "null_check", ["no_such_column"], threshold=0.0),
+        CheckSpec("laps_known", "range_check", ["laps"], "laps IS NOT NULL", threshold=0.0),
+    ]
+    return dq.run_checks(_placed(b), specs).select("check_name", "status", "total_rows", "bad_rows")
+
+
+def _gates(b: Binding) -> DataFrame:
+    """Per set of checks, whether its table is accepted: warnings pass, failures do not."""
+    sets = {"results": RESULT_CHECKS, "tolerant": RESULT_CHECKS[:1], "counted": RESULT_CHECKS[5:6]}
+    verdicts = [
+        dq.run_checks(_placed(b), specs).groupBy().agg((F.count_if(F.col("status") == "FAIL") == 0).alias("accepted"))
+        .select(F.lit(name).alias("suite"), "accepted") for name, specs in sets.items()
+    ]
+    return reduce(DataFrame.unionByName, verdicts)
+
+
 def tables(b: Binding) -> DataFrame:
     """A table ledger: one record per event for a table named after its type and user."""
     return b.given("events").select(
@@ -144,6 +178,11 @@ QUERIES = {
     "dq2_duplicates": bound(lambda b: rounded(dq.run_checks(_placed(b), DUPLICATE_CHECKS), "bad_pct")),
     "dq4_schema_and_rows": bound(lambda b: _schema_and_rows(b).select("check_name", "status", "total_rows", "bad_rows")),
     "dq5_freshness": bound(_freshness),
+    "dq7_bad_conditions": bound(_bad_conditions),
+    "dq10_gates": bound(_gates),
+    "mon1_current_runs": bound(
+        lambda b: mon.current_runs(_ledger(b)).select("run_id", "run_name", "status", "rows_processed")
+    ),
     "dq8_summary": bound(
         lambda b: rounded(
             dq.summary(dq.run_checks(_placed(b), [*RESULT_CHECKS, *DUPLICATE_CHECKS])), "pass_rate"
@@ -352,6 +391,24 @@ SQL = {
         END AS status, total_rows FROM (SELECT date_diff('second', max(ts), TIMESTAMP '2024-02-01 12:00:00') / 3600.0
         AS age, count(*) AS total_rows FROM events), (VALUES ('fresh', 48), ('late', 1)) v(check_name, hours)
         UNION ALL SELECT 'event_times', 'PASS', count(*) FROM events""",
+    "dq7_bad_conditions": sql(
+        """SELECT * FROM (VALUES ('unknown_column'), ('bad_syntax'), ('not_boolean'), ('missing')) v(check_name),
+        (SELECT 'FAIL' AS status, CAST(NULL AS BIGINT) AS total_rows, CAST(NULL AS BIGINT) AS bad_rows)
+        UNION ALL SELECT 'laps_known', CASE WHEN count(*) > count(laps) THEN 'FAIL' ELSE 'PASS' END, count(*),
+        count(*) - count(laps) FROM facts""",
+        "facts",
+    ),
+    "dq10_gates": sql(
+        f"""SELECT 'results' AS suite, count(*) FILTER (WHERE status = 'FAIL') = 0 AS accepted FROM ({_RESULT_SQL})
+        UNION ALL SELECT 'tolerant', (SELECT count(*) FILTER (WHERE position IS NULL) * 100.0 / count(*) <= 50 FROM facts)
+        UNION ALL SELECT 'counted', (SELECT count(*) >= 100 FROM facts)""",
+        "facts",
+    ),
+    "mon1_current_runs": sql(
+        """SELECT run_id, run_name, CASE WHEN status = 'FAILED' THEN 'RUNNING' ELSE status END AS status,
+        CASE WHEN status = 'FAILED' THEN 0 ELSE rows_processed END AS rows_processed FROM runs""",
+        runs=_RUNS,
+    ),
     "dq8_summary": sql(
         f"""SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed_checks,
         count(*) FILTER (WHERE status = 'WARNING') AS warning_checks,

@@ -5,6 +5,8 @@ Round trips write Spark-derived data to shared scratch storage and read it back.
 
 from __future__ import annotations
 
+import uuid
+
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -118,7 +120,7 @@ def _evolved(b: Binding) -> DataFrame:
 def _clustered(b: Binding) -> DataFrame:
     path = scratch(b.spark, "laps-clustered")
     writers.clustered(b.lap_times(), ["raceId", "driverId", "lap"]).write.parquet(path)
-    return readers.read_table(b.spark, path).filter("raceId BETWEEN 5 AND 9").groupBy("raceId").agg(
+    return readers.read_table(b.spark, path).groupBy("raceId").agg(
         F.count(F.lit(1)).alias("laps"), F.sum("milliseconds").alias("milliseconds")
     )
 
@@ -292,7 +294,26 @@ def _refreshed(b: Binding) -> DataFrame:
     return writers.refresh(current, scratch(b.spark, "current-standings"))
 
 
+def _registered(b: Binding) -> DataFrame:
+    """A partitioned table known to the catalog, read by its name; only the entry is dropped afterwards."""
+    name = f"registered_{uuid.uuid4().hex}"
+    path = scratch(b.spark, name)
+    writers.write_table(b.races().select("raceId", "year", "round"), path, ["year"])
+    writers.register(b.spark, name, path)
+    return b.spark.table(name).groupBy("year").agg(
+        F.count(F.lit(1)).alias("races"), F.sum("raceId").cast("long").alias("id_sum")
+    )
+
+
+def _given_rows(b: Binding) -> DataFrame:
+    """Scoring inputs given as rows, joined to the stored table they refer to."""
+    wanted = readers.from_rows(b.spark, [(year, f"season {year}") for year in range(1992, 1999)], "year INT, label STRING")
+    return b.races().join(wanted, "year").groupBy("year", "label").agg(F.count(F.lit(1)).alias("races"))
+
+
 QUERIES = {
+    "src8_given_rows": bound(_given_rows),
+    "snk2_registered_table": bound(_registered),
     "src1_csv_races": bound(_csv_races),
     "src2_json_results": bound(_json_results),
     "src3_directory_scan": bound(_directory),
@@ -387,9 +408,17 @@ SQL = {
         "facts",
         keyed=_KEYED,
     ),
+    "src8_given_rows": sql(
+        """SELECT year, 'season ' || year AS label, count(*) AS races FROM races WHERE year BETWEEN 1992 AND 1998
+        GROUP BY year""",
+        "races",
+    ),
+    "snk2_registered_table": sql(
+        "SELECT year, count(*) AS races, CAST(sum(raceId) AS BIGINT) AS id_sum FROM races GROUP BY year", "races"
+    ),
     "snk6_clustered_table": sql(
         """SELECT raceId, count(*) AS laps, CAST(sum(milliseconds) AS BIGINT) AS milliseconds FROM laps
-        WHERE raceId BETWEEN 5 AND 9 GROUP BY raceId""",
+        GROUP BY raceId""",
         "laps",
     ),
     "snk7_compacted_table": sql(

@@ -5,17 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.operators.staging import stage
+from lapwise.operators.staging import remove, stage
+from lapwise.sinks.writers import clustered
 from lapwise.sources.readers import read_table
 
 
+# Partition values that one upsert may touch.
+MAX_TOUCHED = 10_000
+
+
 class DuplicateKeys(ValueError):
     """The source of an upsert has two rows for one key."""
 
 
+class NullKeys(ValueError):
+    """The source of an upsert has a row without key; it would be inserted again with every replay."""
+
+
 def require_unique(df: DataFrame, keys: list[str]) -> None:
-    repeated = df.groupBy(*keys).count().filter("count > 1")
-    if not repeated.isEmpty():
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    faults = df.groupBy(*keys).count().agg(
+        F.coalesce(F.bool_or(no_key), F.lit(False)).alias("null"), F.max("count").alias("most")
+    ).first()
+    if faults["null"]:
+        raise NullKeys(f"a source row has a null in {keys}")
+    if (faults["most"] or 0) > 1:
         raise DuplicateKeys(f"several source rows share a key of {keys}")
 
 
@@ -82,19 +98,49 @@ def upsert_partitions(
     update_columns: list[str] | None = None,
     newer_by: list[str] | None = None,
 ) -> None:
-    """Upsert that rewrites only the partitions the source touches.
+    """Upsert that rewrites only the partitions that hold a key of the source or take one of its rows.
 
-    A key must stay in its partition. Source and merged rows are staged before anything is overwritten, so a rerun after a
-    failure starts from whole data. The touched values are at most as many as there are partition directories.
+    A key whose partition value changes leaves its old partition; a null partition value is a partition like any other. A
+    partition that loses its last row is removed. Source and merged rows are staged before anything is overwritten, so
+    a rerun after a failure starts from whole data. Partition columns are coarse: more than ``MAX_TOUCHED`` values are
+    refused.
     """
     source = stage(source)
     require_unique(source, keys)
-    values = [row[0] for row in source.select(partition_by).distinct().collect()]
-    touched = read_table(spark, path).filter(F.col(partition_by).isin(values))
-    rows = stage(merged(touched, source, list(dict.fromkeys([*keys, partition_by])), update_columns, newer_by))
-    rows.repartitionByRange(partition_by, *keys).write.mode("overwrite").option(
+    target = read_table(spark, path)
+    homes = target.join(source.select(*keys), keys, "left_semi").select(partition_by)
+    found = source.select(partition_by).union(homes).distinct().limit(MAX_TOUCHED + 1).collect()
+    values = [row[0] for row in found]
+    if len(values) > MAX_TOUCHED:
+        raise ValueError(f"the source touches more than {MAX_TOUCHED} values of {partition_by}")
+    # After a run that ended between the write and the removal below, a moved key stands in two partitions.
+    touched = _holds(target, partition_by, values).dropDuplicates(keys)
+    rows = stage(merged(touched, source, keys, update_columns, newer_by))
+    filled = {row[0] for row in rows.select(partition_by).distinct().collect()}
+    clustered(rows, [partition_by, *keys]).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition_by).parquet(path)
+    emptied = [value for value in values if value not in filled]
+    if emptied:
+        drop_partitions(_holds(target, partition_by, emptied))
+    remove(rows)
+    remove(source)
+
+
+def _holds(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows whose value is one of ``values``, null included."""
+    known = [value for value in values if value is not None]
+    found = F.col(column).isin(known)
+    return df.filter(found | F.col(column).isNull() if None in values else found)
+
+
+def drop_partitions(df: DataFrame) -> None:
+    """Delete the files of a selection of whole partitions."""
+    spark = df.sparkSession
+    files = df.select(F.input_file_name()).distinct().collect()
+    for folder in {row[0].rpartition("/")[0] for row in files}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def repoint(spark: SparkSession, name: str, path: str) -> None:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapwise.operators.staging import remove, stage
 from lapwise.sources.readers import file_list, read_table
 
 TARGET_FILE_BYTES = 128 << 20
@@ -33,15 +34,19 @@ def write_table(
 ) -> None:
     """Write a table.
 
-    Rows are rebalanced by partition and sorted by ``cluster_by`` inside each task: a partition gets few files, a
-    hot one is split by size at run time, and row groups cover narrow key ranges. Unlike ranging, this computes
-    ``df`` once.
+    With ``cluster_by`` rows are ranged by partition and key, so the files of a partition cover disjoint key ranges and
+    scans skip them by their statistics; a hot partition spreads over many files. Ranging samples its input, so ``df`` is
+    staged and computed once. Without it rows are only rebalanced by partition.
     """
-    out = df.hint("rebalance", *(partition_by or []))
     if cluster_by:
-        out = out.sortWithinPartitions(*(partition_by or []), *cluster_by)
+        staged = stage(df)
+        out = clustered(staged, [*(partition_by or []), *cluster_by])
+    else:
+        staged, out = None, df.hint("rebalance", *(partition_by or []))
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    if staged is not None:
+        remove(staged)
 
 
 def append(df: DataFrame, path: str, **layout) -> None:
@@ -63,12 +68,21 @@ def _is_partitioned(spark: SparkSession, name: str) -> bool:
 
 
 def compact(
-    spark: SparkSession, path: str, new_path: str, target_bytes: int = TARGET_FILE_BYTES, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    new_path: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    fmt: str = "parquet",
+    cluster_by: list[str] | None = None,
 ) -> int:
-    """Rewrite small files to about ``target_bytes`` each at a new path; returns the number of files asked for."""
+    """Rewrite small files to about ``target_bytes`` each at a new path; returns the number of files asked for.
+
+    A table clustered by ``cluster_by`` stays so; otherwise neighbouring files are joined without a shuffle.
+    """
     size = file_list(spark, path).agg(F.sum("length").alias("size")).first()["size"] or 0
     files = max(1, -(-size // target_bytes))
-    out = read_table(spark, path, fmt).repartition(files)
+    rows = read_table(spark, path, fmt)
+    out = clustered(rows, cluster_by, files) if cluster_by else rows.coalesce(files)
     out.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).save(new_path)
     return files
 

@@ -18,18 +18,16 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.running import row_numbers, running_totals
 from lapwise.schemas import GIVEN
 
 
 class Binding:
-    def __init__(self, spark: SparkSession, folder: str, max_group_rows: int | None = None):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.max_group_rows = max_group_rows
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -152,7 +150,7 @@ class Binding:
 
     @cached_property
     def _ranked_lines(self) -> DataFrame:
-        """Grid position by price. Price steps split a hot race; the sort is descending, so steps are negated."""
+        """Grid position by price; the lines of an order are few."""
         lines = self.given("lineitem").select(
             F.col("l_orderkey").alias("raceId"),
             F.col("l_suppkey").alias("driverId"),
@@ -160,14 +158,8 @@ class Binding:
             "l_partkey",
             "l_linenumber",
         )
-        return row_numbers(
-            lines,
-            ["raceId"],
-            [F.desc("l_extendedprice"), F.asc("l_partkey"), F.asc("driverId"), F.asc("l_linenumber")],
-            "position",
-            splits=[F.floor(-F.col("l_extendedprice") / 1000), F.floor(-F.col("l_extendedprice"))],
-            max_group_rows=self.max_group_rows,
-        )
+        order = [F.desc("l_extendedprice"), F.asc("l_partkey"), F.asc("driverId"), F.asc("l_linenumber")]
+        return lines.withColumn("position", F.row_number().over(Window.partitionBy("raceId").orderBy(*order)))
 
     def qualifying(self) -> DataFrame:
         return self._ranked_lines.select("raceId", "driverId", F.col("position").cast("int").alias("position"))
@@ -183,13 +175,12 @@ class Binding:
             "ts",
             "event_id",
         )
-        return running_totals(
-            events,
-            ["raceId", "driverId"],
-            [F.asc("ts"), F.asc("event_id")],
-            {"lap": F.lit(1).cast("long"), "stop": F.col("in_pit").cast("long")},
-            splits=[F.hour("ts"), F.minute("ts")],
-            max_group_rows=self.max_group_rows,
+        # The laps of one driver in one race are few.
+        upto = (
+            Window.partitionBy("raceId", "driverId").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+        )
+        return events.withColumns(
+            {"lap": F.count(F.lit(1)).over(upto), "stop": F.sum(F.col("in_pit").cast("long")).over(upto)}
         )
 
     def lap_times(self) -> DataFrame:

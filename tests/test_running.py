@@ -4,11 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.running import framed, largest_group, row_numbers, running_totals
-from lapwise.queries import learning
-from lapwise.sources.binding import Binding
-
-FOLDER = "/root/testdata/sf0.001"
+from lapwise.operators.running import framed, row_numbers, running_totals
 
 
 @pytest.fixture
@@ -42,7 +38,7 @@ def test_totals_equal_plain_window(skewed, splits):
     w = Window.partitionBy("k").orderBy(*order()).rowsBetween(Window.unboundedPreceding, 0)
     totals = {"n": F.lit(1).cast("long"), "s": F.col("v")}
     plain = skewed.withColumns({name: F.sum(value).over(w) for name, value in totals.items()})
-    split = running_totals(skewed, ["k"], order(), totals, SPLITS[splits](), max_group_rows=0)
+    split = running_totals(skewed, ["k"], order(), totals, SPLITS[splits]())
     assert split.columns == plain.columns
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
@@ -50,7 +46,7 @@ def test_totals_equal_plain_window(skewed, splits):
 def test_descending_order_with_negated_split(skewed):
     by = [F.desc("v"), F.asc("i")]
     plain = skewed.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*by)).cast("long"))
-    split = row_numbers(skewed, ["k"], by, "n", [F.floor(-F.col("v") / 60)], max_group_rows=10)
+    split = row_numbers(skewed, ["k"], by, "n", [F.floor(-F.col("v") / 60)])
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
 
@@ -60,7 +56,7 @@ def test_frames_equal_plain_window(skewed, block_rows):
     frames = {"mean": F.avg("v"), "seen": F.count("v")}
     plain = skewed.withColumns({name: agg.over(w) for name, agg in frames.items()})
     split = framed(
-        skewed, ["k"], order(), 5, -1, frames, SPLITS["two"](), max_group_rows=100, block_rows=block_rows
+        skewed, ["k"], order(), 5, -1, frames, SPLITS["two"](), block_rows=block_rows
     )
     assert split.columns == plain.columns
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
@@ -73,26 +69,6 @@ def test_frame_must_fit(skewed):
         framed(skewed, ["k"], order(), 50, 0, {"m": F.avg("v")}, [F.col("v")], block_rows=10)
 
 
-def test_small_groups_keep_the_plain_window(skewed):
-    assert largest_group(skewed, ["k"]) == 1000
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    plain = row_numbers(skewed, ["k"], order(), "n", SPLITS["one"](), max_group_rows=1000)
-    split = row_numbers(skewed, ["k"], order(), "n", SPLITS["one"](), max_group_rows=999)
-    assert "Join" not in plan(plain) and "Join" in plan(split)
-
-
 def test_empty_input(skewed):
     none = skewed.filter("k < 0")
-    assert row_numbers(none, ["k"], order(), "n", SPLITS["one"](), max_group_rows=0).isEmpty()
-
-
-@pytest.mark.parametrize("table", ["qualifying", "lap_times", "pit_stops"])
-def test_bound_tables_equal_when_split(spark, table):
-    plain, split = getattr(Binding(spark, FOLDER), table)(), getattr(Binding(spark, FOLDER, 0), table)()
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
-
-
-def test_lap_features_equal_when_split(spark):
-    pick = lambda df: df.select(*learning.LAP_KEY, *[F.round(c, 6) for c in learning._RECENT])
-    plain, split = pick(learning.laps(Binding(spark, FOLDER))), pick(learning.laps(Binding(spark, FOLDER, 0)))
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    assert row_numbers(none, ["k"], order(), "n", SPLITS["one"]()).isEmpty()

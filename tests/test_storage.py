@@ -134,6 +134,55 @@ def test_partition_upsert_leaves_others(spark, rows, values, tmp_path):
     assert files() == untouched
 
 
+def test_partition_upsert_is_lossless(spark, rows, values, tmp_path):
+    path = str(tmp_path / "p")
+    ddl = "k INT, v STRING, year INT"
+    rows(ddl, (1, "o", 2000), (2, "o", None), (3, "o", None), (5, "o", 2001), (6, "o", 2001)).write.partitionBy(
+        "year"
+    ).parquet(path)
+    for _ in range(2):  # key 1 leaves a partition that is then empty, key 5 leaves one that is not
+        merge.upsert_partitions(
+            spark, path, rows(ddl, (4, "n", None), (1, "n", 2001), (5, "n", 2002)), ["k"], "year"
+        )
+        assert values(spark.read.parquet(path)) == [
+            (1, "n", 2001), (2, "o", None), (3, "o", None), (4, "n", None), (5, "n", 2002), (6, "o", 2001)
+        ]
+    with pytest.raises(merge.NullKeys):
+        merge.upsert_partitions(spark, path, rows(ddl, (None, "n", 2001)), ["k"], "year")
+
+
+def test_files_cover_disjoint_ranges(spark, tmp_path, monkeypatch):
+    path, packed = str(tmp_path / "t"), str(tmp_path / "c")
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("k"), (F.col("id") % 2).alias("year"))
+    monkeypatch.setattr(writers, "MAX_RECORDS_PER_FILE", 3_000)
+    writers.write_table(df.repartition(5), path, ["year"], ["k"])
+    writers.compact(spark, path, packed, 20_000, cluster_by=["year", "k"])
+
+    def ranges(where, *by):
+        files = spark.read.parquet(where).withColumn("file", F.input_file_name())
+        found = files.groupBy(*by, "file").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n"))
+        return sorted((*[r[c] for c in by], r["low"], r["high"], r["n"]) for r in found.collect())
+
+    for where in (path, packed):
+        found = ranges(where, "year")
+        assert sum(r[-1] for r in found) == 20_000 and len(found) > 2
+        assert all(a[2] < b[1] for a, b in zip(found, found[1:]) if a[0] == b[0])
+
+
+def test_crash_leaves_a_ledger_row(spark, tmp_path, monkeypatch):
+    def crash(*args):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(medallion, "_publish", crash)
+    raw_files(spark, str(tmp_path / "raw"))
+    with pytest.raises(RuntimeError):
+        medallion.run(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), 1, AT, ["bronze.races"])
+    ledger = medallion.Lake(spark, str(tmp_path / "lake")).ledger("runs")
+    row = mon.current_runs(ledger).first()
+    assert row["status"] == "FAILED" and "executor lost" in row["error"]
+    assert mon.latest_runs(ledger).count() == 2
+
+
 def test_high_water_mark_load(spark, rows, values, tmp_path):
     ddl = "k INT, v STRING, t INT"
     first, second = str(tmp_path / "1"), str(tmp_path / "2")
@@ -226,12 +275,16 @@ def test_failed_check_keeps_table_out(spark, tmp_path):
     ).csv(f"{raw}/races.csv")
     states = medallion.run(spark, raw, base, 1, AT, ["bronze.races", "bronze.drivers"])
     assert states == {"bronze": "FAILED"}
-    run = medallion.Lake(spark, base).ledger("runs").first()
+    ledger = medallion.Lake(spark, base).ledger("runs")
+    assert {r["status"] for r in ledger.collect()} == {"RUNNING", "FAILED"}
+    run = mon.current_runs(ledger).collect()
+    assert len(run) == 1
+    run = run[0]
     assert "bronze.races: failed checks" in run["error"] and "bronze.drivers" in run["error"]
 
 
 def test_metrics_export(spark, tmp_path):
-    runs = mon.run_record(spark, "load", AT, AT + dt.timedelta(seconds=5), "SUCCESS", 3, ["a", "b"])
+    runs = mon.run_record(spark, "r1", "load", AT, AT + dt.timedelta(seconds=5), "SUCCESS", 3, ["a", "b"])
     tables = mon.table_record(spark.range(10), "t", AT)
     mon.export(runs, tables, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out" / "runs")).first()["seconds"] == 5.0
