@@ -35,9 +35,6 @@ WET_PATTERN = "(Monaco|Singapore|Belgium)"
 DOMINANCE_WIN = 25
 DOMINANCE_PODIUM = 18
 
-# Points a driver can score at most in one race, used for elimination.
-MAX_POINTS_PER_RACE = 50
-
 # Segment labels by mean win rate (exclusive lower bounds), then by mean consistency.
 SEGMENT_BY_WIN_RATE = [(0.2, "Elite Champions"), (0.1, "Race Winners"), (0.05, "Podium Contenders")]
 SEGMENT_CONSISTENCY = (0.7, "Consistent Finishers")

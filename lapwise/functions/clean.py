@@ -48,12 +48,11 @@ def full_name(forename: Column, surname: Column) -> Column:
 
 
 def age_group(dob: Column) -> Column:
-    born_after = [("2000-01-01", "Gen Z"), ("1980-01-01", "Millennial")]
-    result = None
-    for day, label in born_after:
-        test = dob > F.lit(day).cast("date")
-        result = F.when(test, label) if result is None else result.when(test, label)
-    return result.otherwise("Gen X/Boomer")
+    return (
+        F.when(dob > F.lit("2000-01-01").cast("date"), "Gen Z")
+        .when(dob > F.lit("1980-01-01").cast("date"), "Millennial")
+        .otherwise("Gen X/Boomer")
+    )
 
 
 def circuit_region(country: Column) -> Column:

@@ -108,9 +108,25 @@ GOLD_BUILDERS = {
 }
 
 
+# Raw rows that a silver table leaves out, with the rules they break.
+REJECTS = {
+    "silver.performance": ("bronze.results", silver.result_rules()),
+    "silver.pit_analysis": ("bronze.pit_stops", silver.pit_stop_rules()),
+}
+
+
+def _set_aside(lake: Lake, name: str, batch_id: int) -> None:
+    """Write the rows that the rules of a silver table reject, with their reasons, under ``<lake>/quarantine``."""
+    source, rules = REJECTS[name]
+    rejected = writers.checked(lake.table(source), rules).filter("reject_reason <> ''")
+    rejected.write.mode("overwrite").parquet(f"{lake.base}/quarantine/{name}/batch={batch_id}")
+
+
 def _publish(lake: Lake, spec: TableSpec, df: DataFrame, batch_id: int, at: dt.datetime) -> bool:
     """Write one table, check it as stored and record it; False when a check failed and it stays invisible."""
     name, path = spec.full_name, lake.path(spec.full_name, batch_id)
+    if name in REJECTS:
+        _set_aside(lake, name, batch_id)
     writers.write_table(df, path, spec.partition_by, spec.cluster_by)
     stored = readers.read_table(lake.spark, path)
     quality = None

@@ -71,6 +71,30 @@ def circuits(bronze: DataFrame) -> DataFrame:
     )
 
 
+def result_rules() -> dict[str, str]:
+    """What a raw result must keep to become a cleaned one, by name."""
+    return {
+        "keys": " AND ".join(f"{k} IS NOT NULL" for k in C.RESULT_MERGE_KEYS),
+        "position": "NOT coalesce(position RLIKE '^[0-9]+$', false) OR " + _fits("position", "INT", C.POSITION_RANGE),
+        "points": _fits("points", "DOUBLE", C.POINTS_RANGE),
+        "laps": _fits("laps", "INT", C.LAPS_RANGE),
+    }
+
+
+def pit_stop_rules() -> dict[str, str]:
+    """The same for pit stops, where a missing value breaks its rule."""
+    return {
+        "keys": "raceId IS NOT NULL AND driverId IS NOT NULL",
+        "stop": "try_cast(stop AS INT) BETWEEN {} AND {}".format(*C.STOP_RANGE),
+        "milliseconds": "try_cast(milliseconds AS BIGINT) BETWEEN {} AND {}".format(*C.PIT_MS_RANGE),
+    }
+
+
+def _fits(column: str, kind: str, bounds: tuple) -> str:
+    value = f"try_cast({column} AS {kind})"
+    return f"({value} IS NULL OR {value} BETWEEN {bounds[0]} AND {bounds[1]})"
+
+
 def cleaned_results(results: DataFrame) -> DataFrame:
     """Typed, range-checked results with the three outcome flags; no joins, so it can feed aggregations early."""
     typed = results.filter(" AND ".join(f"{k} IS NOT NULL" for k in C.RESULT_MERGE_KEYS)).withColumns(
@@ -116,12 +140,9 @@ def performance(
         .join(driver, "driverId")
         .join(team, "constructorId")
         .select(
-            *["raceId", "driverId", "constructorId", "position", "positionText", "points", "laps"],
-            *["finished_race", "podium_finish", "dnf_status", "fastestLap"],
-            *race.columns[1:],
-            *driver.columns[1:],
-            *team.columns[1:],
-            *loaded,
+            "raceId", "driverId", "constructorId", "position", "positionText", "points", "laps", "finished_race",
+            "podium_finish", "dnf_status", "fastestLap", "year", "round", "name", "circuitId", "forename", "surname",
+            "nationality", "constructorName", "constructorNationality", *loaded,
         )
     )
 
@@ -149,9 +170,8 @@ def pit_analysis(
         joined = joined.join(race_teams(results), ["raceId", "driverId"], "left")
         team = ["constructorId"]
     return joined.select(
-        *["raceId", "driverId", *team, "stop", "milliseconds"],
+        "raceId", "driverId", *team, "stop", "milliseconds",
         (F.col("milliseconds") / 1000.0).alias("pit_duration_seconds"),
         clean.pit_category(F.col("milliseconds")).alias("pit_time_category"),
-        *race.columns[1:],
-        *driver.columns[1:],
+        "year", "round", "name", "circuitId", "forename", "surname", "nationality",
     )

@@ -30,7 +30,7 @@ AS_OF = dt.datetime(2001, 8, 1)
 
 def _raw_results(b: Binding) -> DataFrame:
     return b.results().select(
-        *["raceId", "driverId", "constructorId", "position", "positionText", "positionOrder"],
+        "raceId", "driverId", "constructorId", "position", "positionText", "positionOrder",
         F.col("points").cast("string").alias("points"),
         F.col("laps").cast("string").alias("laps"),
         "fastestLap",
@@ -77,7 +77,7 @@ def _lower_names(b: Binding) -> DataFrame:
 
 def _probe(b: Binding) -> DataFrame:
     base = scratch(b.spark, "raw")
-    b.raw_races().withColumn("raceId", F.col("raceId").cast("int")).select(*RAW["races"].names).write.option(
+    b.raw_races().select(*RAW["races"].names).write.option(
         "header", True
     ).csv(f"{base}/races.csv")
     _raw_results(b).write.json(f"{base}/results.json")

@@ -23,21 +23,21 @@ def _schema(text: str) -> T.StructType:
 
 
 RAW = {
-    "races": _schema("raceId INT, year INT, round INT, circuitId STRING, name STRING, date STRING, time STRING"),
+    "races": _schema("raceId LONG, year INT, round INT, circuitId STRING, name STRING, date STRING, time STRING"),
     "drivers": _schema(
-        "driverId INT, code STRING, forename STRING, surname STRING, dob STRING, nationality STRING"
+        "driverId LONG, code STRING, forename STRING, surname STRING, dob STRING, nationality STRING"
     ),
-    "constructors": _schema("constructorId INT, name STRING, nationality STRING"),
+    "constructors": _schema("constructorId LONG, name STRING, nationality STRING"),
     "circuits": _schema(
-        "circuitId INT, name STRING, location STRING, country STRING, lat DOUBLE, lng DOUBLE"
+        "circuitId LONG, name STRING, location STRING, country STRING, lat DOUBLE, lng DOUBLE"
     ),
     "results": _schema(
-        "resultId INT, raceId INT, driverId INT, constructorId INT, position STRING, positionText STRING, "
+        "resultId LONG, raceId LONG, driverId LONG, constructorId LONG, position STRING, positionText STRING, "
         "positionOrder INT, points STRING, laps STRING, fastestLap INT"
     ),
-    "lap_times": _schema("raceId INT, driverId INT, lap INT, milliseconds LONG"),
-    "pit_stops": _schema("raceId INT, driverId INT, stop INT, lap INT, milliseconds LONG"),
-    "qualifying": _schema("raceId INT, driverId INT, position INT"),
+    "lap_times": _schema("raceId LONG, driverId LONG, lap INT, milliseconds LONG"),
+    "pit_stops": _schema("raceId LONG, driverId LONG, stop INT, lap INT, milliseconds LONG"),
+    "qualifying": _schema("raceId LONG, driverId LONG, position INT"),
 }
 
 

@@ -78,7 +78,9 @@ def read_csv_or_json(spark: SparkSession, stem: str) -> DataFrame:
     """``stem.csv`` if it exists, else ``stem.json``; column names in lower case."""
     try:
         df = read_csv(spark, f"{stem}.csv")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = read_json(spark, f"{stem}.json")
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -101,7 +103,9 @@ def probe(spark: SparkSession, specs: list[TableSpec], base: str) -> DataFrame:
         try:
             files = file_list(spark, path)
             rows = read_raw(spark, spec, base).groupBy().agg(F.count(F.lit(1)).alias("rows"))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             empty = "table STRING, file_exists BOOLEAN, files BIGINT, bytes BIGINT, modified TIMESTAMP, columns STRING"
             return spark.createDataFrame([(spec.name, False, 0, 0, None, None)], empty).withColumn(
                 "rows", F.lit(None).cast("long")

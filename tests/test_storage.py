@@ -247,7 +247,8 @@ def raw_files(spark, base):
     ).write.json(f"{base}/results.json")
     laps = [(r, d, lap, 80000 + lap * 10 + d) for r in races for d in drivers for lap in range(1, 4)]
     make("lap_times", laps).write.option("header", True).csv(f"{base}/lap_times")
-    make("pit_stops", [(r, d, 1, 2, 21000 + d) for r in races for d in drivers]).write.json(f"{base}/pit_stops.json")
+    stops = [(r, d, 1, 2, 21000 + d) for r in races for d in drivers] + [(1, 1, 1, 3, -5), (2, None, 1, 3, 21000)]
+    make("pit_stops", stops).write.json(f"{base}/pit_stops.json")
     make("qualifying", [(r, d, d) for r in races for d in drivers]).write.json(f"{base}/qualifying")
 
 
@@ -264,6 +265,12 @@ def test_layers_from_raw_files(spark, tmp_path):
     assert standings.filter("championship_position = 1").count() == 2
     assert lake.table("gold.pit_stop_efficiency").filter("constructorName IS NULL").isEmpty()
     assert lake.ledger("runs").filter("status = 'SUCCESS'").count() == 3
+    rejected = spark.read.parquet(f"{base}/quarantine/silver.pit_analysis/batch=1")
+    assert sorted(r["reject_reason"] for r in rejected.collect()) == ["keys", "milliseconds"]
+    for name, source in (("performance", "results"), ("pit_analysis", "pit_stops")):
+        whole = lake.table(f"bronze.{source}").count()
+        aside = spark.read.parquet(f"{base}/quarantine/silver.{name}/batch=1").count()
+        assert lake.table(f"silver.{name}").count() + aside == whole
     recorded = mon.latest_per_table(lake.ledger("tables"))
     assert recorded.count() == 22 and recorded.filter("row_count > 0").count() == 22
 
