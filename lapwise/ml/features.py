@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,7 +143,8 @@ def lap_features(
 ) -> DataFrame:
     """One row per lap of a usable race.
 
-    ``drivers`` has driverId and dob; ``places`` one position per race and driver. The trailing means look at
+    ``drivers`` has driverId and dob; ``places`` one position per race and driver. ``driver_form`` reads the place of the
+    driver's race before, never the one being driven; ``position`` is for analysis. The trailing means look at
     prior laps only: five of the driver, ten of the circuit. ``lap_time_trend`` compares the lap itself with the
     former and is for analysis, not an input.
     """
@@ -153,6 +154,8 @@ def lap_features(
     totals = laps.groupBy("raceId", "driverId").agg(
         F.count("lap").alias("total_laps"), F.avg("milliseconds").alias("average_lap_time")
     )
+    career = Window.partitionBy("driverId").orderBy("raceId")  # the races of one driver
+    placed = places.withColumn("_place_before", F.lag("position").over(career))
     usable = totals.filter((c("total_laps") >= min_laps) & c("average_lap_time").between(*average_bounds))
     joined = (
         laps.select("raceId", "driverId", "lap", "milliseconds")
@@ -160,7 +163,7 @@ def lap_features(
         .join(race.filter(c("year") >= since), "raceId")
         .join(region, "circuitId", "left")
         .join(drivers.select("driverId", "dob"), "driverId", "left")
-        .join(places, ["raceId", "driverId"], "left")
+        .join(placed, ["raceId", "driverId"], "left")
     )
     # Frames in blocks read their input several times, so it is staged.
     by_driver = framed(
@@ -181,7 +184,9 @@ def lap_features(
             "is_early_lap": (c("lap") <= 5).cast("int"),
             "is_late_lap": (c("lap") >= c("total_laps") - 5).cast("int"),
             "driver_experience": c("year") - F.year("dob"),
-            "driver_form": F.when(c("position") <= 5, 1.0).when(c("position") <= 10, 0.5).otherwise(0.0),
+            "driver_form": F.when(c("_place_before") <= 5, 1.0)
+            .when(c("_place_before") <= 10, 0.5)
+            .otherwise(0.0),
             "circuit_type": F.when(region_is("Europe"), "European")
             .when(region_is("Americas"), "American")
             .when(region_is("Asia-Pacific"), "Asian")
@@ -196,7 +201,7 @@ def lap_features(
             ),
         }
     )
-    return filled(derived)
+    return filled(derived.drop("_place_before"))
 
 
 def finish_features(

@@ -14,6 +14,7 @@ from lapwise.ml import features as ft
 from lapwise.ml import forecast as fc
 from lapwise.ml import models as ml
 from lapwise.ml import segments as sg
+from lapwise import constants as C
 from lapwise.operators.staging import scratch, stage
 from lapwise.plans import gold, silver
 from lapwise.queries.common import sql
@@ -84,7 +85,8 @@ def _podium_model(b: Binding) -> DataFrame:
 
 def _lap_models(b: Binding) -> DataFrame:
     data = stage(laps(b).select(*LAP_KEY[:2], "milliseconds", *ft.LAP_FEATURES))
-    return ml.compare(data, LAP_KEY, [n for n in ft.LAP_FEATURES if n != "lap"], ml.regressors("milliseconds"),
+    # Split by race, so that no race has laps on both sides.
+    return ml.compare(data, ["raceId"], [n for n in ft.LAP_FEATURES if n != "lap"], ml.regressors("milliseconds"),
                       "milliseconds", False)[1]
 
 
@@ -128,6 +130,50 @@ def _reloaded(b: Binding) -> DataFrame:
     return ml.load(path).transform(data).select(*LAP_KEY, "prediction")
 
 
+def _importance_facts(b: Binding) -> DataFrame:
+    weights = _importances(b)
+    return weights.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+def _segment_facts(b: Binding) -> DataFrame:
+    """Rows per season and how many have a label of the list."""
+    labels = [label for _, label in C.SEGMENT_BY_WIN_RATE] + [C.SEGMENT_CONSISTENCY[1], C.SEGMENT_LAST]
+    return _per_year(_segments(b), F.col("cluster_label").isin(labels))
+
+
+def _four_facts(b: Binding) -> DataFrame:
+    return _per_year(_four(b), F.col("cluster_name").isin(list(C.FOUR_SEGMENTS)))
+
+
+def _score_facts(b: Binding) -> DataFrame:
+    """Rows per season and how many have a class, a probability and a confidence that fit each other."""
+    p = F.col("win_probability")
+    sound = p.between(0, 1) & F.col("confidence").between(0.5, 1) & (F.abs(F.col("confidence") - p).between(0, 1))
+    return _per_year(_scores(b), sound & F.col("prediction").isin(0, 1))
+
+
+def _per_year(df: DataFrame, sound) -> DataFrame:
+    return df.groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.count_if(sound).alias("sound"))
+
+
+def _simulation_facts(b: Binding) -> DataFrame:
+    """Laps per simulated race, and whether the last running total is the sum of the laps."""
+    total = F.abs(F.max("cumulative_time_s") - F.sum("predicted_lap_time_s")) < 1e-6 * F.sum("predicted_lap_time_s")
+    return _simulation(b).groupBy("raceId").agg(F.count(F.lit(1)).alias("laps"), total.alias("adds_up"))
+
+
+def _reload_facts(b: Binding) -> DataFrame:
+    """Predictions of the saved model against those of the model read again, per race."""
+    model, data = _lap_regression(b)
+    path = scratch(b.spark, "lap-model")
+    ml.save(model, path)
+    own = model.transform(data).withColumnRenamed("prediction", "own").drop("features", "scaled")
+    again = ml.load(path).transform(own.select(*data.columns, "own"))
+    return again.groupBy("raceId").agg(
+        F.count(F.lit(1)).alias("laps"), F.count_if(F.col("own") != F.col("prediction")).alias("mismatches")
+    )
+
+
 def _sweep(b: Binding) -> DataFrame:
     return sg.sweep(stage(clusters(b)), ft.CLUSTER_FEATURES)[1]
 
@@ -269,7 +315,13 @@ QUERIES = {
     "ml11_k_sweep": bound(_sweep),
     "ml12_cluster_centers": bound(_centers),
     "ml14_driver_segments": bound(_segments),
+    "ml10_importance_facts": bound(_importance_facts),
+    "ml14_segment_facts": bound(_segment_facts),
     "ml15_batch_scores": bound(_scores),
+    "ml15_score_facts": bound(_score_facts),
+    "ml16_simulation_facts": bound(_simulation_facts),
+    "ml17_reload_facts": bound(_reload_facts),
+    "ml18_four_facts": bound(_four_facts),
     "ml16_race_simulation": bound(_simulation),
     "ml17_reloaded_model": bound(_reloaded),
     "ml18_four_segments": bound(_four),
@@ -296,7 +348,7 @@ _SEASON = """SELECT s.*, t.team_win_rate, t.team_podium_rate, t.points_per_race
 _SEASON_NEEDS = ["driver_statistics", "constructor_rankings", "lap_trends", "pit_efficiency", "qvr"]
 
 _LAPS = """SELECT l.raceId, l.driverId, l.lap, l.milliseconds, t.total_laps, t.average_lap_time, y.year, y.circuitId,
-    c.circuit_region, p.position, d.dob, y.name,
+    c.circuit_region, p.position, p.before, d.dob, y.name,
     avg(l.milliseconds) OVER (PARTITION BY l.driverId ORDER BY l.raceId, l.lap ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
       AS d_recent,
     avg(l.milliseconds) OVER (PARTITION BY y.circuitId ORDER BY l.raceId, l.lap, l.driverId
@@ -308,7 +360,8 @@ _LAPS = """SELECT l.raceId, l.driverId, l.lap, l.milliseconds, t.total_laps, t.a
     LEFT JOIN (SELECT * FROM circuits WHERE lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180) c
       ON y.circuitId = c.circuitId
     LEFT JOIN drivers d ON l.driverId = d.driverId
-    LEFT JOIN (SELECT raceId, driverId, min(position) AS position FROM facts GROUP BY ALL) p
+    LEFT JOIN (SELECT raceId, driverId, position, lag(position) OVER (PARTITION BY driverId ORDER BY raceId) AS before
+      FROM (SELECT raceId, driverId, min(position) AS position FROM facts GROUP BY raceId, driverId)) p
       ON l.raceId = p.raceId AND l.driverId = p.driverId"""
 
 _LAP_NEEDS = ["laps", "races", "circuits", "drivers", "facts"]
@@ -352,13 +405,34 @@ SQL = {
         *_SEASON_NEEDS,
         season=_SEASON,
     ),
+    "ml10_importance_facts": f"SELECT {len(ft.WINNER_FEATURES)}::BIGINT AS features, 1.0::DOUBLE AS total",
+    "ml14_segment_facts": sql(
+        """SELECT year, count(*) AS "rows", count(*) AS sound FROM driver_statistics WHERE total_races >= 3
+        GROUP BY year""",
+        "driver_statistics",
+    ),
+    "ml15_score_facts": sql(
+        """SELECT year, count(*) AS "rows", count(*) AS sound FROM driver_statistics WHERE year > 1995 GROUP BY year""",
+        "driver_statistics",
+    ),
+    "ml16_simulation_facts": sql(
+        """SELECT DISTINCT raceId, 50::BIGINT AS laps, true AS adds_up FROM lapf""", *_LAP_NEEDS, lapf=_LAPS
+    ),
+    "ml17_reload_facts": sql(
+        """SELECT raceId, count(*) AS laps, 0::BIGINT AS mismatches FROM lapf GROUP BY raceId""",
+        *_LAP_NEEDS, lapf=_LAPS,
+    ),
+    "ml18_four_facts": sql(
+        """SELECT year, count(*) AS "rows", count(*) AS sound FROM driver_statistics GROUP BY year""",
+        "driver_statistics",
+    ),
     "ml4_lap_features": sql(
         f"""SELECT raceId, driverId, lap, milliseconds, total_laps, round(average_lap_time, 6) AS average_lap_time,
         year, circuitId, circuit_region, coalesce(position, 0) AS position, {_RECENT_SQL},
         round(lap / total_laps, 6) AS race_progress, CAST(lap <= 5 AS INTEGER) AS is_early_lap,
         CAST(lap >= total_laps - 5 AS INTEGER) AS is_late_lap,
         CAST(coalesce(year - year(dob), 0) AS INTEGER) AS driver_experience,
-        CASE WHEN position <= 5 THEN 1.0 WHEN position <= 10 THEN 0.5 ELSE 0.0 END::DOUBLE AS driver_form,
+        CASE WHEN before <= 5 THEN 1.0 WHEN before <= 10 THEN 0.5 ELSE 0.0 END::DOUBLE AS driver_form,
         CASE circuit_region WHEN 'Europe' THEN 'European' WHEN 'Americas' THEN 'American' WHEN 'Asia-Pacific'
           THEN 'Asian' ELSE 'Other' END AS circuit_type, 0 AS is_street_circuit,
         CASE circuit_region WHEN 'Asia-Pacific' THEN 28 WHEN 'Americas' THEN 25 ELSE 22 END AS expected_temperature,
