@@ -6,7 +6,7 @@ model that goes to the tasks is small whatever the corpus. The sum of weights is
 slope and an offset fitted with smoothed targets. Words are runs of letters, digits and non-ASCII bytes, in
 lower case.
 
-The model is fitted on at most ``SAMPLE`` labelled documents of each class (those with the smallest hashes of their
+The model is fitted on at most ``SAMPLE`` labelled documents of the two classes (those with the smallest hashes of their
 ids), each class weighted by its share among all labelled documents for the calibration. Whole texts are scored, row
 by row, without a shuffle.
 
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 from lapwise.llm.text import Texts, U, mix, slices
 
 BITS = 20
-# Labelled documents of each class that the model is fitted on, at most.
-SAMPLE = 5_000
+# Labelled documents that the model is fitted on, at most: clean ones and toxic ones.
+SAMPLE = (5_000, 3_000)
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 
@@ -76,7 +77,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, n_toxic: int, n_clean: int)
     bias = 1 << BITS
     for _ in range(EPOCHS):
         for places, label in zip(sets, labels):
-            at = np.append(places, bias)
+            at = np.append(places.astype(np.int64), bias)
             zs, ns = z[at], n[at]
             root = np.sqrt(ns)
             pull = np.sign(zs) * L1
@@ -124,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
     totals = {row["_label"]: row["n"] for row in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     sides = [
-        known.filter(F.col("_label") == label).orderBy("_order", "doc_id").limit(SAMPLE) for label in (0, 1)
+        known.filter(F.col("_label") == label).orderBy("_order", "doc_id").limit(SAMPLE[label]) for label in (0, 1)
     ]
     chosen = sides[0].union(sides[1]).select(F.col("doc_id").alias("_id"), "_label", "_order")
 
@@ -143,15 +144,23 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     sampled = (
         docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
-        .join(F.broadcast(chosen), "_id")  # 2 * SAMPLE rows at most
+        .join(F.broadcast(chosen), "_id")  # sum(SAMPLE) rows at most
         .select("_label", "_order", "text")
         .mapInArrow(run, "_label int, _order long, _set binary")
         .dropDuplicates(["_order"])  # one text of each labelled document
         .toArrow()
     )
-    rows = sorted(zip(*[sampled.column(i).to_pylist() for i in (1, 2, 0)]))
-    sets = [np.frombuffer(row[1], np.uint32).astype(np.int64) for row in rows]
-    return fit(sets, np.array([row[2] for row in rows], np.float64), totals.get(1, 0), totals.get(0, 0))
+    # Both classes were taken from the low end of the hashes; another hash mixes them evenly.
+    order = np.argsort(mix(sampled.column("_order").to_numpy()), kind="stable")
+    labels = sampled.column("_label").to_numpy()[order].astype(np.float64)
+    packed = pa.concat_arrays(sampled.column("_set").chunks or [pa.array([], pa.binary())])
+    del sampled
+    # The sets stay in one buffer; each is read in place.
+    raw = packed.buffers()[2] if len(packed) else None
+    flat = np.frombuffer(raw, np.uint8) if raw else np.zeros(0, np.uint8)
+    ends = np.cumsum([0, *pc.binary_length(packed).to_pylist()])
+    sets = [flat[ends[i] : ends[i + 1]].view(np.uint32) for i in order.tolist()]
+    return fit(sets, labels, totals.get(1, 0), totals.get(0, 0))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
