@@ -34,6 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ship(spark)
     found = stage(minhash.near_duplicates(docs))
     copies = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
+    copies = copies.hint("merge")  # as many as there are copies, so never broadcast
     left = docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
     repeated = stage(
         found.filter(F.col("kept") & F.col("doc_id").isNotNull())
