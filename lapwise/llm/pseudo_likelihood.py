@@ -2,56 +2,73 @@
 
 Every word is hidden in turn and predicted from the ``REACH`` words on both sides; a document's score is the sum of
 the conditional log-probabilities of its words. A word's probability is that of its class, from the network, times its
-share of the class, from counts over all words of all documents. The ``VOCABULARY`` most frequent words have entries;
-the first ``OWN`` are classes of their own, the others share classes of about equal mass, and rarer words form one
-class whose members count alike.
+own share of the class, from counts over all words of all documents. The ``VOCABULARY`` most frequent words have
+entries; the first ``OWN`` are classes of their own, the others share ``BANDS`` classes of about equal mass. All rarer
+words fall by hash into ``BUCKETS`` entries and ``RARE`` classes; as words, each keeps its own count.
 
-Counts are summed in the tasks before they are shuffled. The network is trained in numpy on about ``WINDOWS`` windows,
-drawn at one rate from all words of the corpus. Whole texts are scored, row by row; the model that goes to the tasks
-has a fixed size.
+The counts stay a partitioned table. The ``HEAD`` most frequent words go to the tasks with their counts; the distinct
+other words of each document, none of them frequent, meet the table in a join. The result is the same for any ``HEAD`` that
+holds the vocabulary.
 
-Rules for odd input: a null or empty text has no words, score 0 and no mean; repeated rows are scored row by row; an
-empty table gives an empty result; other columns are ignored, whatever their names.
+The network has one layer. Its weights are logarithms of how much likelier a class is beside a word, by offset, counted
+over all words of all documents; its scale at each distance is set by a Newton step on sums over all words. The driver
+gets sums of fixed size, the head, and how many words there are of each count. Whole texts are scored, row by row.
+
+Rules for odd input: a null or empty text has no words, score 0 and no mean; repeated rows are scored row by row; a word
+that was not counted is taken as one seen once; an empty table gives an empty result; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapwise.llm.text import Texts, slices
-from lapwise.operators.staging import remove, stage
+from lapwise.operators.staging import stage
 
 VOCABULARY = 4_096
-OWN, CLASSES = 48, 64
+OWN, BANDS, RARE = 48, 15, 17
+CLASSES = OWN + BANDS + RARE
+BUCKETS = 4_096
+# Words whose counts go to the tasks.
+HEAD = 262_144
 REACH = 2
-EMBEDDING, HIDDEN = 16, 32
-WINDOWS = 200_000
-EPOCHS, BATCH, RATE = 3, 512, 0.003
+# Weight of the class's overall share beside what was counted next to a word.
+PRIOR = 10.0
+# Scales of the distances that the Newton step starts from.
+START = (0.7, 0.4)
 # Words that one step of scoring takes.
-STEP = 50_000
+STEP = 8_192
 
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
 
-def word_ids(part: Texts, vocabulary: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entry of every word (len(vocabulary) where it has none), and how many words each text has.
+def word_ids(part: Texts, vocabulary: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entry of every word (by hash behind the vocabulary's where it has none), words per text, and the words.
 
     ``vocabulary`` is sorted; ``order`` gives the entries.
     """
     first, last = part.words()
     words = part.hashes(first, last, fold=True).view(np.int64)
-    if not len(vocabulary):
-        return np.zeros(len(words), np.int64), part.counts(first)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, order[at], len(vocabulary)), part.counts(first)
+    at, inside = lookup(vocabulary, words)
+    ids = len(vocabulary) + words % BUCKETS
+    ids[inside] = order[at[inside]]
+    return ids, part.counts(first), words
+
+
+def lookup(known: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each word among the sorted known ones, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return at, known[at] == words
 
 
 def contexts(ids: np.ndarray, counts: np.ndarray, edge: int) -> np.ndarray:
@@ -70,38 +87,62 @@ def contexts(ids: np.ndarray, counts: np.ndarray, edge: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Vocabulary, class and log share of every entry, and the network folded into one table per offset."""
+    """Vocabulary, class and log share of every entry, and the network as one table per offset.
+
+    The log share of a bucket is that of a word seen once. ``head`` has the sorted words that go to the tasks and
+    ``head_log`` the logarithms of their counts; ``counted`` has the words (word, n) that are not among them.
+    """
 
     vocabulary: np.ndarray
     order: np.ndarray
     word_class: np.ndarray
     log_share: np.ndarray
     tables: np.ndarray
-    hidden_bias: np.ndarray
-    output: np.ndarray
-    output_bias: np.ndarray
+    bias: np.ndarray
+    head: np.ndarray
+    head_log: np.ndarray
+    counted: DataFrame | None
 
     def log_probabilities(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Conditional log-probability of each word given its context."""
+        """Conditional log-probability of each word given its context; words without entry as if seen once."""
         found = np.empty(len(ids))
         for low in range(0, len(ids), STEP):
-            some = context[low : low + STEP]
-            total = self.hidden_bias + sum(self.tables[i][some[:, i]] for i in range(len(OFFSETS)))
-            logits = np.tanh(total) @ self.output + self.output_bias
+            logits = self.bias + sum(self.tables[i][context[low : low + STEP, i]] for i in range(len(OFFSETS)))
             logits -= logits.max(axis=1, keepdims=True)
-            whole = np.log(np.exp(logits).sum(axis=1))
             words = ids[low : low + STEP]
             own = logits[np.arange(len(words)), self.word_class[words]]
+            whole = np.log(np.exp(logits).sum(axis=1))
             found[low : low + STEP] = own - whole + self.log_share[words]
         return found
 
-    def score(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Number of words and summed log-probability of each text."""
-        ids, counts = word_ids(part, self.vocabulary, self.order)
-        found = self.log_probabilities(contexts(ids, counts, len(self.vocabulary) + 1), ids)
+    def score(self, part: Texts) -> tuple[np.ndarray, np.ndarray, pa.ListArray, pa.ListArray]:
+        """Number of words and summed log-probability of each text, and its words whose counts are not in the head."""
+        ids, counts, words = word_ids(part, self.vocabulary, self.order)
+        found = self.log_probabilities(contexts(ids, counts, edge(self.vocabulary)), ids)
+        rare = np.flatnonzero(ids >= len(self.vocabulary))
+        at, inside = lookup(self.head, words[rare])
+        found[rare[inside]] += self.head_log[at[inside]]
         sums = np.concatenate([[0.0], np.cumsum(found)])
         ends = np.cumsum(counts)
-        return counts, np.where(counts > 0, sums[ends] - sums[ends - counts], 0.0)
+        total = np.where(counts > 0, sums[ends] - sums[ends - counts], 0.0)
+        left = rare[~inside]
+        owner, word = np.repeat(np.arange(len(part)), counts)[left], words[left]
+        sort = np.lexsort((word, owner))
+        owner, word = owner[sort], word[sort]
+        new = np.ones(len(word), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
+        starts = np.flatnonzero(new)
+        times = np.diff(np.append(starts, len(word)))
+        bounds = pa.array(np.searchsorted(owner[starts], np.arange(len(part) + 1)).astype(np.int32))
+        return (
+            counts, total, pa.ListArray.from_arrays(bounds, pa.array(word[starts])),
+            pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
+        )
+
+
+def edge(vocabulary: np.ndarray) -> int:
+    """The entry that stands beyond the ends of a text."""
+    return len(vocabulary) + BUCKETS
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -116,103 +157,145 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def classes(counts: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class and log share of every entry, for entries sorted by count; ``kinds`` rare words are the last entry."""
+def classes(counts: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class and log share of every entry, for entries sorted by count, and the words of each class.
+
+    ``rare`` has the number of words of each rare class.
+    """
     mass = np.cumsum(counts[OWN:]) - counts[OWN:] / 2
-    spread = CLASSES - OWN - 1
-    shared = OWN + np.minimum(spread * mass // max(counts[OWN:].sum(), 1), spread - 1).astype(np.int64)
-    found = np.concatenate([np.arange(min(OWN, len(counts))), shared, [CLASSES - 1]])
-    total = np.bincount(found[:-1], counts, minlength=CLASSES)
-    share = np.log(np.maximum(counts, 1) / np.maximum(total[found[:-1]], 1))
-    return found, np.append(share, -np.log(max(kinds, 1)))
-
-
-def fit(context: np.ndarray, goal: np.ndarray, entries: int, seed: int = 7) -> list[np.ndarray]:
-    """Adam on the cross-entropy of the classes; returns embedding, input weights, bias, output weights, bias."""
-    rng = np.random.default_rng(seed)
-    width = len(OFFSETS)
-    weights = [
-        rng.normal(0, 0.1, (entries, EMBEDDING)).astype(np.float32),
-        rng.normal(0, (width * EMBEDDING) ** -0.5, (width * EMBEDDING, HIDDEN)).astype(np.float32),
-        np.zeros(HIDDEN, np.float32),
-        rng.normal(0, HIDDEN**-0.5, (HIDDEN, CLASSES)).astype(np.float32),
-        np.log(np.bincount(goal, minlength=CLASSES) + 1.0).astype(np.float32),
-    ]
-    mean, square, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-    for _ in range(EPOCHS if len(goal) else 0):
-        shuffled = rng.permutation(len(goal))
-        for low in range(0, len(goal), BATCH):
-            some = shuffled[low : low + BATCH]
-            seen, want = context[some], goal[some]
-            inner = weights[0][seen].reshape(len(some), -1)
-            hidden = np.tanh(inner @ weights[1] + weights[2])
-            logits = hidden @ weights[3] + weights[4]
-            logits -= logits.max(axis=1, keepdims=True)
-            slope = np.exp(logits)
-            slope /= slope.sum(axis=1, keepdims=True)
-            slope[np.arange(len(some)), want] -= 1
-            slope /= len(some)
-            below = (slope @ weights[3].T) * (1 - hidden * hidden)
-            inward = (below @ weights[1].T).reshape(-1, EMBEDDING)
-            embedded = np.zeros_like(weights[0])
-            np.add.at(embedded, seen.ravel(), inward)
-            step += 1
-            for i, g in enumerate([embedded, inner.T @ below, below.sum(0), hidden.T @ slope, slope.sum(0)]):
-                mean[i] += 0.1 * (g - mean[i])
-                square[i] += 0.001 * (g * g - square[i])
-                scale = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-                weights[i] -= (scale * mean[i] / (np.sqrt(square[i]) + 1e-8)).astype(np.float32)
-    return weights
+    shared = OWN + np.minimum(BANDS * mass // max(counts[OWN:].sum(), 1), BANDS - 1).astype(np.int64)
+    found = np.concatenate([np.arange(min(OWN, len(counts))), shared, OWN + BANDS + np.arange(BUCKETS) % RARE])
+    total = np.bincount(found[: len(counts)], counts, minlength=CLASSES)
+    total[OWN + BANDS :] = rare
+    number = np.concatenate([np.maximum(counts, 1), np.ones(BUCKETS)])
+    return found, np.log(number / np.maximum(total[found], 1)), total
+
+
+def neighbours(docs: DataFrame, text: str, vocabulary: np.ndarray, order: np.ndarray, word_class: np.ndarray) -> np.ndarray:
+    """How often each class stands beside each entry, by offset, over all words of all documents."""
+    entries = edge(vocabulary) + 1
+    size = entries * CLASSES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(OFFSETS), size), np.int64)
+        for batch in batches:
+            for _, part in slices(batch, text):
+                ids, n, _ = word_ids(part, vocabulary, order)
+                around, own = contexts(ids, n, entries - 1), word_class[ids]
+                for i in range(len(OFFSETS)):
+                    total[i] += np.bincount(around[:, i] * CLASSES + own, minlength=size)
+        flat = total.ravel()
+        cells = np.flatnonzero(flat)
+        for low in range(0, len(cells), 100_000):
+            some = cells[low : low + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(flat[some])], ["cell", "n"])
+
+    found = (
+        docs.select(text).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        .toArrow()  # of fixed size: offsets, entries and classes
+    )
+    beside = np.zeros(len(OFFSETS) * size)
+    beside[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return beside.reshape(len(OFFSETS), entries, CLASSES)
+
+
+def scales(docs: DataFrame, text: str, model: Model) -> np.ndarray:
+    """Scale of the tables at each distance: one Newton step from ``START`` on sums over all words."""
+    distance = np.abs(OFFSETS) - 1
+    net = replace(model, counted=None)
+    names = [f"g{i}" for i in range(REACH)] + [f"h{i}{j}" for i in range(REACH) for j in range(REACH)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, curve = np.zeros(REACH), np.zeros((REACH, REACH))
+        for batch in batches:
+            for _, part in slices(batch, text):
+                ids, n, _ = word_ids(part, net.vocabulary, net.order)
+                around = contexts(ids, n, edge(net.vocabulary))
+                for low in range(0, len(ids), STEP):
+                    some, own = around[low : low + STEP], net.word_class[ids[low : low + STEP]]
+                    parts = [
+                        sum(net.tables[i][some[:, i]] for i in np.flatnonzero(distance == d)) for d in range(REACH)
+                    ]
+                    logits = net.bias + sum(np.float32(START[d]) * parts[d] for d in range(REACH))
+                    chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+                    chance /= chance.sum(axis=1, keepdims=True)
+                    weighted = [chance * part_ for part_ in parts]
+                    mean = [w.sum(axis=1, dtype=np.float64) for w in weighted]
+                    for i in range(REACH):
+                        slope[i] += parts[i][np.arange(len(own)), own].sum(dtype=np.float64) - mean[i].sum()
+                        for j in range(REACH):
+                            both = np.einsum("ij,ij->i", weighted[i], parts[j]).sum(dtype=np.float64)
+                            curve[i, j] += both - mean[i] @ mean[j]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in [*slope, *curve.ravel()]], names)
+
+    sums = docs.select(text).mapInArrow(run, ", ".join(f"{n} double" for n in names))
+    total = np.array([x or 0.0 for x in sums.agg(*[F.sum(n) for n in names]).first()])
+    curve = total[REACH:].reshape(REACH, REACH) + 1e-6 * np.eye(REACH)
+    step = np.clip(np.linalg.solve(curve, total[:REACH]), -0.5, 0.5)
+    return np.clip(np.array(START) + step, 0.0, 1.5)[distance]
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """Count all words, draw windows from all documents, and fit the network."""
+    """Count all words and what stands beside them in all documents, and scale the network."""
     counted = stage(word_counts(docs, text))
-    top = counted.orderBy(F.desc("n"), "word").limit(VOCABULARY).toArrow()
-    whole = counted.agg(F.sum("n"), F.count("*")).first()
-    remove(counted)
-    words, counts = top.column("word").to_numpy(), top.column("n").to_numpy().astype(np.float64)
-    total, kinds = whole[0] or 0, whole[1] - len(words)
+    # As many rows as there are different counts, at most about the root of twice the number of words.
+    kinds = counted.groupBy("n").agg(F.count("*").alias("kinds")).toArrow()
+    levels = np.argsort(-kinds.column("n").to_numpy())
+    inside = np.cumsum(kinds.column("kinds").to_numpy()[levels]) <= HEAD
+    least = int(kinds.column("n").to_numpy()[levels][inside].min(initial=np.iinfo(np.int64).max))
+    top = counted.filter(F.col("n") >= least).toArrow()  # HEAD rows at most
+    words, counts = top.column("word").to_numpy(), top.column("n").to_numpy()
+    sort = np.argsort(words)
+    head, head_log = words[sort], np.log(counts[sort])
+    first = np.lexsort((words, -counts))[:VOCABULARY]
+    words, counts = words[first], counts[first].astype(np.float64)
     order = np.argsort(words)
     vocabulary = words[order]
-    word_class, log_share = classes(counts, kinds)
-    share = min(1.0, WINDOWS / max(total, 1))
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(TaskContext.get().partitionId())
-        for batch in batches:
-            for _, part in slices(batch, text):
-                ids, n = word_ids(part, vocabulary, order)
-                some = np.flatnonzero(rng.random(len(ids)) < share)
-                rows = np.column_stack([contexts(ids, n, len(vocabulary) + 1)[some], ids[some]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row.tobytes() for row in rows.astype(np.int32)], pa.binary())], ["window"]
-                )
-
-    drawn = docs.select(text).mapInArrow(draw, "window binary").toArrow()  # about WINDOWS short rows
-    windows = np.frombuffer(b"".join(drawn.column(0).to_pylist()), np.int32).reshape(-1, len(OFFSETS) + 1).astype(np.int64)
-    embedding, inward, bias, output, output_bias = fit(windows[:, :-1], word_class[windows[:, -1]], len(vocabulary) + 2)
-    parts = inward.reshape(len(OFFSETS), EMBEDDING, HIDDEN)
-    return Model(
-        vocabulary, order, word_class, log_share, np.stack([embedding @ p for p in parts]), bias, output, output_bias
+    rare = np.zeros(RARE)
+    bucket = F.pmod(F.pmod("word", F.lit(BUCKETS)), F.lit(RARE))
+    for row in counted.groupBy(bucket.alias("rare")).agg(F.sum("n").alias("n")).collect():  # RARE rows
+        rare[row["rare"]] = row["n"]
+    rare -= np.bincount(words % BUCKETS % RARE, counts, minlength=RARE)
+    word_class, log_share, total = classes(counts, rare)
+
+    beside = neighbours(docs, text, vocabulary, order, word_class)
+    # A class without words has no chance worth naming.
+    share = np.maximum(total, 1e-6) / max(total.sum(), 1)
+    tables = np.log((beside / share + PRIOR) / (beside.sum(axis=2, keepdims=True) + PRIOR)).astype(np.float32)
+    model = Model(
+        vocabulary, order, word_class, log_share, tables, np.log(share).astype(np.float32), head, head_log,
+        counted.filter((F.col("n") < least) & (F.col("n") > 1)),
     )
+    return replace(model, tables=tables * scales(docs, text, model).astype(np.float32)[:, None, None])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_words, pseudo_log_likelihood and its mean per word."""
+    net = replace(model, counted=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, part in slices(batch, text):
-                n, total = model.score(part)
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+                n, total, words, times = net.score(part)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(key), pa.array(n.astype(np.int64)), pa.array(total), mean],
-                    [key, "n_words", "pseudo_log_likelihood", "mean_log_likelihood"],
+                    [rows.column("_row"), rows.column(key), pa.array(n.astype(np.int64)), pa.array(total), words, times],
+                    ["_row", key, "n_words", "_total", "_words", "_times"],
                 )
 
     schema = T.StructType([
-        docs.schema[key],
-        *T.StructType.fromDDL("n_words long, pseudo_log_likelihood double, mean_log_likelihood double").fields,
+        *T.StructType.fromDDL("_row long").fields, docs.schema[key],
+        *T.StructType.fromDDL("n_words long, _total double, _words array<long>, _times array<int>").fields,
     ])
-    return docs.select(key, text).mapInArrow(run, schema)
+    found = stage(docs.select(F.monotonically_increasing_id().alias("_row"), key, text).mapInArrow(run, schema))
+    # Each distinct word of a document once, and no frequent word; both sides grow with the corpus.
+    others = found.select("_row", F.inline(F.arrays_zip(F.col("_words").alias("word"), F.col("_times").alias("times"))))
+    added = (
+        others.hint("merge").join(model.counted, "word")
+        .groupBy("_row").agg(F.sum(F.col("times") * F.log("n")).alias("_added"))
+    )
+    total = F.col("_total") + F.coalesce("_added", F.lit(0.0))
+    return found.join(added.hint("merge"), "_row", "left").select(
+        key, "n_words", total.alias("pseudo_log_likelihood"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"),
+    )

@@ -143,3 +143,43 @@ def test_pseudo_likelihood_counts(rows):
     assert [counted[name] for name in names] == [2, 2, 1]
     empty = docs.limit(0)
     assert pseudo_likelihood.score(empty, pseudo_likelihood.train(empty)).count() == 0
+
+
+def test_pseudo_likelihood_counts_every_word(rows, monkeypatch):
+    """Words beyond the vocabulary and the head keep their own share, and all words' chances sum to one."""
+    monkeypatch.setattr(pseudo_likelihood, "VOCABULARY", 60)
+    data = [(i, " ".join(f"v{j}" for j in range(60))) for i in range(40)]
+    data += [(200 + i, " ".join(f"r{j} r{j}" for j in range(i, 12))) for i in range(9)]
+    data += [(301, "v1 r0 v2"), (302, "v1 r11 v2"), (302, "v1 r11 v2"), (303, "v1 once v2")]
+    docs = rows("doc_id long, text string", *data)
+    found = {}
+    for head in (60, 66, 100_000):
+        monkeypatch.setattr(pseudo_likelihood, "HEAD", head)
+        model = pseudo_likelihood.train(docs)
+        scored = pseudo_likelihood.score(docs, model).collect()
+        assert len(scored) == len(data)
+        found[head] = sorted((r["doc_id"], r["n_words"], round(r["pseudo_log_likelihood"], 6)) for r in scored)
+    assert found[60] == found[66] == found[100_000]
+    by_id = {i: value for i, _, value in found[60]}
+    assert len({by_id[301], by_id[302], by_id[303]}) == 3  # three rare words in one place
+    counted = {r["word"]: r["n"] for r in pseudo_likelihood.word_counts(docs).collect()}
+    words = np.array(sorted(counted))
+    at, inside = pseudo_likelihood.lookup(model.vocabulary, words)
+    ids = np.where(inside, model.order[at], len(model.vocabulary) + words % pseudo_likelihood.BUCKETS)
+    chance = np.exp(model.log_probabilities(np.tile([[3, 1, 2, 0]], (len(ids), 1)), ids))
+    assert abs((chance * np.where(inside, 1, [counted[w] for w in words.tolist()])).sum() - 1) < 1e-4
+
+
+def test_pseudo_likelihood_counts_every_neighbour(rows):
+    """What stands beside a word is counted over all words of the table."""
+    data = [(i, "a b c " * (i % 7) + "d") for i in range(60)] + [(99, None), (98, "")]
+    docs = rows("doc_id long, text string", *data)
+    model = pseudo_likelihood.train(docs)
+    beside = pseudo_likelihood.neighbours(docs, "text", model.vocabulary, model.order, model.word_class)
+    total = sum(len((t or "").split()) for _, t in data)
+    assert beside.sum(axis=(1, 2)).tolist() == [total] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b"])], ["text"])
+    (_, part), = text.slices(batch, "text")
+    (a, b), _, _ = pseudo_likelihood.word_ids(part, model.vocabulary, model.order)
+    want = sum((t or "").count("a b") for _, t in data)
+    assert beside[pseudo_likelihood.OFFSETS.index(-1), a, model.word_class[b]] == want > 0
