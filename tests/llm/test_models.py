@@ -106,6 +106,27 @@ def test_licences(rows):
     assert licenses.scan(docs.limit(0), licenses.train(docs)).count() == 0
 
 
+def test_licence_titles_and_families(rows):
+    """Short lines and further families are found, each as its own."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(rng.choices(["the", "of", "work", "is", "free", "version", "under", "a", "licensed"], k=n))
+    lines = {
+        "MIT License": "mit", "License: MIT": "mit", "ISC License": "isc", "BSD 3-Clause License": "bsd",
+        "GNU Lesser General Public License": "lgpl", "GNU Affero General Public License": "agpl",
+        "GNU General Public License": "gpl", "Apache License": "apache", "The Unlicense": "unlicense",
+        "CC0 1.0 Universal": "cc0", "zlib License": "zlib", "Eclipse Public License": "epl", "Boost Software License": "boost",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "lgpl",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED": "mit",
+        "the license": "none", "public": "none", "under the": "none", "software is": "none",
+    }
+    data = [(i, f"{prose(12)}\n{line}\n{prose(9)}") for i, line in enumerate(lines)]
+    data += [(100 + i, "\n".join(prose(12) for _ in range(4))) for i in range(300)]
+    docs = rows("doc_id long, text string", *data)
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    assert {line: found[i] for i, line in enumerate(lines)} == lines
+    assert all(found[100 + i] == "none" for i in range(300))
+
+
 def test_pseudo_likelihood_prefers_natural_order(rows):
     rng = random.Random(2)
     follow = {f"v{i}": [f"v{(3 * i + k) % 40}" for k in (1, 2)] for i in range(40)}
