@@ -1,8 +1,8 @@
 """Repeated lines leave documents, known by range-partitioned hashes; what comes back are bitmaps, not texts.
 
 Every line becomes a narrow row: a 128-bit hash of its key, a 128-bit hash of its document and its position. The rows are
-ranged by hash, then document, then position, so a line that stands in a third of all documents spreads over many
-partitions. In that order one running pass marks the first occurrence of a key in each document, and documents per key are
+ranged by hash, then document, and sorted by position, so a line that stands in a third of all documents spreads over many
+partitions, also when its lines are looked up again. In that order one running pass marks the first occurrence of a key in each document, and documents per key are
 sums of these marks, combined before they are shuffled. Lines of keys found in ``min_documents`` documents are dropped
 everywhere, or with ``keep_first`` everywhere but at their very first occurrence. Their positions come back as sparse
 bitmaps: for every 64 lines of a document one word of bits, words without a bit left out.
@@ -57,7 +57,7 @@ def _wrapped(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per line with a key: its hash, its document and position, and whether it is the document's first."""
+    """One row per line with a key: its hash, document, position and range, and whether it is the document's first."""
     numbered = docs.select("_id", "_a", "_b", "_text", F.monotonically_increasing_id().alias("_row"))
     keyed = F.transform(line_keys("_text"), lambda line, i: F.struct(i.alias("_position"), line.alias("_key")))
     rows = numbered.select("_id", "_a", "_b", "_row", F.inline(keyed)).filter("_key <> ''")
@@ -66,7 +66,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     # Ranges never cut a document's run of one key, which is at most the lines of one document.
     ranged = rows.repartitionByRange(*document).sortWithinPartitions(*document, "_position")
     place = F.row_number().over(Window.partitionBy(*document).orderBy("_position"))
-    return ranged.withColumn("_first", (place == 1).cast("long")).drop("_row")
+    return ranged.withColumns({"_first": (place == 1).cast("long"), "_range": F.spark_partition_id()}).drop("_row")
 
 
 def drop_bitmaps(
@@ -82,11 +82,14 @@ def drop_bitmaps(
 def _bitmaps(docs: DataFrame, min_documents: int, keep_first: bool) -> DataFrame:
     found = stage(occurrences(docs))
     per_key = found.groupBy("_h", "_g").agg(
-        F.sum("_first").alias("_documents"), F.min(F.struct("_id", "_a", "_b", "_position")).alias("_earliest")
+        F.sum("_first").alias("_documents"), F.min("_range").alias("_low"), F.max("_range").alias("_high"),
+        F.min(F.struct("_id", "_a", "_b", "_position")).alias("_earliest"),
     )
-    frequent = per_key.filter(F.col("_documents") >= min_documents).drop("_documents")
-    # As many keys as there are frequent lines, so never broadcast; a hot key's lines are split by skew handling.
-    repeated = found.join(frequent.hint("merge"), ["_h", "_g"])
+    frequent = per_key.filter(F.col("_documents") >= min_documents)
+    # A key fills neighbouring ranges, so with the range as a join key a hot one meets its lines range by range.
+    spread = frequent.select("_h", "_g", "_earliest", F.explode(F.sequence("_low", "_high")).alias("_range"))
+    # As many keys as there are frequent lines, so never broadcast.
+    repeated = found.join(spread.hint("merge"), ["_h", "_g", "_range"])
     if keep_first:
         repeated = repeated.filter(F.struct("_id", "_a", "_b", "_position") != F.col("_earliest"))
     word = F.floor(F.col("_position") / BITS).cast("int").alias("_word")
