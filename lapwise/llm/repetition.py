@@ -3,8 +3,10 @@
 The suffixes of all words of a slice of texts are sorted by prefix doubling; only suffixes that still share their
 prefix with another one of the same text are sorted again, so the work falls fast with the prefix length. The
 longest common prefixes of neighbours come from the kept ranks, and the intervals of that array are the maximal
-repeated substrings. Their spans are united, and a document passes if they cover at most a given fraction of its
-words and none is longer than a given number of words.
+repeated substrings. The longest repeat that starts at a suffix is the larger of its two neighbouring common prefixes; one
+such span a suffix covers what all occurrences of all maximal repeats cover, so these are never listed. A document passes
+if the spans cover at most a given fraction of its words and none is longer than a given number of words. Memory is a fixed
+number of bytes per word and doubling, also for a long text of one repeated word.
 
 Rules for odd input: a null or empty text has no words and fails the base rule; repeated rows are judged row by
 row; an empty table gives an empty result; other columns are ignored, whatever their names.
@@ -12,6 +14,7 @@ row; an empty table gives an empty result; other columns are ignored, whatever t
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,7 +62,7 @@ def suffix_array(symbols: np.ndarray, counts: np.ndarray, least: int = 1) -> Suf
     sizes = np.bincount(rank, minlength=1)
     rank = (np.cumsum(sizes) - sizes)[rank]  # place of the first suffix of the same class
     active = np.flatnonzero(_shared(rank, n))
-    levels = [rank]
+    levels = [rank.astype(_kind(n))]
     step = 1
     while len(active):
         there = active + step
@@ -77,7 +80,7 @@ def suffix_array(symbols: np.ndarray, counts: np.ndarray, least: int = 1) -> Suf
         group_start = np.maximum.accumulate(np.where(fresh_group, np.arange(len(key)), 0))
         rank = rank.copy()
         rank[active[sort]] = group + start - group_start
-        levels.append(rank)
+        levels.append(rank.astype(_kind(n)))
         active = active[_shared(rank[active], n)]
         step *= 2
     order = np.empty(n, np.int64)
@@ -85,6 +88,10 @@ def suffix_array(symbols: np.ndarray, counts: np.ndarray, least: int = 1) -> Suf
     return Suffixes(order, _common(order, end, levels, least))
 
 
+def _kind(n: int) -> type:
+    return np.int32 if n < 2**31 else np.int64
+
+
 def _shared(rank: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rank, minlength=n)[rank] > 1
 
@@ -111,50 +118,54 @@ def _common(order: np.ndarray, end: np.ndarray, levels: list[np.ndarray], least:
 
 def lcp_intervals(common: np.ndarray) -> np.ndarray:
     """Rows (first, last, length): suffixes first to last in sorted order share ``length`` words, no wider run does."""
-    found: list[tuple[int, int, int]] = []
-    stack: list[tuple[int, int]] = []
-    places = np.flatnonzero(common).tolist()
+    found, heights, lefts = array("q"), array("q"), array("q")
+
+    def close(last: int) -> int:
+        left = lefts.pop()
+        found.extend((left, last, heights.pop()))
+        return left
+
     previous = -2
-    for place in places:
+    for place in np.flatnonzero(common).tolist():
         if place != previous + 1:
-            found += [(left, previous, height) for height, left in stack]
-            stack = []
+            while heights:
+                close(previous)
         height, left = int(common[place]), place - 1
-        while stack and stack[-1][0] > height:
-            closed, left = stack.pop()
-            found.append((left, place - 1, closed))
-        if not stack or stack[-1][0] < height:
-            stack.append((height, left))
+        while heights and heights[-1] > height:
+            left = close(place - 1)
+        if not heights or heights[-1] < height:
+            heights.append(height)
+            lefts.append(left)
         previous = place
-    found += [(left, previous, height) for height, left in stack]
+    while heights:
+        close(previous)
     return np.array(found, np.int64).reshape(-1, 3)
 
 
-def maximal_repeats(symbols: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of all repeated substrings that no other word extends on either side.
+@dataclass
+class Repeats:
+    """What repeats in many sequences at once."""
 
-    Gives the spans as rows (first word, end), and per repeat its first occurrence and length.
-    """
+    spans: np.ndarray  # rows (first word, end): for each suffix its longest repeat, if it has one
+    heads: np.ndarray  # one word inside each maximal repeated substring's sequence
+
+
+def maximal_repeats(symbols: np.ndarray, counts: np.ndarray, least: int) -> Repeats:
+    """Repeated substrings of at least ``least`` words; maximal ones are extended by no word on either side."""
     found = suffix_array(symbols, counts, least)
-    intervals = lcp_intervals(found.common)
-    if not len(intervals):
-        return np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)
+    order, common = found.order, found.common
+    longest = np.maximum(common, np.append(common[1:], 0))
+    place = np.flatnonzero(longest)
+    spans = np.stack([order[place], order[place] + longest[place]], 1)
+    intervals = lcp_intervals(common)
     first = np.zeros(len(symbols), bool)
     first[(np.cumsum(counts) - counts)[counts > 0]] = True
     # A repeat extends to the left when one and the same word stands before all its occurrences.
-    order = found.order
-    before = np.where(first[order], 0, symbols[order - 1])
+    before = np.where(first[order], 0, symbols[order - 1]) if len(order) else order
     varied = np.zeros(len(order) + 1, np.int64)
     varied[2:] = np.cumsum((before[1:] != before[:-1]) | first[order[1:]] | first[order[:-1]])
-    low, high, length = intervals.T
-    left_maximal = varied[high + 1] > varied[low + 1]
-    low, high, length = low[left_maximal], high[left_maximal], length[left_maximal]
-    times = high - low + 1
-    member = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
-    starts = order[member]
-    spans = np.stack([starts, starts + np.repeat(length, times)], 1)
-    heads = np.minimum.reduceat(starts, np.cumsum(times) - times)
-    return spans, np.stack([heads, length], 1)
+    low, high, _ = intervals.T
+    return Repeats(spans, order[low[varied[high + 1] > varied[low + 1]]])
 
 
 def covered(spans: np.ndarray, n: int) -> np.ndarray:
@@ -170,12 +181,12 @@ def measure(part: Texts) -> dict[str, np.ndarray]:
     first, last = part.words()
     counts = part.counts(first)
     symbols = part.hashes(first, last)
-    spans, repeats = maximal_repeats(symbols, counts, MIN_REPEAT)
+    repeats = maximal_repeats(symbols, counts, MIN_REPEAT)
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    inside = np.concatenate([[0], np.cumsum(covered(spans, len(symbols)))])
-    text_of = np.searchsorted(bounds, repeats[:, 0], side="right") - 1
+    inside = np.concatenate([[0], np.cumsum(covered(repeats.spans, len(symbols)))])
     longest = np.zeros(len(part), np.int64)
-    np.maximum.at(longest, text_of, repeats[:, 1])
+    text_of = np.searchsorted(bounds, repeats.spans[:, 0], side="right") - 1
+    np.maximum.at(longest, text_of, repeats.spans[:, 1] - repeats.spans[:, 0])
 
     in_word = np.zeros(len(part.data) + 1, np.int64)
     np.add.at(in_word, first, 1)
@@ -188,7 +199,7 @@ def measure(part: Texts) -> dict[str, np.ndarray]:
         "n_dup_lines": _repeated_lines(part, first),
         "n_repeat_words": inside[bounds[1:]] - inside[bounds[:-1]],
         "longest_repeat": longest,
-        "n_maximal_repeats": np.bincount(text_of, minlength=len(part)),
+        "n_maximal_repeats": np.bincount(np.searchsorted(bounds, repeats.heads, side="right") - 1, minlength=len(part)),
     }
 
 

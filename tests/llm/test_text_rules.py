@@ -3,6 +3,9 @@
 import collections
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -82,6 +85,52 @@ def test_suffix_order_and_intervals():
         assert high + 1 == len(symbols) or found.common[high + 1] < length
 
 
+def test_maximal_repeats_are_counted():
+    rng = random.Random(9)
+    for _ in range(60):
+        words = rng.choices("abc", k=rng.randint(0, 40))
+        want, n = set(), len(words)
+        for size in range(2, n):
+            places = collections.defaultdict(list)
+            for i in range(n - size + 1):
+                places[tuple(words[i : i + size])].append(i)
+            for run, at in places.items():
+                left = {words[i - 1] if i else None for i in at}
+                right = {words[i + size] if i + size < n else None for i in at}
+                want |= {run} if len(at) > 1 and (len(left) > 1 or None in left) and (len(right) > 1 or None in right) else set()
+        symbols = np.array([ord(w) for w in words], np.uint64)
+        found = repetition.maximal_repeats(symbols, np.array([n]), 2)
+        assert len(found.heads) == len(want), words
+
+
+CYCLES = """
+import resource, sys
+import pyarrow as pa
+from lapwise.llm import repetition, text
+words = {"one": ["ab"], "two": ["ab", "cd"], "fibonacci": None}[sys.argv[1]]
+if words is None:
+    one, words = ["a"], ["a", "b"]
+    while len(words) < 2_500_000:
+        one, words = words, words + one
+whole = (" ".join(words) + " ") * (1 + 5_000_000 // (3 * len(words)))
+batch = pa.RecordBatch.from_arrays([pa.array([whole[:5_000_000]])], ["text"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+(_, part), = text.slices(batch, "text")
+found = repetition.measure(part)
+assert found["n_repeat_words"][0] == found["n_words"][0] > 1_000_000
+assert found["longest_repeat"][0] > 500_000
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+
+
+@pytest.mark.parametrize("kind", ["one", "two", "fibonacci"])
+def test_long_repetitive_texts_take_bounded_memory(kind):
+    root = Path(__file__).resolve().parents[2]
+    run = subprocess.run([sys.executable, "-c", CYCLES, kind], cwd=root, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr
+    assert int(run.stdout.split()[-1]) < 1_000_000  # kB
+
+
 def test_rules_on_frames(spark, rows):
     clean = " ".join(f"w{i}" for i in range(60))
     df = rows(
