@@ -27,24 +27,18 @@ def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; empty documents are linked with nothing and stay.
+    """One row of each group of near-duplicates, the one with the smallest doc_id (null last).
 
-    Of rows that repeat the kept doc_id one stays; rows without doc_id stay.
+    Every row is judged by its own text, whatever its doc_id; rows without words are linked with nothing and stay.
     """
     ship(spark)
-    found = stage(minhash.near_duplicates(docs))
-    copies = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
-    copies = copies.hint("merge")  # as many as there are copies, so never broadcast
-    left = docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
-    repeated = stage(
-        found.filter(F.col("kept") & F.col("doc_id").isNotNull())
-        .groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
-    )
-    if repeated.isEmpty():
-        return left
-    again = F.col("doc_id") == F.col("_id")
-    once = left.join(repeated, again, "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, again, "left_anti").unionByName(once)
+    numbered = stage(docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row")))
+    found = minhash.near_duplicates(numbered.select("_row", F.col("_doc.text").alias("text")), key="_row")
+    ids = numbered.select("_row", F.col("_doc.doc_id").alias("_id"))
+    place = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    first = found.join(ids.hint("merge"), "_row").groupBy("component_id").agg(F.min(place)["row"].alias("_row"))
+    # As many rows as stay, so never broadcast.
+    return numbered.join(first.select("_row").hint("merge"), "_row", "left_semi").select("_doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
