@@ -73,7 +73,25 @@ def test_repeated_ids_leave_one_row(spark, rows):
     assert sorted(r["doc_id"] for r in found) == [1, 3]
 
 
+def test_unlike_rows_of_one_id_stay(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    a, b, c = (" ".join(f"{name}{i}" for i in range(20)) for name in "abc")
+    docs = rows(schema, (1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, a, "en", "s", 1), (2, c, "en", "s", 1))
+    found = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == [(1, a), (1, b), (2, c)]
+    docs = rows(schema, (None, a, "en", "s", 1), (None, a + " x", "en", "s", 1), (None, "", "en", "s", 1), (None, None, "", "s", 1))
+    found = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(str(r["text"])[:2] for r in found) == ["", "No", "a0"]
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert {"op2_pivot_table", "op9_raked_mixture"} <= __spark_entry__.oracle_sql().keys()
