@@ -1,17 +1,19 @@
 """Mixing sources to target weights by iterative proportional fitting, with calibrated sampling.
 
-Token counts are summed per cell (source, language, topic). The cells' weights are raked in turn to the target share
-of every source, language and topic until all three marginals agree; a cell's weight over its tokens is how much each
-of its documents should count. Documents are kept with probability proportional to that, scaled so that the largest
-is 1: the expected token shares of the sample are the raked ones exactly, and no other such sample is larger.
+Token counts are summed per cell (source, language, topic). A mix of ``KEEP`` of all tokens is fitted to the target share of
+every source, language and topic in turn: the cells of a value are scaled to its target. A cell cannot give more tokens than
+it has: one that would is kept whole, and what it lacks is raked over the value's other cells. So a small cell, or a single
+stray document, never shrinks the others; only where a value's documents all together hold too few tokens is its
+target missed, and ``marginals`` reports wanted and reached shares. A document is kept with the probability of its cell,
+what the mix takes over what the cell has, decided by a hash of its id.
 
 Only the cells are raked, as many as there are combinations; documents are read twice and never sorted. The targets
 are the observed shares raised to ``FLATTEN`` unless given.
 
 Rules for odd input: null source or language is a value of its own; a null or empty text has no tokens, weighs
-nothing and is kept like its cell; repeated rows are kept or left together; a target for a value that does not occur
-is left out and the others are scaled up; an empty table gives an empty result; other columns pass through whatever their
-names.
+nothing and is kept like its cell; a cell without any tokens is kept with the probability ``KEEP``; repeated rows are kept
+or left together; a target for a value that does not occur is left out and the others are scaled up; an empty table gives
+an empty result; other columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from lapwise.operators.staging import stage
 
 ROUNDS = 12
+# Share of all tokens that the mix takes.
+KEEP = 0.5
 FLATTEN = 0.85
 SEED = "mix"
 NONE = "(none)"
@@ -73,30 +77,58 @@ def _with_targets(cells: DataFrame, given: Targets) -> DataFrame:
     return cells
 
 
-def rake(cells: DataFrame, given: Targets | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """Cells with the raked ``_weight`` and the ``_probability`` of keeping a document of the cell."""
-    found = stage(_with_targets(cells.filter("_sum > 0"), given or {}).withColumn("_weight", F.col("_sum").cast("double")))
+def rake(cells: DataFrame, given: Targets | None = None, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """Cells with the tokens ``_weight`` that the mix takes of them, at most ``_sum``, and their ``_probability``.
+
+    ``keep`` is the share of all tokens that is taken.
+    """
+    found = stage(_with_targets(cells.filter("_sum > 0"), given or {}))
+    whole = float(found.agg(F.sum("_sum")).first()[0] or 0)
+    found = found.withColumn("_weight", F.col("_sum") * F.lit(keep))
+    full = F.col("_weight") >= F.col("_sum")
     for number in range(1, rounds + 1):
         for name in DIMENSIONS:
-            total = F.sum("_weight").over(Window.partitionBy(name))
-            fitted = F.when(total > 0, F.col("_weight") * F.col(f"{name}_target") / total).otherwise(F.lit(0.0))
+            value = Window.partitionBy(name)
+            goal = F.col(f"{name}_target") * F.lit(keep * whole)
+            total = F.sum("_weight").over(value)
+            fixed = F.sum(F.when(full, F.col("_weight")).otherwise(F.lit(0.0))).over(value)
+            free = F.sum(F.when(full, F.lit(0.0)).otherwise(F.col("_weight"))).over(value)
+            grown = F.least(F.col("_sum").cast("double"), F.col("_weight") * (goal - fixed) / free)
+            fitted = (
+                F.when(total >= goal, F.when(total > 0, F.col("_weight") * goal / total).otherwise(F.lit(0.0)))
+                .when(~full & (free > 0), grown)
+                .otherwise(F.col("_weight"))
+            )
             found = found.withColumn("_weight", fitted)
         if number % 3 == 0 and number < rounds:  # keeps plans short; cells only
             found = stage(found)
-    found = stage(found.withColumn("_factor", F.col("_weight") / F.col("_sum")))
-    largest = found.agg(F.max("_factor")).first()[0] or 1.0
-    return found.withColumn("_probability", F.col("_factor") / F.lit(largest))
+    return stage(found).withColumn("_probability", F.col("_weight") / F.col("_sum"))
+
+
+def marginals(raked: DataFrame) -> DataFrame:
+    """Per dimension and value the wanted and the reached share of the mix."""
+    total = raked.agg(F.sum("_weight")).first()[0] or 1.0
+    sides = F.array(*[
+        F.struct(F.lit(name[1:]).alias("dimension"), F.col(name).alias("value"), F.col(f"{name}_target").alias("wanted"))
+        for name in DIMENSIONS
+    ])
+    return (
+        raked.select(F.explode(sides).alias("side"), "_weight").select("side.*", "_weight")
+        .groupBy("dimension", "value").agg(F.max("wanted").alias("wanted"), (F.sum("_weight") / total).alias("reached"))
+    )
 
 
 def _mixed(df: DataFrame, given: Targets | None, key: str) -> DataFrame:
     rows = _labelled(df)
     cells = stage(rows.groupBy(*DIMENSIONS).agg(F.sum("_tokens").alias("_sum")))
-    raked = stage(rake(cells, given).select(*DIMENSIONS, "_weight", "_factor", "_probability"))
+    raked = stage(rake(cells, given).select(*DIMENSIONS, "_weight", "_probability"))
+    total = raked.agg(F.sum("_weight")).first()[0] or 1.0
     name = F.concat_ws("#", F.lit(SEED), F.coalesce(F.col(f"_doc.{key}").cast("string"), F.lit("")))
     chance = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double") / float(1 << 52)
     return (
         rows.join(raked, list(DIMENSIONS), "left")
-        .withColumns({n: F.coalesce(n, F.lit(0.0)) for n in ("_weight", "_factor", "_probability")})
+        .withColumn("_weight", F.coalesce(F.col("_weight") / F.lit(total), F.lit(0.0)))
+        .withColumn("_probability", F.coalesce("_probability", F.lit(KEEP)))
         .withColumn("_kept", chance < F.col("_probability"))
     )
 

@@ -93,21 +93,28 @@ WITH docs AS (
   SELECT {name}, pow(sum(n), {mixing.FLATTEN}) / sum(pow(sum(n), {mixing.FLATTEN})) OVER () AS goal
   FROM cells GROUP BY {name}
 )""")
-    last, value = "cells", "n"
+    last, value = "cells", f"n * {mixing.KEEP}"
     for number in range(mixing.ROUNDS):
         for name in ("source", "lang", "topic"):
             here = f"w{number}_{name}"
             steps.append(f"""{here} AS (
-  SELECT c.source, c.lang, c.topic, c.n, {value} * goal / sum({value}) OVER (PARTITION BY c.{name}) AS w
-  FROM {last} c JOIN t_{name} t ON c.{name} = t.{name}
+  SELECT source, lang, topic, n, CASE WHEN total >= wanted THEN w * wanted / total
+    WHEN w < n AND free > 0 THEN least(n, w * (wanted - fixed) / free) ELSE w END AS w
+  FROM (
+    SELECT c.*, goal * {mixing.KEEP} * whole AS wanted, sum(w) OVER here AS total,
+      sum(CASE WHEN w >= n THEN w ELSE 0 END) OVER here AS fixed, sum(CASE WHEN w >= n THEN 0 ELSE w END) OVER here AS free
+    FROM (SELECT source, lang, topic, n, {value} AS w FROM {last}) c JOIN t_{name} t ON c.{name} = t.{name},
+      (SELECT sum(n) AS whole FROM cells)
+    WINDOW here AS (PARTITION BY c.{name})
+  )
 )""")
             last, value = here, "w"
     return ",\n".join(steps) + f"""
-SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, round(coalesce(w, 0), 9) AS cell_weight,
-  round(coalesce(p, 0), 9) AS probability,
+SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, round(coalesce(share, 0), 9) AS cell_weight,
+  round(coalesce(p, {mixing.KEEP}), 9) AS probability,
   ('0x' || substr(md5('{mixing.SEED}#' || coalesce(r.doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52)
-    < coalesce(p, 0) AS kept
-FROM rows_ r LEFT JOIN (SELECT *, w / n / max(w / n) OVER () AS p FROM {last}) f
+    < coalesce(p, {mixing.KEEP}) AS kept
+FROM rows_ r LEFT JOIN (SELECT *, w / n AS p, w / sum(w) OVER () AS share FROM {last}) f
   ON r.source = f.source AND r.lang = f.lang AND r.topic = f.topic"""
 
 

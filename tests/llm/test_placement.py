@@ -63,13 +63,15 @@ def test_raking_meets_all_marginals(spark, rows):
         "_source": {"a": 0.5, "b": 0.3, "c": 0.2, "missing": 1.0}, "_lang": {"x": 1, "y": 3}, "_topic": {"p": 1, "q": 1},
     }
     goal["_source"].pop("missing")
-    found = mixing.rake(cells, goal, rounds=30).collect()
+    raked = mixing.rake(cells, goal, rounds=30, keep=0.1)
+    found = raked.collect()
+    tokens = 0.1 * sum(r["_sum"] for r in found)
     for name, want in goal.items():
         whole = sum(want.values())
         for value, share in want.items():
-            assert abs(sum(r["_weight"] for r in found if r[name] == value) - share / whole) < 1e-6
-    assert max(r["_probability"] for r in found) == 1.0
-    # The same factors by plain proportional fitting.
+            assert abs(sum(r["_weight"] for r in found if r[name] == value) / tokens - share / whole) < 1e-6
+    assert all(abs(r["wanted"] - r["reached"]) < 1e-6 for r in mixing.marginals(raked).collect())
+    # The same factors by plain proportional fitting, as no cell is short of tokens.
     table = np.array([10.0 + 7 * i for i in range(12)]).reshape(3, 2, 2)
     for _ in range(30):
         for axis, want in enumerate(([0.5, 0.3, 0.2], [0.25, 0.75], [0.5, 0.5])):
@@ -77,9 +79,41 @@ def test_raking_meets_all_marginals(spark, rows):
             shape = [1, 1, 1]
             shape[axis] = -1
             table *= (np.array(want) / table.sum(axis=others)).reshape(shape)
+    assert max(r["_probability"] for r in found) < 1
     have = {(r["_source"], r["_lang"], r["_topic"]): r["_weight"] for r in found}
     for (i, s), (j, x), (k, t) in itertools.product(enumerate("abc"), enumerate("xy"), enumerate("pq")):
-        assert abs(have[s, x, t] - table[i, j, k]) < 1e-9
+        assert abs(have[s, x, t] - tokens * table[i, j, k]) < 1e-6
+
+
+def test_short_cells_are_kept_whole_and_the_others_raked(rows):
+    cells = rows(
+        "_source string, _lang string, _topic string, _sum long",
+        ("a", "x", "p", 1000), ("a", "y", "p", 1000), ("b", "x", "p", 10), ("b", "y", "p", 1000), ("c", "x", "p", 40),
+    )
+    goal = {"_source": {"a": 0.5, "b": 0.3, "c": 0.2}, "_lang": {"x": 0.5, "y": 0.5}, "_topic": {"p": 1}}
+    raked = mixing.rake(cells, goal, rounds=60, keep=0.4)
+    have = {(r["_source"], r["_lang"]): r for r in raked.collect()}
+    assert have["c", "x"]["_probability"] == 1.0 == have["b", "x"]["_probability"]
+    assert all(0 < r["_weight"] <= r["_sum"] for r in have.values())
+    reached = {(r["dimension"], r["value"]): (r["wanted"], r["reached"]) for r in mixing.marginals(raked).collect()}
+    assert reached["source", "c"][1] < 0.2 and reached["source", "c"][0] == pytest.approx(0.2)  # too few tokens at all
+
+
+def test_one_stray_document_changes_little(rows):
+    rng = np.random.default_rng(2)
+    data = [
+        (i, "word " * int(rng.integers(1, 1200)), "hot" if i % 3 else f"s{i % 17}", rng.choice(["en", "fr", "de"]).item())
+        for i in range(1500)
+    ]
+    stray = [(9000, "word " * 20, "alone", "xx")]
+
+    def kept(given):
+        found = mixing.weigh(rows("doc_id long, text string, source string, lang string", *given)).collect()
+        tokens = sum(r["n_tokens"] for r in found)
+        return sum(r["n_tokens"] * r["probability"] for r in found), tokens
+
+    (before, tokens), (after, _) = kept(data), kept(data + stray)
+    assert abs(before / tokens - mixing.KEEP) < 0.02 and abs(after - before) < 0.01 * before
 
 
 def test_mixture_samples_what_it_weighs(rows):
