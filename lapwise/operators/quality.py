@@ -1,7 +1,8 @@
 """Data quality as set operations: check specifications in, one row per check out.
 
-Null, range, freshness and row-count checks of a table share one aggregation. Duplicate checks group by their
-own columns and merge counts. Nothing is collected; the result is a DataFrame.
+All checks of a table but those of its schema read it once. Null, range, freshness and row-count checks are one global
+aggregation. With duplicate checks every row is expanded to one row per set of key columns, as GROUPING SETS do, plus one
+that carries the measures; one shuffle counts all sets together. Nothing is collected; the result is a DataFrame.
 """
 
 from __future__ import annotations
@@ -87,15 +88,20 @@ def _invalid(df: DataFrame, condition: str) -> str | None:
     return None if kind == T.BooleanType() else f"condition is {kind.simpleString()}, not boolean"
 
 
-def _measure(df: DataFrame, spec: CheckSpec, i: int) -> Column:
+def _input(spec: CheckSpec) -> Column:
+    """What a row adds to the measure of a one-pass check."""
     if spec.kind == "null_check":
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.columns])
-        return F.count_if(any_null).alias(f"m{i}")
+        return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in spec.columns]).cast("long")
     if spec.kind == "range_check":
-        return F.count_if(~F.coalesce(F.expr(spec.condition), F.lit(False))).alias(f"m{i}")
+        return (~F.coalesce(F.expr(spec.condition), F.lit(False))).cast("long")
     if spec.kind == "freshness_check":
-        return F.max(F.col(spec.columns[0]).cast("timestamp_ntz")).alias(f"m{i}")
-    return F.count(F.lit(1)).alias(f"m{i}")
+        return F.col(f"`{spec.columns[0]}`").cast("timestamp_ntz")
+    return F.lit(1).cast("long")
+
+
+def _merge(spec: CheckSpec, name: str) -> Column:
+    """The measure of many rows, or of many partial measures."""
+    return (F.max(name) if spec.kind == "freshness_check" else F.sum(name)).alias(name)
 
 
 def _verdict(spec: CheckSpec, i: int, warn_pct: float, as_of: Column) -> Column:
@@ -117,19 +123,53 @@ def _verdict(spec: CheckSpec, i: int, warn_pct: float, as_of: Column) -> Column:
 
 
 def _one_pass(df: DataFrame, specs: list[CheckSpec], warn_pct: float, as_of: Column) -> DataFrame:
-    measures = df.agg(F.count(F.lit(1)).alias("total"), *[_measure(df, s, i) for i, s in enumerate(specs)])
+    inputs = df.select(*[_input(s).alias(f"m{i}") for i, s in enumerate(specs)])
+    measures = inputs.agg(F.count(F.lit(1)).alias("total"), *[_merge(s, f"m{i}") for i, s in enumerate(specs)])
+    filled = {f"m{i}": F.coalesce(f"m{i}", F.lit(0)) for i, s in enumerate(specs) if s.kind != "freshness_check"}
     verdicts = [_verdict(s, i, warn_pct, as_of) for i, s in enumerate(specs)]
-    return measures.select(F.inline(F.array(*verdicts)))
+    return measures.withColumns(filled).select(F.inline(F.array(*verdicts)))
 
 
-def _duplicates(df: DataFrame, spec: CheckSpec, warn_pct: float) -> DataFrame:
-    """Rows beyond the first of each value; whole rows when no column is named."""
-    sizes = df.groupBy(*(spec.columns or df.columns)).agg(F.count(F.lit(1)).alias("n"))
+def _expanded(
+    df: DataFrame, single: list[CheckSpec], repeats: list[CheckSpec], warn_pct: float, as_of: Column
+) -> DataFrame:
+    """Duplicate checks and one-pass checks together.
+
+    Set 0 has no key columns and carries the inputs of the measures; set i has the key columns of the i-th duplicate
+    check (all columns if it names none). A column outside a set is null in its rows, and the set's number keeps
+    such nulls apart from real ones. Copies of a key are counted before they are shuffled.
+    """
+    keys = {i: list(dict.fromkeys(s.columns or df.columns)) for i, s in enumerate(repeats, 1)}
+    used = list(dict.fromkeys(name for own in keys.values() for name in own))
+    named = {name: f"k{n}" for n, name in enumerate(used)}
+    inputs = df.select(
+        *[F.col(f"`{name}`").alias(named[name]) for name in used],
+        *[_input(s).alias(f"m{i}") for i, s in enumerate(single)],
+        F.explode(F.array(*[F.lit(i) for i in range(len(repeats) + 1)])).alias("set"),
+    )
+    at = F.col("set")
+    expanded = inputs.select(
+        "set",
+        *[F.when(at.isin([i for i, own in keys.items() if name in own]), F.col(named[name])).alias(named[name]) for name in used],
+        *[F.when(at == 0, F.col(f"m{i}")).alias(f"m{i}") for i in range(len(single))],
+    )
+    sizes = expanded.groupBy("set", *named.values()).agg(
+        F.count(F.lit(1)).alias("n"), *[_merge(s, f"m{i}") for i, s in enumerate(single)]
+    )
     counts = sizes.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad")
+        F.coalesce(F.sum(F.when(at == 0, F.col("n"))), F.lit(0)).alias("total"),
+        *[_merge(s, f"m{i}") for i, s in enumerate(single)],
+        *[F.coalesce(F.sum(F.when(at == i, F.col("n") - 1)), F.lit(0)).alias(f"bad{i}") for i in keys],
     )
-    verdict = _percent_row(spec, F.col("total"), F.col("bad"), warn_pct, "duplicate records")
-    return counts.select(F.inline(F.array(verdict)))
+    # Counts of an empty table are 0, not null.
+    filled = counts.withColumns(
+        {f"m{i}": F.coalesce(f"m{i}", F.lit(0)) for i, s in enumerate(single) if s.kind != "freshness_check"}
+    ) if single else counts
+    verdicts = [_verdict(s, i, warn_pct, as_of) for i, s in enumerate(single)]
+    verdicts += [
+        _percent_row(s, F.col("total"), F.col(f"bad{i}"), warn_pct, "duplicate records") for i, s in enumerate(repeats, 1)
+    ]
+    return filled.select(F.inline(F.array(*verdicts)))
 
 
 def schema_differences(df: DataFrame, expected: T.StructType) -> DataFrame:
@@ -176,9 +216,11 @@ def run_checks(
     sound = [s for s in specs if broken[s.name] is None]
     parts: list[DataFrame] = []
     single = [s for s in sound if s.kind in ONE_PASS]
-    if single:
+    repeats = [s for s in sound if s.kind == "duplicate_check"]
+    if repeats:
+        parts.append(_expanded(df, single, repeats, warn_pct, now))
+    elif single:
         parts.append(_one_pass(df, single, warn_pct, now))
-    parts += [_duplicates(df, s, warn_pct) for s in sound if s.kind == "duplicate_check"]
     parts += [_schema(df, s) for s in sound if s.kind == "schema_check"]
     unsound = [s for s in specs if broken[s.name] is not None]
     if unsound:

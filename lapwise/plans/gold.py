@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.functions import metrics as M
+from lapwise.operators.maintenance import Stored
 from lapwise.operators.running import row_numbers
 
 
@@ -35,6 +36,25 @@ def season_partials(facts: DataFrame) -> DataFrame:
     )
 
 
+def stored_seasons() -> Stored:
+    """The same sums as a stored aggregation that is kept up to date from changed rows."""
+    finished = F.when(F.col("finished_race"), F.col("position")).cast("long")
+    return Stored(
+        ["driverId", "constructorId", "year"],
+        sums={"total_points": F.col("points"), "finish_sum": finished, "finish_squares": finished * finished},
+        counts={
+            "total_races": F.col("raceId").isNotNull(),
+            "total_wins": F.col("position") == 1,
+            "total_podiums": F.col("podium_finish"),
+            "dnf_count": F.col("dnf_status"),
+            "fastest_laps": F.col("fastestLap") == 1,
+            "finishes": finished.isNotNull(),
+        },
+        lows={"career_best_position": F.col("position")},
+        highs={"career_worst_position": F.col("position")},
+    )
+
+
 _SUMS = [
     "total_races", "total_wins", "total_podiums", "total_points", "dnf_count", "fastest_laps",
     "finishes", "finish_sum", "finish_squares",

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise import constants as C
-from lapwise.operators import monitoring
+from lapwise.operators import maintenance, monitoring
 from lapwise.operators.staging import scratch, stage
-from lapwise.plans import season, silver
+from lapwise.plans import gold, season, silver
 from lapwise.queries import quality as ledgers
 from lapwise.queries.common import sql
 from lapwise.queries.gold import bound, performance, standings
@@ -125,6 +125,18 @@ def _clustered(b: Binding) -> DataFrame:
     )
 
 
+def _on_curve(b: Binding) -> DataFrame:
+    """Laps clustered along a curve through three columns, filtered on the second and third."""
+    path = scratch(b.spark, "laps-on-curve")
+    writers.write_table(b.lap_times(), path, curve_by=["raceId", "driverId", "milliseconds"])
+    return (
+        readers.read_table(b.spark, path)
+        .filter("driverId BETWEEN 5 AND 60 AND milliseconds >= 20000")
+        .groupBy("raceId")
+        .agg(F.count(F.lit(1)).alias("laps"), F.sum("milliseconds").alias("milliseconds"))
+    )
+
+
 def _compacted(b: Binding) -> DataFrame:
     path, new_path = scratch(b.spark, "small-files"), scratch(b.spark, "compact")
     b.races().repartition(16).write.parquet(path)
@@ -294,6 +306,21 @@ def _refreshed(b: Binding) -> DataFrame:
     return writers.refresh(current, scratch(b.spark, "current-standings"))
 
 
+def _maintained(b: Binding) -> DataFrame:
+    """Stored season sums moved by a correction: a season arrives late, one gets new points, retirements since 2000 go."""
+    stored = gold.stored_seasons()
+    facts = stage(silver.race_facts(b.results(), b.races()))
+    before = facts.filter("year <> 1992")
+    corrected = facts.filter("year = 1999").withColumn("points", F.col("points") + 1)
+    removed = before.filter("year = 1999 OR (year >= 2000 AND dnf_status)")
+    added = corrected.unionByName(facts.filter("year = 1992"))
+    current = before.filter("year <> 1999 AND NOT (year >= 2000 AND dnf_status)").unionByName(added)
+    first, second = scratch(b.spark, "seasons-1"), scratch(b.spark, "seasons-2")
+    stored.compute(before).write.partitionBy("year").parquet(first)
+    maintenance.refresh_stored(b.spark, stored, first, second, removed, added, current, "year")
+    return stored.visible(readers.read_table(b.spark, second))
+
+
 def _registered(b: Binding) -> DataFrame:
     """A partitioned table known to the catalog, read by its name; only the entry is dropped afterwards."""
     name = f"registered_{uuid.uuid4().hex}"
@@ -330,12 +357,14 @@ QUERIES = {
     "snk4_upsert": bound(_upserted),
     "snk4_upsert_partitions": bound(_upserted_partitions),
     "snk6_clustered_table": bound(_clustered),
+    "snk6_curve_clustered": bound(_on_curve),
     "snk7_compacted_table": bound(_compacted),
     "snk8_season_tables": bound(_season_tables),
     "snk9_metrics_export": bound(_exported),
     "snk10_quarantine_reasons": bound(_quarantined),
     "snk10_dead_letters": bound(_dead_letters),
     "snk11_refreshed_standings": bound(_refreshed),
+    "snk11_maintained_seasons": bound(_maintained),
     "snk12_retention": bound(
         lambda b: writers.retained(b.races(), "date", C.RETENTION_DAYS["silver"], AS_OF.date())
         .groupBy("year", "round")
@@ -421,6 +450,11 @@ SQL = {
         GROUP BY raceId""",
         "laps",
     ),
+    "snk6_curve_clustered": sql(
+        """SELECT raceId, count(*) AS laps, CAST(sum(milliseconds) AS BIGINT) AS milliseconds FROM laps
+        WHERE driverId BETWEEN 5 AND 60 AND milliseconds >= 20000 GROUP BY raceId""",
+        "laps",
+    ),
     "snk7_compacted_table": sql(
         """SELECT circuitId, count(*) AS races, strftime(min(date), '%Y-%m-%d') AS first_date FROM races
         GROUP BY circuitId""",
@@ -450,6 +484,18 @@ SQL = {
     "snk11_refreshed_standings": sql(
         "SELECT driverId, year, championship_position, total_points FROM standings WHERE year = 2001", "standings"
     ),
+    "snk11_maintained_seasons": sql(
+        """SELECT driverId, constructorId, year, count(raceId) AS total_races,
+        count(*) FILTER (WHERE position = 1) AS total_wins, count(*) FILTER (WHERE podium_finish) AS total_podiums,
+        count(*) FILTER (WHERE dnf_status) AS dnf_count, count(*) FILTER (WHERE fastestLap = 1) AS fastest_laps,
+        count(position) FILTER (WHERE finished_race) AS finishes,
+        sum(points + CASE WHEN year = 1999 THEN 1 ELSE 0 END) AS total_points,
+        CAST(sum(position) FILTER (WHERE finished_race) AS BIGINT) AS finish_sum,
+        CAST(sum(position * position) FILTER (WHERE finished_race) AS BIGINT) AS finish_squares,
+        min(position) AS career_best_position, max(position) AS career_worst_position
+        FROM facts WHERE NOT (year >= 2000 AND dnf_status) GROUP BY ALL""",
+        "facts",
+    ),
     "snk12_retention": sql(
         """SELECT year, round, count(*) AS races FROM races WHERE date >= DATE '2001-08-01' - INTERVAL 730 DAY
         GROUP BY ALL""",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.operators.staging import remove, stage
+from lapwise.sinks.curve import along_curve
 from lapwise.sources.readers import file_list, read_table
 
 TARGET_FILE_BYTES = 128 << 20
@@ -31,16 +32,23 @@ def write_table(
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    curve_by: list[str] | None = None,
 ) -> None:
     """Write a table.
 
     With ``cluster_by`` rows are ranged by partition and key, so the files of a partition cover disjoint key ranges and
-    scans skip them by their statistics; a hot partition spreads over many files. Ranging samples its input, so ``df`` is
-    staged and computed once. Without it rows are only rebalanced by partition.
+    scans skip them by their statistics; a hot partition spreads over many files. ``curve_by`` instead clusters along a
+    Z-order curve: a filter on any of its columns skips files, not only one on the first. Ranging samples its input, so
+    ``df`` is staged and computed once. Without either rows are only rebalanced by partition.
     """
-    if cluster_by:
+    if cluster_by and curve_by:
+        raise ValueError("a table is clustered by ranges or along a curve, not both")
+    if cluster_by or curve_by:
         staged = stage(df)
-        out = clustered(staged, [*(partition_by or []), *cluster_by])
+        if curve_by:
+            out = along_curve(staged, curve_by, partition_by)
+        else:
+            out = clustered(staged, [*(partition_by or []), *cluster_by])
     else:
         staged, out = None, df.hint("rebalance", *(partition_by or []))
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -74,15 +82,20 @@ def compact(
     target_bytes: int = TARGET_FILE_BYTES,
     fmt: str = "parquet",
     cluster_by: list[str] | None = None,
+    curve_by: list[str] | None = None,
 ) -> int:
     """Rewrite small files to about ``target_bytes`` each at a new path; returns the number of files asked for.
 
-    A table clustered by ``cluster_by`` stays so; otherwise neighbouring files are joined without a shuffle.
+    A table clustered by ``cluster_by`` or along a curve through ``curve_by`` stays or becomes so; otherwise
+    neighbouring files are joined without a shuffle.
     """
     size = file_list(spark, path).agg(F.sum("length").alias("size")).first()["size"] or 0
     files = max(1, -(-size // target_bytes))
     rows = read_table(spark, path, fmt)
-    out = clustered(rows, cluster_by, files) if cluster_by else rows.coalesce(files)
+    if curve_by:
+        out = along_curve(rows, curve_by, partitions=files)
+    else:
+        out = clustered(rows, cluster_by, files) if cluster_by else rows.coalesce(files)
     out.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).save(new_path)
     return files
 
