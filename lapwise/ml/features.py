@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,11 @@ CLUSTER_FEATURES = [
     "pit_efficiency_normalized", "constructor_impact", "qualifying_strength", "average_finish_position",
 ]
 
-# Known before the lap is driven; the lap's own time, its race's extremes and its trend are left out.
+# Known before the lap is driven. The lap's own time and trend, its race's extremes, and what is counted from the laps a
+# driver ended up completing (total_laps, race_progress, is_late_lap, expected_pit_stops) are for analysis only.
 LAP_FEATURES = [
-    "lap", "total_laps", "race_progress", "is_early_lap", "is_late_lap", "driver_experience", "driver_form",
-    "expected_temperature", "is_wet_race", "expected_tire_degradation", "expected_pit_stops",
+    "lap", "scheduled_laps", "scheduled_progress", "is_early_lap", "is_final_phase", "driver_experience", "driver_form",
+    "expected_temperature", "is_wet_race", "expected_tire_degradation", "planned_pit_stops",
     "driver_avg_lap_time_recent", "circuit_avg_lap_time_recent",
 ]
 
@@ -145,8 +146,9 @@ def lap_features(
 
     ``drivers`` has driverId and dob; ``places`` one position per race and driver. ``driver_form`` reads the place of the
     driver's race before, never the one being driven; ``position`` is for analysis. The trailing means look at
-    prior laps only: five of the driver, ten of the circuit. ``lap_time_trend`` compares the lap itself with the
-    former and is for analysis, not an input.
+    prior laps only: five of the driver, ten of the circuit. ``scheduled_laps`` is the distance of the circuit's race
+    before (0 if there is none), so no input changes with the race itself. ``lap_time_trend`` compares the lap itself
+    with the driver's mean and is for analysis, not an input.
     """
     c = F.col
     race = races.select("raceId", "year", "circuitId", "name")
@@ -154,8 +156,12 @@ def lap_features(
     totals = laps.groupBy("raceId", "driverId").agg(
         F.count("lap").alias("total_laps"), F.avg("milliseconds").alias("average_lap_time")
     )
-    career = Window.partitionBy("driverId").orderBy("raceId")  # the races of one driver
-    placed = places.withColumn("_place_before", F.lag("position").over(career))
+    by_race = {"order": [F.asc("raceId")], "preceding": 1, "following": -1, "splits": [F.floor(c("raceId") / 1000)]}
+    placed = framed(places, ["driverId"], frames={"_place_before": F.max("position")}, **by_race)
+    distances = laps.groupBy("raceId").agg(F.max("lap").alias("_distance")).join(
+        race.filter("circuitId IS NOT NULL").select("raceId", "circuitId"), "raceId"
+    )
+    scheduled = framed(distances, ["circuitId"], frames={"scheduled_laps": F.max("_distance")}, **by_race)
     usable = totals.filter((c("total_laps") >= min_laps) & c("average_lap_time").between(*average_bounds))
     joined = (
         laps.select("raceId", "driverId", "lap", "milliseconds")
@@ -164,6 +170,7 @@ def lap_features(
         .join(region, "circuitId", "left")
         .join(drivers.select("driverId", "dob"), "driverId", "left")
         .join(placed, ["raceId", "driverId"], "left")
+        .join(scheduled.select("raceId", "scheduled_laps"), "raceId", "left")
     )
     # Frames in blocks read their input several times, so it is staged.
     by_driver = framed(
@@ -183,6 +190,11 @@ def lap_features(
             "race_progress": M.ratio(c("lap"), c("total_laps")),
             "is_early_lap": (c("lap") <= 5).cast("int"),
             "is_late_lap": (c("lap") >= c("total_laps") - 5).cast("int"),
+            "scheduled_progress": M.ratio(c("lap"), c("scheduled_laps")),
+            "is_final_phase": F.coalesce(c("lap") >= c("scheduled_laps") - 5, F.lit(False)).cast("int"),
+            "planned_pit_stops": F.when(F.coalesce("scheduled_laps", F.lit(0)) <= 50, 1)
+            .when(c("scheduled_laps") <= 70, 2)
+            .otherwise(3),
             "driver_experience": c("year") - F.year("dob"),
             "driver_form": F.when(c("_place_before") <= 5, 1.0)
             .when(c("_place_before") <= 10, 0.5)
@@ -211,7 +223,7 @@ def finish_features(
 
     grid: qualifying position. driver_form: points per race of the driver-team season before.
     constructor_pace: mean lap time of the team's season before. circuit_specialization: mean grid of the driver
-    at the circuit. tire_efficiency: mean lap degradation of the driver's season before. pit_stop_avg: mean stop
+    at the circuit in the season before. tire_efficiency: mean lap degradation of the driver's season before. pit_stop_avg: mean stop
     time of the team's season before. weather_suitability: share of finishes of the driver-team season before.
     """
     before = (F.col("year") + 1).alias("year")
@@ -224,12 +236,12 @@ def finish_features(
     stops = pits.groupBy("constructorId", before).agg(F.avg("average_pit_time").alias("pit_stop_avg"))
     where = performance.select("raceId", "circuitId").distinct()
     rows = qualifying.join(where, "raceId").withColumnRenamed("qualifying_position", "grid")
-    home = rows.groupBy("driverId", "circuitId").agg(F.avg("grid").alias("circuit_specialization"))
+    home = rows.groupBy("driverId", "circuitId", before).agg(F.avg("grid").alias("circuit_specialization"))
     return filled(
         rows.select("raceId", "driverId", "constructorId", "year", "circuitId", "grid", "race_position")
         .join(form, ["driverId", "constructorId", "year"], "left")
         .join(pace, ["constructorId", "year"], "left")
         .join(tires, ["driverId", "year"], "left")
         .join(stops, ["constructorId", "year"], "left")
-        .join(home, ["driverId", "circuitId"], "left")
+        .join(home, ["driverId", "circuitId", "year"], "left")
     )

@@ -17,9 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapwise.functions import metrics as M
+from lapwise.functions.clean import clamp
 from lapwise.ml.features import present
 
 SEED = 42
+# Inputs are dealt among about so many rows at a time.
+CELL_ROWS = 50_000
 
 
 def chain(inputs: list[str], estimator: Estimator) -> Pipeline:
@@ -105,22 +108,24 @@ def compare(
     """Fit every estimator on the same split; the best by AUC (or RMSE) and one row of scores per model."""
     inputs = present(df, inputs)
     kept = df.select(*keys, label, *inputs).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = split(kept, keys)
     best, scores = None, []
-    for name, estimator in estimators.items():
-        model = chain(inputs, estimator).fit(train)
-        predictions = model.transform(test)
-        if classify:
-            auc = BinaryClassificationEvaluator(labelCol=label).evaluate(predictions)
-            row = classification_report(predictions, label).first()
-            score, values = auc, (name, auc, row["accuracy"], row["precision"], row["recall"], row["f1"])
-        else:
-            row = error_report(predictions, label).first()
-            score, values = -row["rmse"], (name, row["rmse"], row["mae"], row["r2"], row["mape"])
-        scores.append(values)
-        if best is None or score > best[0]:
-            best = (score, model)
-    kept.unpersist()
+    try:
+        train, test = split(kept, keys)
+        for name, estimator in estimators.items():
+            model = chain(inputs, estimator).fit(train)
+            predictions = model.transform(test)
+            if classify:
+                auc = BinaryClassificationEvaluator(labelCol=label).evaluate(predictions)
+                row = classification_report(predictions, label).first()
+                score, values = auc, (name, auc, row["accuracy"], row["precision"], row["recall"], row["f1"])
+            else:
+                row = error_report(predictions, label).first()
+                score, values = -row["rmse"], (name, row["rmse"], row["mae"], row["r2"], row["mape"])
+            scores.append(values)
+            if best is None or score > best[0]:
+                best = (score, model)
+    finally:
+        kept.unpersist()
     columns = ["auc", "accuracy", "precision", "recall", "f1"] if classify else ["rmse", "mae", "r2", "mape"]
     ddl = ", ".join(["model STRING", *[f"{c} DOUBLE" for c in columns]])
     return best[1], df.sparkSession.createDataFrame(scores, ddl)
@@ -153,9 +158,14 @@ def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def simulated(model: PipelineModel, scenarios: DataFrame, key: str, laps: Column) -> DataFrame:
+def simulated(
+    model: PipelineModel, scenarios: DataFrame, key: str, laps: Column, bounds: tuple[float, float] | None = None
+) -> DataFrame:
     """Lap-by-lap times of each scenario with the running total.
 
+    A regression knows nothing beyond the laps it was fitted on; with ``bounds``, the shortest and longest of these,
+    predictions are kept inside them.
+
     ``scenarios`` has one row per race to simulate with all inputs that do not depend on the lap. Laps are
     expanded in Spark and scored in one pass; a scenario has at most ``laps`` rows in its window.
     """
@@ -165,20 +175,81 @@ def simulated(model: PipelineModel, scenarios: DataFrame, key: str, laps: Column
             "race_progress": M.ratio(F.col("lap"), F.col("total_laps")),
             "is_early_lap": (F.col("lap") <= 5).cast("int"),
             "is_late_lap": (F.col("lap") >= F.col("total_laps") - 5).cast("int"),
+            "scheduled_laps": F.col("total_laps"),
         }
     )
+    grid = grid.withColumns({"scheduled_progress": F.col("race_progress"), "is_final_phase": F.col("is_late_lap")})
+    predicted = F.col("prediction") if bounds is None else clamp(F.col("prediction"), *bounds)
     so_far = Window.partitionBy(key).orderBy("lap").rowsBetween(Window.unboundedPreceding, 0)
     return (
         model.transform(grid)
-        .select(key, "lap", F.col("prediction").alias("predicted_lap_time_ms"))
+        .select(key, "lap", predicted.alias("predicted_lap_time_ms"))
         .withColumn("predicted_lap_time_s", F.col("predicted_lap_time_ms") / 1000)
         .withColumn("cumulative_time_s", F.sum("predicted_lap_time_s").over(so_far))
     )
 
 
-def save(model: PipelineModel, path: str) -> None:
+def permutation_importances(
+    model: PipelineModel, test: DataFrame, keys: list[str], label: str, classify: bool = False, rounds: int = 5, seed: int = SEED
+) -> DataFrame:
+    """How much worse a model scores when one input's values are dealt to other rows: feature, importance, spread.
+
+    Every round and input scores a copy of the rows in which that input comes from another row, and one copy is left as
+    it is; all copies go through the model in one pass. The other row is the next one in an order by a seeded hash of the
+    keys, within a hash cell of about ``CELL_ROWS`` rows, so no task sorts all rows and a run can be repeated. The score is the
+    accuracy of a classifier or minus the mean squared error of a regression; ``importance`` is the mean loss over the
+    rounds, ``spread`` its standard deviation. An input the model does not use loses exactly 0.
+    """
+    inputs = model.stages[0].getInputCols()
+    cells = F.pmod(F.xxhash64(*keys), F.lit(max(1, test.count() // CELL_ROWS))).alias("_cell")
+    rows = test.select(*keys, label, *inputs, cells)
+    shuffled = rows
+    for number in range(rounds):
+        order = Window.partitionBy("_cell").orderBy(F.xxhash64(F.lit(seed + number), *keys), *keys)
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        dealt = F.struct(*[F.col(f"`{n}`").alias(n) for n in inputs])
+        # The last row of a cell takes the first one's values.
+        shuffled = shuffled.withColumn(f"_r{number}", F.coalesce(F.lead(dealt).over(order), F.first(dealt).over(whole)))
+    own = [F.col(f"`{n}`").alias(n) for n in inputs]
+    copies = [F.struct(F.lit("").alias("_feature"), F.lit(0).alias("_round"), *own)]
+    for number in range(rounds):
+        for name in inputs:
+            taken = [F.col(f"_r{number}")[n].alias(n) if n == name else F.col(f"`{n}`").alias(n) for n in inputs]
+            copies.append(F.struct(F.lit(name).alias("_feature"), F.lit(number).alias("_round"), *taken))
+    scored_rows = model.transform(shuffled.select(F.col(label).alias("_label"), F.inline(F.array(*copies))))
+    error = F.col("_label") - F.col("prediction")
+    score = F.avg((error == 0).cast("double")) if classify else -F.avg(error * error)
+    scores = scored_rows.groupBy("_feature", "_round").agg(score.alias("_score"))
+    # One row per input and round from here on.
+    base = F.max(F.when(F.col("_feature") == "", F.col("_score"))).over(Window.partitionBy(F.lit(1)))
+    return (
+        scores.withColumn("_base", base).filter("_feature <> ''")
+        .groupBy(F.col("_feature").alias("feature"))
+        .agg(F.avg(F.col("_base") - F.col("_score")).alias("importance"),
+             F.coalesce(F.stddev_samp(F.col("_base") - F.col("_score")), F.lit(0.0)).alias("spread"))
+    )
+
+
+def save(model: PipelineModel, path: str, label: str | None = None, scores: DataFrame | None = None) -> None:
+    """Save a model with what is needed to use it again: its inputs in order, its label and its scores if given."""
     model.write().overwrite().save(path)
+    spark = SparkSession.active()
+    inputs = [(i, name, label) for i, name in enumerate(model.stages[0].getInputCols())]
+    spark.createDataFrame(inputs, "place INT, feature STRING, label STRING").coalesce(1).write.mode("overwrite").json(
+        f"{path}/inputs"
+    )
+    if scores is not None:
+        scores.write.mode("overwrite").json(f"{path}/scores")
 
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def saved_inputs(spark: SparkSession, path: str) -> DataFrame:
+    """Inputs of a saved model in their order, with its label."""
+    return spark.read.schema("place INT, feature STRING, label STRING").json(f"{path}/inputs").orderBy("place")
+
+
+def saved_scores(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.json(f"{path}/scores")

@@ -157,6 +157,34 @@ def health(runs: DataFrame, latest: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
 
 
+def recommendations(runs: DataFrame, latest: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """What to do about the health of the last 24 hours: rows (finding, subject, advice), none if all is well.
+
+    A finding about tables has one row per stale table.
+    """
+    state = health(runs, latest, as_of)
+    rate = F.col("failure_rate")
+    cases = [
+        ("no_runs", F.col("recent_executions") == 0, "No run in the last 24 hours: check the schedule"),
+        ("many_failures", rate > UNHEALTHY_PERCENT, "Many runs failed: look into their errors"),
+        ("some_failures", (rate > WARNING_PERCENT) & (rate <= UNHEALTHY_PERCENT), "More runs failed than usual: watch them"),
+        ("long_runs", F.col("long_runs") > 0, "Some runs took more than an hour: look for what slows them down"),
+    ]
+    rows = [
+        F.struct(F.lit(name).alias("finding"), F.lit("pipeline").alias("subject"), F.lit(text).alias("advice"), test.alias("holds"))
+        for name, test, text in cases
+    ]
+    found = state.select(F.inline(F.array(*rows))).filter("holds").drop("holds")
+    # Like the status, findings about tables need recent runs to speak of.
+    stale = stale_tables(latest, as_of).filter(state.select(F.col("recent_executions")).scalar() > 0)
+    return found.unionByName(
+        stale.select(
+            F.lit("stale_table").alias("finding"), F.col("table_name").alias("subject"),
+            F.lit("Not updated in a day: check what loads it").alias("advice"),
+        )
+    )
+
+
 def ingestion_status(runs: DataFrame, latest: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Run summary, table summary and health as (section, metric, value) rows."""
 

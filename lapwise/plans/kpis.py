@@ -30,22 +30,28 @@ def undercut_efficiency(stops: DataFrame, places: DataFrame) -> DataFrame:
     A rival makes the same numbered stop of the same race on a later lap; only classified drivers (place 1 or worse)
     count. Drivers are not paired. A worse place is larger, so at the first binary digit in which it differs it has 1
     where the driver's place has 0: for each digit, stops with 1 are counted under the digits above, and a stop with 0
-    there adds up the counts of later laps under its own digits above. Places have no upper limit.
+    there adds up the counts of later laps under its own digits above. There are as many digits as the worst place
+    needs, and stops are counted per place before they are spread over them.
     """
     stop = ["raceId", "stop"]
     placed = stops.join(places.filter(F.col("position") >= 1), ["raceId", "driverId"]).select(
         *stop, "lap", "driverId", F.col("position").cast("long").alias("position")
     )
-    digits = F.explode(F.sequence(F.lit(0), F.lit(30))).alias("digit")
+    worst = F.length(F.bin(placed.agg(F.max("position")).scalar()))
+    digits = F.explode(F.sequence(F.lit(0), F.coalesce(worst, F.lit(1)) - 1)).alias("digit")
     shifted = F.expr("shiftright(position, digit)")
-    by_digit = placed.select(*stop, "lap", "driverId", "position", digits).select(
-        *stop, "lap", "driverId", "digit", F.expr("shiftright(position, digit + 1)").alias("above"),
-        (shifted % 2 == 1).alias("one"),
-    )
+
+    def by_digit(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.select(*stop, "lap", *columns, "position", digits).select(
+            *stop, "lap", *columns, "digit", F.expr("shiftright(position, digit + 1)").alias("above"),
+            (shifted % 2 == 1).alias("one"),
+        )
+
+    counted = placed.groupBy(*stop, "lap", "position").agg(F.count(F.lit(1)).alias("stops"))
     all_later = _later(placed, stop).join(placed, [*stop, "lap"]).groupBy("driverId").agg(F.sum("later").alias("rivals"))
     under = [*stop, "digit", "above"]
-    waits = by_digit.filter("not one").groupBy(*under, "lap", "driverId").count()
-    marks = by_digit.withColumn("weight", F.col("one").cast("long"))
+    waits = by_digit(placed, "driverId").filter("not one").groupBy(*under, "lap", "driverId").count()
+    marks = by_digit(counted, "stops").withColumn("weight", F.when(F.col("one"), F.col("stops")).otherwise(F.lit(0)))
     beaten = (
         _later(marks, under, F.sum("weight")).join(waits, [*under, "lap"])
         .groupBy("driverId").agg(F.sum(F.col("later") * F.col("count")).alias("beaten"))
@@ -67,13 +73,14 @@ def _later(rows: DataFrame, keys: list[str], count: Column | None = None) -> Dat
 def with_tyre_age(laps: DataFrame, stops: DataFrame) -> DataFrame:
     """Laps with their stint (stops made so far, the lap of the stop included) and tyre age, which starts at 1.
 
-    A window holds the laps of one driver in one race.
+    The laps of one driver in one race are cut by thousands, so also a race without end is counted in pieces.
     """
     race = ["raceId", "driverId"]
     marks = stops.groupBy(*race, "lap").agg(F.count(F.lit(1)).alias("_stops"))
     flagged = laps.join(marks, [*race, "lap"], "left").na.fill(0, ["_stops"])
-    upto = Window.partitionBy(*race).orderBy("lap").rowsBetween(Window.unboundedPreceding, 0)
-    stints = flagged.withColumn("stint", F.sum("_stops").over(upto)).drop("_stops")
+    stints = running_totals(
+        flagged, race, [F.asc("lap")], {"stint": F.col("_stops")}, [F.floor(F.col("lap") / 1000)]
+    ).drop("_stops")
     starts = stints.groupBy(*race, "stint").agg(F.min("lap").alias("_start"))
     return (
         stints.join(starts, [*race, "stint"]).withColumn("tyre_age", F.col("lap") - F.col("_start") + 1).drop("_start")
@@ -153,6 +160,34 @@ def grid_statistics(qualifying_vs_race: DataFrame) -> DataFrame:
     )
 
 
+def rank_correlation(rows: DataFrame, key: str, x: str, y: str) -> DataFrame:
+    """Spearman's rank correlation of two numeric columns per group; equal values share the mean of their ranks.
+
+    Rows are counted per pair of values first. Ranks come from running counts over the distinct values of a group, cut by
+    thousands, so no task holds a group. Rows without key, ``x`` or ``y`` take no part; a group whose ``x`` or ``y`` never
+    varies has no correlation.
+    """
+    known = rows.filter(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = known.groupBy(key, x, y).agg(F.count(F.lit(1)).alias("n"))
+
+    def ranks(name: str) -> DataFrame:
+        own = pairs.groupBy(key, name).agg(F.sum("n").alias("own"))
+        upto = running_totals(own, [key], [F.asc(name)], {"upto": F.col("own")}, [F.floor(F.col(name) / 1000)])
+        return upto.select(key, name, (F.col("upto") - (F.col("own") - 1) / 2).alias(f"rank_{name}"))
+
+    # Around their known mean the ranks add up without loss.
+    centre = (F.col("results") + 1) / 2
+    sizes = pairs.groupBy(key).agg(F.sum("n").alias("results"))
+    placed = pairs.join(ranks(x), [key, x]).join(ranks(y), [key, y]).join(sizes, key)
+    dx, dy = F.col(f"rank_{x}") - centre, F.col(f"rank_{y}") - centre
+    sums = placed.groupBy(key, "results").agg(
+        F.sum(F.col("n") * dx * dy).alias("xy"), F.sum(F.col("n") * dx * dx).alias("xx"), F.sum(F.col("n") * dy * dy).alias("yy")
+    )
+    return sums.select(
+        key, "results", F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))).alias("rank_correlation")
+    )
+
+
 def head_to_head(facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Record of each given pair (year, driverId, rivalId) in the races both finished.
 

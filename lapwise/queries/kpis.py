@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.operators.running import row_numbers
-from lapwise.plans import kpis, silver
+from lapwise.operators.staging import stage
+from lapwise.plans import distributions, kpis, silver
 from lapwise.queries.common import sql
 from lapwise.queries.gold import bound, partials, pits, qualifying_vs_race, rounded, seasons
 from lapwise.sources.binding import Binding
@@ -33,7 +34,42 @@ def _weighted(b: Binding) -> DataFrame:
     )
 
 
+DIMENSIONS = ["circuitId", "constructorId", "year"]
+
+
+def _stored_sketches(b: Binding) -> DataFrame:
+    """Pit times per circuit, team and season, stored once."""
+    return stage(distributions.sketches(pits(b), "milliseconds", DIMENSIONS))
+
+
+def _pit_quantiles(b: Binding) -> DataFrame:
+    """Quantiles of each dimension, rolled up from the stored sketches."""
+    return distributions.quantiles(distributions.by_dimension(_stored_sketches(b), DIMENSIONS))
+
+
+def _pit_extremes(b: Binding) -> DataFrame:
+    found = distributions.by_dimension(_stored_sketches(b), DIMENSIONS)
+    return found.select("dimension", "value", "n", "low", "high")
+
+
+def _pit_ranks(b: Binding) -> DataFrame:
+    """How many quantiles of each dimension there are, and how many miss the rank error of three standard bounds."""
+    found = distributions.rank_bounds(pits(b), "milliseconds", _pit_quantiles(b), DIMENSIONS)
+    wanted, slack = F.col("share") * F.col("n"), 3 * distributions.rank_error() * F.col("n") + 1
+    missed = (F.col("below") > wanted + slack) | (F.col("upto") < wanted - slack)
+    return found.groupBy("dimension").agg(F.count(F.lit(1)).alias("quantiles"), F.count_if(missed).alias("missed"))
+
+
 QUERIES = {
+    "kpi6_rank_correlation": bound(
+        lambda b: rounded(
+            kpis.rank_correlation(qualifying_vs_race(b), "constructorId", "qualifying_position", "race_position"),
+            "rank_correlation",
+        )
+    ),
+    "kpi9_pit_quantiles": bound(_pit_quantiles),
+    "kpi9_pit_extremes": bound(_pit_extremes),
+    "kpi9_quantile_ranks": bound(_pit_ranks),
     "kpi1_pace_index": bound(lambda b: rounded(kpis.pace_index(b.lap_times()), "pace_index")),
     "kpi2_undercut": bound(lambda b: kpis.undercut_efficiency(b.pit_stops(), _places(b))),
     "kpi3_weighted_consistency": bound(_weighted),
@@ -60,6 +96,30 @@ QUERIES = {
 }
 
 SQL = {
+    "kpi6_rank_correlation": sql(
+        """SELECT constructorId, count(*) AS results, round(corr(a, b), 6) AS rank_correlation FROM (
+          SELECT constructorId, rank() OVER (PARTITION BY constructorId ORDER BY qualifying_position)
+            + (count(*) OVER (PARTITION BY constructorId, qualifying_position) - 1) / 2 AS a,
+          rank() OVER (PARTITION BY constructorId ORDER BY race_position)
+            + (count(*) OVER (PARTITION BY constructorId, race_position) - 1) / 2 AS b
+          FROM qvr WHERE race_position IS NOT NULL AND qualifying_position IS NOT NULL AND constructorId IS NOT NULL)
+        GROUP BY constructorId""",
+        "qvr",
+    ),
+    "kpi9_pit_extremes": sql(
+        """SELECT dimension, value, count(*) AS n, min(milliseconds) AS low, max(milliseconds) AS high FROM (
+          SELECT 'circuitId' AS dimension, circuitId::VARCHAR AS value, milliseconds FROM pit_analysis UNION ALL
+          SELECT 'constructorId', constructorId, milliseconds FROM pit_analysis UNION ALL
+          SELECT 'year', year::VARCHAR, milliseconds FROM pit_analysis) GROUP BY ALL""",
+        "pit_analysis",
+    ),
+    "kpi9_quantile_ranks": sql(
+        """SELECT dimension, 5 * count(DISTINCT value) AS quantiles, 0::BIGINT AS missed FROM (
+          SELECT 'circuitId' AS dimension, circuitId::VARCHAR AS value FROM pit_analysis UNION ALL
+          SELECT 'constructorId', constructorId FROM pit_analysis UNION ALL
+          SELECT 'year', year::VARCHAR FROM pit_analysis) WHERE value IS NOT NULL GROUP BY dimension""",
+        "pit_analysis",
+    ),
     "kpi1_pace_index": sql(
         """SELECT driverId, year, n AS laps, ms / n AS driver_average, season_average,
         round((ms / n - season_average) / season_average, 6) AS pace_index

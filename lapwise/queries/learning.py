@@ -114,13 +114,14 @@ def _importances(b: Binding) -> DataFrame:
 
 
 def _simulation(b: Binding) -> DataFrame:
-    """One scenario per race that has laps: the mean inputs of its laps, driven for 50 laps."""
+    """One scenario per race that has laps: the mean inputs of its laps, driven over the distance of the race."""
     model, data = _lap_regression(b)
-    fixed = [
-        n for n in ft.LAP_FEATURES if n not in ("lap", "total_laps", "race_progress", "is_early_lap", "is_late_lap")
-    ]
-    scenarios = data.groupBy("raceId").agg(*[F.avg(n).alias(n) for n in fixed])
-    return ml.simulated(model, scenarios, "raceId", F.lit(50))
+    by_lap = ("lap", "scheduled_laps", "scheduled_progress", "is_early_lap", "is_final_phase")
+    fixed = [n for n in ft.LAP_FEATURES if n not in by_lap]
+    scenarios = data.groupBy("raceId").agg(F.max("lap").alias("_distance"), *[F.avg(n).alias(n) for n in fixed])
+    seen = data.agg(F.min("milliseconds").cast("double"), F.max("milliseconds").cast("double")).first()
+    bounds = None if seen[0] is None else (seen[0], seen[1])
+    return ml.simulated(model, scenarios, "raceId", F.col("_distance"), bounds)
 
 
 def _reloaded(b: Binding) -> DataFrame:
@@ -157,9 +158,36 @@ def _per_year(df: DataFrame, sound) -> DataFrame:
 
 
 def _simulation_facts(b: Binding) -> DataFrame:
-    """Laps per simulated race, and whether the last running total is the sum of the laps."""
-    total = F.abs(F.max("cumulative_time_s") - F.sum("predicted_lap_time_s")) < 1e-6 * F.sum("predicted_lap_time_s")
-    return _simulation(b).groupBy("raceId").agg(F.count(F.lit(1)).alias("laps"), total.alias("adds_up"))
+    """Laps per simulated race, whether the total after the last lap is the sum of the laps, and times below zero."""
+    last, whole = F.max_by("cumulative_time_s", "lap"), F.sum("predicted_lap_time_s")
+    total = F.abs(last - whole) <= 1e-6 * F.sum(F.abs("predicted_lap_time_s"))
+    return _simulation(b).groupBy("raceId").agg(
+        F.count(F.lit(1)).alias("laps"), total.alias("adds_up"), F.count_if(F.col("predicted_lap_time_ms") < 0).alias("negative")
+    )
+
+
+def _permuted(b: Binding) -> DataFrame:
+    """Permutation importances of the lap regression on the races it was not fitted on."""
+    data = stage(laps(b).select(*LAP_KEY[:2], "milliseconds", *ft.LAP_FEATURES))
+    train, test = ml.split(data, ["raceId"])
+    model = ml.chain(ft.LAP_FEATURES, ml.regressors("milliseconds")["linear_regression"]).fit(train)
+    return ml.permutation_importances(model, stage(test), LAP_KEY, "milliseconds")
+
+
+def _permuted_facts(b: Binding) -> DataFrame:
+    found = _permuted(b)
+    return found.agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(F.col("importance").isNull()).alias("unknown"),
+        F.max(F.when(F.col("feature") == "is_wet_race", F.round(F.abs("importance"), 6))).alias("constant_input"),
+    )
+
+
+def _saved_metadata(b: Binding) -> DataFrame:
+    """Inputs and label of a saved model as read again."""
+    model, _ = _lap_regression(b)
+    path = scratch(b.spark, "lap-model")
+    ml.save(model, path, "milliseconds")
+    return ml.saved_inputs(b.spark, path)
 
 
 def _reload_facts(b: Binding) -> DataFrame:
@@ -269,7 +297,7 @@ def _running_time(b: Binding) -> DataFrame:
 
 _LAP_ROUNDS = [
     "average_lap_time", "driver_avg_lap_time_recent", "circuit_avg_lap_time_recent", "lap_time_trend",
-    "race_progress",
+    "race_progress", "scheduled_progress",
 ]
 _RECENT = ["driver_avg_lap_time_recent", "circuit_avg_lap_time_recent", "lap_time_trend"]
 
@@ -322,6 +350,9 @@ QUERIES = {
     "ml16_simulation_facts": bound(_simulation_facts),
     "ml17_reload_facts": bound(_reload_facts),
     "ml18_four_facts": bound(_four_facts),
+    "ml10_permutation_importances": bound(_permuted),
+    "ml10_permutation_facts": bound(_permuted_facts),
+    "ml17_saved_inputs": bound(_saved_metadata),
     "ml16_race_simulation": bound(_simulation),
     "ml17_reloaded_model": bound(_reloaded),
     "ml18_four_segments": bound(_four),
@@ -348,7 +379,7 @@ _SEASON = """SELECT s.*, t.team_win_rate, t.team_podium_rate, t.points_per_race
 _SEASON_NEEDS = ["driver_statistics", "constructor_rankings", "lap_trends", "pit_efficiency", "qvr"]
 
 _LAPS = """SELECT l.raceId, l.driverId, l.lap, l.milliseconds, t.total_laps, t.average_lap_time, y.year, y.circuitId,
-    c.circuit_region, p.position, p.before, d.dob, y.name,
+    c.circuit_region, p.position, p.before, d.dob, y.name, s.sched,
     avg(l.milliseconds) OVER (PARTITION BY l.driverId ORDER BY l.raceId, l.lap ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
       AS d_recent,
     avg(l.milliseconds) OVER (PARTITION BY y.circuitId ORDER BY l.raceId, l.lap, l.driverId
@@ -362,7 +393,10 @@ _LAPS = """SELECT l.raceId, l.driverId, l.lap, l.milliseconds, t.total_laps, t.a
     LEFT JOIN drivers d ON l.driverId = d.driverId
     LEFT JOIN (SELECT raceId, driverId, position, lag(position) OVER (PARTITION BY driverId ORDER BY raceId) AS before
       FROM (SELECT raceId, driverId, min(position) AS position FROM facts GROUP BY raceId, driverId)) p
-      ON l.raceId = p.raceId AND l.driverId = p.driverId"""
+      ON l.raceId = p.raceId AND l.driverId = p.driverId
+    LEFT JOIN (SELECT raceId, lag(d) OVER (PARTITION BY circuitId ORDER BY raceId) AS sched
+      FROM (SELECT l.raceId, circuitId, max(lap) AS d FROM laps l JOIN races y ON l.raceId = y.raceId GROUP BY ALL)) s
+      ON l.raceId = s.raceId"""
 
 _LAP_NEEDS = ["laps", "races", "circuits", "drivers", "facts"]
 
@@ -416,7 +450,13 @@ SQL = {
         "driver_statistics",
     ),
     "ml16_simulation_facts": sql(
-        """SELECT DISTINCT raceId, 50::BIGINT AS laps, true AS adds_up FROM lapf""", *_LAP_NEEDS, lapf=_LAPS
+        """SELECT raceId, max(lap)::BIGINT AS laps, true AS adds_up, 0::BIGINT AS negative FROM lapf GROUP BY raceId""",
+        *_LAP_NEEDS, lapf=_LAPS,
+    ),
+    "ml10_permutation_facts": f"""SELECT {len(ft.LAP_FEATURES)}::BIGINT AS features, 0::BIGINT AS unknown,
+        0.0::DOUBLE AS constant_input""",
+    "ml17_saved_inputs": " UNION ALL ".join(
+        f"SELECT {i} AS place, '{name}' AS feature, 'milliseconds' AS label" for i, name in enumerate(ft.LAP_FEATURES)
     ),
     "ml17_reload_facts": sql(
         """SELECT raceId, count(*) AS laps, 0::BIGINT AS mismatches FROM lapf GROUP BY raceId""",
@@ -438,7 +478,10 @@ SQL = {
         CASE circuit_region WHEN 'Asia-Pacific' THEN 28 WHEN 'Americas' THEN 25 ELSE 22 END AS expected_temperature,
         0.1::DOUBLE AS is_wet_race,
         CASE WHEN circuit_region = 'Asia-Pacific' THEN 1.2 ELSE 1.0 END::DOUBLE AS expected_tire_degradation,
-        CASE WHEN total_laps <= 50 THEN 1 WHEN total_laps <= 70 THEN 2 ELSE 3 END AS expected_pit_stops FROM lapf""",
+        CASE WHEN total_laps <= 50 THEN 1 WHEN total_laps <= 70 THEN 2 ELSE 3 END AS expected_pit_stops,
+        coalesce(sched, 0) AS scheduled_laps, round(coalesce(lap / sched, 0), 6) AS scheduled_progress,
+        CAST(coalesce(lap >= sched - 5, false) AS INTEGER) AS is_final_phase,
+        CASE WHEN coalesce(sched, 0) <= 50 THEN 1 WHEN sched <= 70 THEN 2 ELSE 3 END AS planned_pit_stops FROM lapf""",
         *_LAP_NEEDS,
         lapf=_LAPS,
     ),

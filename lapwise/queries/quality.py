@@ -205,6 +205,7 @@ QUERIES = {
         lambda b: rounded(mon.table_summary(latest(b)), "total_size_mb", "average_quality_score")
     ),
     "mon6_health": bound(lambda b: mon.health(runs(b), latest(b), MONITORED)),
+    "mon6_recommendations": bound(lambda b: mon.recommendations(runs(b), latest(b), MONITORED)),
     "mon7_stale_tables": bound(
         lambda b: mon.stale_tables(latest(b), MONITORED).select("table_name", "row_count", "size_mb")
     ),
@@ -464,6 +465,19 @@ SQL = {
     "mon4_run_summary": sql(f"SELECT run_name, {_SUMMARY} FROM runs GROUP BY run_name", runs=_RUNS),
     "mon5_table_summary": sql(_TABLES, latest=_LATEST),
     "mon6_health": sql(_HEALTH, runs=_RUNS, latest=_LATEST),
+    "mon6_recommendations": sql(
+        """SELECT 'no_runs' AS finding, 'pipeline' AS subject, 'No run in the last 24 hours: check the schedule' AS advice
+          FROM health WHERE recent_executions = 0
+        UNION ALL SELECT 'many_failures', 'pipeline', 'Many runs failed: look into their errors' FROM health
+          WHERE failure_rate > 20
+        UNION ALL SELECT 'some_failures', 'pipeline', 'More runs failed than usual: watch them' FROM health
+          WHERE failure_rate > 10 AND failure_rate <= 20
+        UNION ALL SELECT 'long_runs', 'pipeline', 'Some runs took more than an hour: look for what slows them down'
+          FROM health WHERE long_runs > 0
+        UNION ALL SELECT 'stale_table', table_name, 'Not updated in a day: check what loads it' FROM latest, health
+          WHERE recorded < TIMESTAMP '2024-01-30 00:00:00' AND recent_executions > 0""",
+        runs=_RUNS, latest=_LATEST, health=_HEALTH,
+    ),
     "mon7_stale_tables": sql(
         "SELECT table_name, row_count, size_mb FROM latest WHERE recorded < TIMESTAMP '2024-01-30 00:00:00'",
         latest=_LATEST,

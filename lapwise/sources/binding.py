@@ -21,6 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lapwise.operators.running import running_totals
 from lapwise.schemas import GIVEN
 
 
@@ -175,13 +176,10 @@ class Binding:
             "ts",
             "event_id",
         )
-        # The laps of one driver in one race are few.
-        upto = (
-            Window.partitionBy("raceId", "driverId").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        return events.withColumns(
-            {"lap": F.count(F.lit(1)).over(upto), "stop": F.sum(F.col("in_pit").cast("long")).over(upto)}
-        )
+        # Nothing bounds the events of a user on a day, so they are numbered minute by minute.
+        totals = {"lap": F.lit(1).cast("long"), "stop": F.col("in_pit").cast("long")}
+        splits = [F.hour("ts"), F.minute("ts")]
+        return running_totals(events, ["raceId", "driverId"], [F.asc("ts"), F.asc("event_id")], totals, splits)
 
     def lap_times(self) -> DataFrame:
         return self._numbered_events.select(
