@@ -23,7 +23,7 @@ from lapwise.schemas import RAW, SPECS
 from lapwise.sinks import merge, writers
 from lapwise.sources import readers
 from lapwise.sources.binding import Binding
-from lapwise.streaming import incremental
+from lapwise.streaming import incremental, trailing
 
 AS_OF = dt.datetime(2001, 8, 1)
 
@@ -231,6 +231,21 @@ def _streamed(b: Binding) -> DataFrame:
     return readers.read_table(b.spark, target).select("raceId", "driverId", "points", "position", "price", "year")
 
 
+def _trailing(b: Binding) -> DataFrame:
+    """All laps through the stateful stream; a last row of no driver, much later, lets the watermark pass them all."""
+    source, target = scratch(b.spark, "timed-laps"), scratch(b.spark, "trailing-laps")
+    rows = b.timed_laps()
+    end = rows.agg(F.timestamp_add("DAY", F.lit(100), F.max("at")).alias("at")).select(
+        F.lit(-1).cast("long").alias("driverId"), F.lit(0).cast("long").alias("raceId"), F.lit(1).alias("lap"),
+        F.lit(0).cast("long").alias("milliseconds"), "at",
+    )
+    rows.unionByName(end).write.parquet(source)
+    trailing.stream_trailing_means(b.spark, source, rows.schema, target, scratch(b.spark, "trailing-state"))
+    return (
+        b.spark.read.schema(trailing.OUTPUT).parquet(target).withColumn("recent", F.round("recent", 6))
+    )
+
+
 def _audit(b: Binding) -> DataFrame:
     races = readers.updated(readers.audited(b.races(), 7, AS_OF), AS_OF)
     return races.groupBy("processing_batch_id").agg(
@@ -373,6 +388,7 @@ QUERIES = {
     "join10_merge": bound(_merge_join),
     "inc1_high_water_mark": bound(_high_water),
     "inc3_stream_upsert": bound(_streamed),
+    "inc3_trailing_laps": bound(_trailing),
     "aud1_audit_columns": bound(_audit),
     "aud3_source_file": bound(_source_file),
 }
@@ -513,6 +529,11 @@ SQL = {
     "inc3_stream_upsert": _NEWEST.format(
         columns="raceId, driverId, points, position, price, year", keys="l_orderkey, l_suppkey, year(l_shipdate)"
     ),
+    "inc3_trailing_laps": sql(
+        """SELECT driverId, raceId, lap, milliseconds, round(avg(milliseconds) OVER (PARTITION BY driverId
+          ORDER BY raceId, lap ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6) AS recent FROM laps""",
+        "laps",
+    ),
     "aud1_audit_columns": """SELECT CAST(7 AS BIGINT) AS processing_batch_id, count(*) AS "rows",
         '2001-08-01' AS ingestion_date, '2001-08-01 00:00:00' AS ingestion_timestamp,
         '2001-08-01' AS last_updated_date FROM orders""",

@@ -10,7 +10,7 @@ from lapwise.sinks.writers import clustered
 from lapwise.sources.readers import read_table
 
 
-# Partition values that one upsert may touch.
+# Partition values that an upsert rewrites at a time.
 MAX_TOUCHED = 10_000
 
 
@@ -98,33 +98,55 @@ def upsert_partitions(
     update_columns: list[str] | None = None,
     newer_by: list[str] | None = None,
 ) -> None:
-    """Upsert that rewrites only the partitions that hold a key of the source or take one of its rows.
+    """Upsert in place that rewrites only the partitions that hold a key of the source or take one of its rows.
 
     A key whose partition value changes leaves its old partition; a null partition value is a partition like any other. A
-    partition that loses its last row is removed. Source and merged rows are staged before anything is overwritten, so
-    a rerun after a failure starts from whole data. Partition columns are coarse: more than ``MAX_TOUCHED`` values are
-    refused.
+    partition that loses its last row is removed. The merged rows of all source keys are staged before anything is
+    overwritten, so a rerun after a failure starts from whole data: a key that such a run left in its old and its new
+    partition is mended. A key of the source that stands several times in one partition is refused by name; other
+    repeated keys of the target are none of the source's business and stay as they are. Partitions are rewritten
+    ``MAX_TOUCHED`` at a time.
+
+    Unlike ``upsert`` this replaces files of the table it reads: a reader needs the snapshot form.
     """
     source = stage(source)
     require_unique(source, keys)
     target = read_table(spark, path)
-    homes = target.join(source.select(*keys), keys, "left_semi").select(partition_by)
-    found = source.select(partition_by).union(homes).distinct().limit(MAX_TOUCHED + 1).collect()
-    values = [row[0] for row in found]
-    if len(values) > MAX_TOUCHED:
-        raise ValueError(f"the source touches more than {MAX_TOUCHED} values of {partition_by}")
-    # After a run that ended between the write and the removal below, a moved key stands in two partitions.
-    touched = _holds(target, partition_by, values).dropDuplicates(keys)
-    rows = stage(merged(touched, source, keys, update_columns, newer_by))
-    filled = {row[0] for row in rows.select(partition_by).distinct().collect()}
-    clustered(rows, [partition_by, *keys]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(partition_by).parquet(path)
-    emptied = [value for value in values if value not in filled]
-    if emptied:
-        drop_partitions(_holds(target, partition_by, emptied))
-    remove(rows)
-    remove(source)
+    matched = stage(target.join(source.select(*keys), keys, "left_semi"))
+    _require_single(matched, keys, partition_by)
+    final = stage(merged(matched.dropDuplicates(keys), source, keys, update_columns, newer_by).select(*target.columns))
+    touched = stage(final.select(partition_by).union(matched.select(partition_by)).distinct())
+    batch: list = []
+
+    def rewrite() -> None:
+        stays = _holds(target, partition_by, batch).join(source.select(*keys), keys, "left_anti")
+        rows = stage(stays.select(*target.columns).unionByName(_holds(final, partition_by, batch)))
+        filled = {row[0] for row in rows.select(partition_by).distinct().collect()}  # at most MAX_TOUCHED
+        clustered(rows, [partition_by, *keys]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(partition_by).parquet(path)
+        emptied = [value for value in batch if value not in filled]
+        if emptied:
+            drop_partitions(_holds(target, partition_by, emptied))
+        remove(rows)
+
+    for row in touched.toLocalIterator():
+        batch.append(row[0])
+        if len(batch) >= MAX_TOUCHED:
+            rewrite()
+            batch.clear()
+    if batch:
+        rewrite()
+    for done in (matched, final, touched, source):
+        remove(done)
+
+
+def _require_single(matched: DataFrame, keys: list[str], partition_by: str) -> None:
+    """Refuse target rows that share a key inside one partition, naming some of the keys."""
+    repeated = matched.groupBy(*keys, partition_by).count().filter("count > 1").select(*keys).limit(5).collect()
+    if repeated:
+        named = "; ".join(str(tuple(row)) for row in repeated)
+        raise DuplicateKeys(f"several target rows share a key of {keys}: {named}")
 
 
 def _holds(df: DataFrame, column: str, values: list) -> DataFrame:

@@ -186,6 +186,12 @@ class Binding:
             "raceId", "driverId", "year", F.col("lap").cast("int").alias("lap"), "milliseconds"
         )
 
+    def timed_laps(self) -> DataFrame:
+        """Laps with the time they ended."""
+        return self._numbered_events.select(
+            "driverId", "raceId", F.col("lap").cast("int").alias("lap"), "milliseconds", F.col("ts").alias("at")
+        )
+
     def pit_stops(self) -> DataFrame:
         return (
             self._numbered_events
