@@ -308,3 +308,42 @@ def test_season_variant_from_files(spark, tmp_path, values):
     teams = spark.read.parquet(f"{out}/gold/constructor_rankings")
     assert values(teams, "constructorName", "total_races") == [("blue", 55), ("red", 55)]
     assert spark.read.parquet(f"{out}/silver/drivers").filter("full_name = 'Fore1 Sur1'").count() == 1
+
+
+def test_second_batch_reads_only_new_files(spark, tmp_path):
+    raw, base = str(tmp_path / "raw"), str(tmp_path / "lake")
+    raw_files(spark, raw)
+    medallion.run(spark, raw, base, 1, AT, incremental=True)  # nothing loaded yet: a whole load
+    lake = medallion.Lake(spark, base)
+    assert lake.batches("bronze.results") == [1]
+
+    make = lambda name, rows: spark.createDataFrame(rows, RAW[name])
+    make("races", [(111, 2001, 20, "1", "race 111", "2001-06-01", "14:00:00")]).write.option("header", True).mode(
+        "append"
+    ).csv(f"{raw}/races.csv")
+    new = [(1111, 111, 1, 2, "1", "1", 1, "25", "50", 1), (11, 1, 1, 2, "1", "1", 1, "25", "50", 1),
+           (1112, 111, 2, 1, "2", "2", 2, "99", "50", 1)]
+    make("results", new).coalesce(1).write.mode("append").json(f"{raw}/results.json")
+    later = AT + dt.timedelta(hours=1)
+    states = medallion.run(spark, raw, base, 2, later, incremental=True)
+    assert set(states.values()) == {"SUCCESS"}
+    assert lake.batches("bronze.results") == [2, 1] and lake.batches("bronze.pit_stops") == [1]
+    assert spark.read.parquet(lake.path("bronze.results", 2)).count() == 3
+    assert lake.table("bronze.results").count() == 443
+    found = lake.table("silver.performance")
+    assert found.count() == 441 and lake.batches("silver.performance") == [2]
+    moved = found.filter("raceId IN (1, 111) AND driverId = 1").orderBy("raceId").collect()
+    assert [(r["position"], r["points"]) for r in moved] == [(1, 25.0)] * 2
+    kept = found.filter("raceId = 2").select("ingestion_timestamp").distinct().collect()
+    assert [r[0].replace(tzinfo=None) for r in kept] == [AT]
+    assert lake.batches("silver.pit_analysis") == [1]  # no new stops
+    aside = spark.read.parquet(f"{base}/quarantine/silver.performance/batch=2")
+    assert aside.count() == 1
+    records = lake.ledger("tables").filter("table_name = 'bronze.results'").orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["base_batch"], r["row_count"]) for r in records] == [(1, None, 440), (2, 1, 443)]
+    assert lake.table("gold.championship_standings").filter("year = 2001").count() == 4
+
+    states = medallion.run(spark, raw, base, 3, later, incremental=True)  # nothing new
+    assert set(states.values()) == {"SUCCESS"} and lake.batches("bronze.results") == [2, 1]
+    with pytest.raises(ValueError):
+        medallion.run(spark, raw, base, 2, later, incremental=True)
