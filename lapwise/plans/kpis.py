@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.operators.running import framed, running_totals
+from lapwise.operators.running import framed, row_numbers, running_totals
 
 
 def pace_index(laps: DataFrame) -> DataFrame:
@@ -276,6 +276,55 @@ def eliminated(facts: DataFrame, races: DataFrame, after_round: int, max_points_
     )
 
 
+def still_possible(
+    facts: DataFrame, races: DataFrame, after_round: int, table: list[float], races_per_round: int = 1
+) -> DataFrame:
+    """Who can still win when the points to come are shared: the driver wins all that is left, and the rest must fit.
+
+    ``table`` are the points of the places of one race, best first. If the driver wins every race left, their rivals take the
+    other places between them, one each a race. None may pass the driver's final points, so each has a room (these minus own
+    points), and m rivals cannot take more than the m best other places of all races. The places fit, in shares of races,
+    exactly if for every m the m best places and the rooms of all but the m roomiest rivals hold all points there are
+    to share. So a driver who fails cannot win, whatever happens; whoever is out by the gap alone also fails.
+
+    Per season this needs the sum of points and the lowest few points only, as many as places score. Level points
+    still win. Without races left the leader, or those level, are left.
+    """
+    joined = facts.join(races.select("raceId", "round"), "raceId")
+    rounds = races.groupBy("year").agg(F.count_distinct(F.when(F.col("round") > after_round, F.col("round"))).alias("left"))
+    points = joined.filter(F.col("round") <= after_round).groupBy("year", "driverId").agg(F.sum("points").alias("points"))
+    others = [float(v) for v in table[1:]]
+    numbered = row_numbers(
+        points.filter(F.col("points").isNotNull()), ["year"], [F.asc("points"), F.asc("driverId")], "_n", [F.floor("points")]
+    )
+    season = numbered.groupBy("year").agg(
+        F.count(F.lit(1)).alias("_drivers"), F.sum("points").alias("_sum"), F.max("points").alias("_most"),
+        F.array_sort(F.collect_list(F.when(F.col("_n") <= len(others) + 1, F.col("points")))).alias("_lowest"),  # a few
+    )
+    left = F.col("rounds_left") * races_per_round
+    final, rivals = F.col("points") + left * float(table[0]), F.col("_drivers") - 1
+
+    def fits(m: int):
+        """Whether the rooms of all but the m roomiest rivals and the m best places hold all shared points."""
+        taken = F.least(F.lit(m).cast("long"), rivals)
+        own = (F.col("_n") <= taken).cast("int")  # the driver may be among the lowest
+        lowest = F.aggregate(F.slice("_lowest", F.lit(1), (taken + own).cast("int")), F.lit(0.0), lambda a, x: a + x)
+        room = (rivals - taken) * final - (F.col("_sum") - F.col("points") - (lowest - own * F.col("points")))
+        # Fewer rivals than places leave the last places empty.
+        shared = F.aggregate(F.slice(places, F.lit(1), rivals.cast("int")), F.lit(0.0), lambda a, x: a + x)
+        best = F.aggregate(F.slice(places, F.lit(1), taken.cast("int")), F.lit(0.0), lambda a, x: a + x)
+        return left * best + room >= left * shared
+
+    places = F.array(*[F.lit(v) for v in others]) if others else F.array().cast("array<double>")
+    possible = F.col("_most") <= final
+    for m in range(len(others) + 1):
+        possible = possible & fits(m)
+    return (
+        numbered.join(season, "year").join(rounds.withColumnRenamed("left", "rounds_left"), "year")
+        .select("year", "driverId", "points", "rounds_left", final.alias("best_final"), possible.alias("possible"))
+    )
+
+
 def lap_progression(laps: DataFrame, window_laps: int = 3) -> DataFrame:
     """Mean time per race and lap number, smoothed over the last laps; long races are smoothed in blocks."""
     per_lap = laps.groupBy("raceId", "lap").agg(F.avg("milliseconds").alias("average"))

@@ -60,7 +60,10 @@ def _pit_ranks(b: Binding) -> DataFrame:
     return found.groupBy("dimension").agg(F.count(F.lit(1)).alias("quantiles"), F.count_if(missed).alias("missed"))
 
 
+POINTS = [25.0, 18.0, 15.0, 12.0, 10.0, 8.0, 6.0, 4.0, 2.0, 1.0]
+
 QUERIES = {
+    "kpi10_still_possible": bound(lambda b: kpis.still_possible(facts(b), b.races(), 11, POINTS, 8)),
     "kpi6_rank_correlation": bound(
         lambda b: rounded(
             kpis.rank_correlation(qualifying_vs_race(b), "constructorId", "qualifying_position", "race_position"),
@@ -96,6 +99,23 @@ QUERIES = {
 }
 
 SQL = {
+    "kpi10_still_possible": sql(
+        """SELECT year, driverId, points, rounds_left, final AS best_final,
+        best <= final AND bool_and(places * coalesce(list_sum(s[1:least(m, rivals)]), 0) + room
+          >= places * coalesce(list_sum(s[1:rivals]), 0)) AS possible
+        FROM (SELECT p.year, p.driverId, p.points, l.n AS rounds_left, l.n * 8 AS places, p.points + l.n * 8 * 25.0 AS final,
+            y.best, y.drivers - 1 AS rivals, m.m, [18, 15, 12, 10, 8, 6, 4, 2, 1]::DOUBLE[] AS s,
+            (SELECT coalesce(sum(p.points + l.n * 8 * 25.0 - o.points), 0) FROM (
+              SELECT points, row_number() OVER (ORDER BY points) AS n FROM pts q
+              WHERE q.year = p.year AND q.driverId <> p.driverId) o WHERE o.n > m.m) AS room
+          FROM pts p JOIN (SELECT year, max(points) AS best, count(*) AS drivers FROM pts GROUP BY year) y ON p.year = y.year
+          JOIN (SELECT year, count(DISTINCT round) FILTER (WHERE round > 11) AS n FROM races GROUP BY year) l
+            ON p.year = l.year, (SELECT unnest(range(0, 10)) AS m) m)
+        GROUP BY year, driverId, points, rounds_left, final, best""",
+        "facts",
+        pts="""SELECT f.year, f.driverId, sum(f.points) AS points FROM facts f JOIN races y ON f.raceId = y.raceId
+          WHERE y.round <= 11 GROUP BY ALL""",
+    ),
     "kpi6_rank_correlation": sql(
         """SELECT constructorId, count(*) AS results, round(corr(a, b), 6) AS rank_correlation FROM (
           SELECT constructorId, rank() OVER (PARTITION BY constructorId ORDER BY qualifying_position)

@@ -13,6 +13,7 @@ from lapwise.functions import clean
 from lapwise.ml import features as ft
 from lapwise.ml import forecast as fc
 from lapwise.ml import models as ml
+from lapwise.ml import seasonal
 from lapwise.ml import segments as sg
 from lapwise import constants as C
 from lapwise.operators.staging import scratch, stage
@@ -258,6 +259,23 @@ def _forecast(b: Binding) -> DataFrame:
     )
 
 
+def _points_by_day(b: Binding) -> DataFrame:
+    return b.results().join(b.races().select("raceId", "date"), "raceId").select(
+        "constructorId", F.col("date").alias("ds"), F.col("points").alias("y")
+    )
+
+
+def _seasonal(b: Binding) -> DataFrame:
+    ahead = seasonal.forecast(_points_by_day(b), "constructorId")
+    return ahead.withColumn("ds", F.col("ds").cast("string"))
+
+
+def _seasonal_facts(b: Binding) -> DataFrame:
+    """Weeks of each series, and whether the fit is that of least squares."""
+    found = seasonal.imbalance(_points_by_day(b), "constructorId")
+    return found.select("constructorId", "weeks", (F.col("imbalance") < 1e-6).alias("least_squares"))
+
+
 def _profile(b: Binding) -> DataFrame:
     """Profiles and rule labels of a known grouping: the consistency rating."""
     rated = gold.driver_consistency(statistics(b))
@@ -359,6 +377,9 @@ QUERIES = {
     "ml19_finish_model": bound(_finish_model),
     "ml20_rule_chances": bound(_chances),
     "ml21_forecast": bound(_forecast),
+    "ml21_seasonal_forecast": bound(_seasonal),
+    "ml21_seasonal_coverage": bound(lambda b: seasonal.coverage(_points_by_day(b), "constructorId")),
+    "ml21_seasonal_facts": bound(_seasonal_facts),
     "ml22_podium_model": bound(_podium_model),
 }
 
@@ -540,6 +561,11 @@ SQL = {
           FROM qualifying q JOIN orders ON q.raceId = o_orderkey)""",
         "qualifying",
     ),
+    "ml21_seasonal_facts": sql(
+        """SELECT constructorId, count(DISTINCT date_trunc('week', date)) AS weeks, true AS least_squares
+        FROM results r JOIN races y ON r.raceId = y.raceId GROUP BY constructorId""",
+        "results", "races",
+    ),
     "ml21_forecast": sql(
         """SELECT f.constructorId, strftime(f.ds, '%Y-%m-%d') AS ds, round(intercept + slope * f.t, 4) AS trend,
         round(intercept + slope * f.t + coalesce(seasonal, 0), 4) AS yhat
