@@ -5,9 +5,10 @@ Bloom filter of its n-grams; the filters are sliced by bit, so that one row of t
 languages, and the conjunction of ``HASHES`` rows names all languages that contain an n-gram at once. A text's
 language is the one with the most n-grams after the expected false positives are taken off every count.
 
-An n-gram is learned for a language if it is in at least ``LEAST`` of its sampled documents and at least a quarter as
-frequent there as in any other language, which leaves out what foreign passages bring along; the ``KEPT`` most
-frequent are taken. The sample holds about ``SAMPLE`` documents of each language, chosen by hash. Whole texts are
+An n-gram is learned for a language if it is in at least ``LEAST`` of its sampled documents (in all of them where there are
+fewer, so that no language is without n-grams) and at least a quarter as frequent there as in any other language, which
+leaves out what foreign passages bring along; the ``KEPT`` most frequent are taken. Frequencies are shrunk by ``SHRINK``
+documents, so that a language of one or two documents does not take common n-grams from the others. The sample holds about ``SAMPLE`` documents of each language, chosen by hash. Whole texts are
 identified, row by row, without a shuffle.
 
 Rules for odd input: a null text or one without a letter is ``und`` with score 0; a text of unknown n-grams only gets
@@ -33,6 +34,7 @@ GRAM = 4
 HASHES = 3
 SAMPLE = 2_000
 LEAST = 3
+SHRINK = 8
 KEPT = 20_000
 UNKNOWN = "und"
 
@@ -169,9 +171,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     counted = (
         sampled.select("lang", "text").mapInArrow(run, "lang string, code long, n long")
-        .groupBy("lang", "code").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-        .join(F.broadcast(sizes), "lang")
-        .withColumn("share", F.col("n") / F.least(F.col("docs"), F.lit(SAMPLE)))
+        .groupBy("lang", "code").agg(F.sum("n").alias("n"))
+        .join(F.broadcast(sizes), "lang").filter(F.col("n") >= F.least(F.lit(LEAST), F.col("docs")))
+        .withColumn("share", F.col("n") / (F.least(F.col("docs"), F.lit(SAMPLE)) + SHRINK))
     )
     most = F.max("share").over(Window.partitionBy("code"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))

@@ -73,6 +73,22 @@ def test_no_language_learned(rows):
     assert [r["lang_pred"] for r in langid.identify(docs, langid.train(docs)).collect()] == ["und"]
 
 
+def test_languages_of_two_documents_are_learned(rows):
+    rng = random.Random(12)
+    words = {
+        "en": "the of and with from this that which their there would about people water under never house".split(),
+        "de": "der die und mit von dieser nicht welche durch immer zwischen haus wasser leute unter schon".split(),
+    }
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    text = lambda lang: " ".join(rng.choices(words[lang], k=80))
+    docs = [(ids[n], text("en"), "en") for n in range(59)] + [(ids[59 + n], text("de"), "de") for n in range(2)]
+    new = [(5000 + n, text(lang), None) for n, lang in enumerate(["de", "en"] * 10)]
+    model = langid.train(rows("doc_id long, text string, lang string", *docs))
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(rows("doc_id long, text string, lang string", *docs, *new), model).collect()}
+    assert [found[i] for i, _, _ in new] == ["de", "en"] * 10
+    assert sum(found[i] == lang for i, _, lang in docs) == 61
+
+
 def test_filters_of_many_languages():
     rng = np.random.default_rng(3)
     codes = [np.unique(rng.integers(0, 2**32, 500, dtype=np.uint32)) for _ in range(70)]
