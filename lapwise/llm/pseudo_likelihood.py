@@ -2,17 +2,20 @@
 
 Every word is hidden in turn and predicted from the ``REACH`` words on both sides; a document's score is the sum of
 the conditional log-probabilities of its words. A word's probability is that of its class, from the network, times its
-own share of the class, from counts over all words of all documents. The ``VOCABULARY`` most frequent words have
-entries; the first ``OWN`` are classes of their own, the others share ``BANDS`` classes of about equal mass. All rarer
-words fall by hash into ``BUCKETS`` entries and ``RARE`` classes; as words, each keeps its own count.
+own share of the class, from counts over all words of all documents. The most frequent words (``VOCABULARY``, more as
+the number of different words grows) have entries; the first ``OWN`` are classes of their own, the others share
+``BANDS`` classes of about equal mass. All rarer words fall by hash into ``BUCKETS`` entries and ``RARE`` classes; as
+words, each keeps its own count.
 
 The counts stay a partitioned table. The ``HEAD`` most frequent words go to the tasks with their counts; the distinct
 other words of each document, none of them frequent, meet the table in a join. The result is the same for any ``HEAD`` that
 holds the vocabulary.
 
-The network has one layer. Its weights are logarithms of how much likelier a class is beside a word, by offset, counted
-over all words of all documents; its scale at each distance is set by a Newton step on sums over all words. The driver
-gets sums of fixed size, the head, and how many words there are of each count. Whole texts are scored, row by row.
+The network adds one vector per offset and entry, bends the sum by tanh and weighs the hidden units per class. It is
+trained in numpy with Adagrad on minibatches. Every round takes an equal part of the documents, dealt by the hash of
+their text: each task starts from the common weights, learns from all its words, and returns how far every vector it
+used has moved. The moves, weighted by use, are averaged by Spark; the driver gets the new weights only. After
+``PARTS`` rounds every word of the corpus has been learned from once. Whole texts are scored, row by row.
 
 Rules for odd input: a null or empty text has no words, score 0 and no mean; repeated rows are scored row by row; a word
 that was not counted is taken as one seen once; an empty table gives an empty result; other columns are ignored,
@@ -40,12 +43,18 @@ BUCKETS = 4_096
 # Words whose counts go to the tasks.
 HEAD = 262_144
 REACH = 2
-# Weight of the class's overall share beside what was counted next to a word.
-PRIOR = 10.0
-# Scales of the distances that the Newton step starts from.
-START = (0.7, 0.4)
-# Words that one step of scoring takes.
+# Different words up to which the vocabulary keeps its size; beyond, it grows with their square root up to LARGEST.
+FIRST, LARGEST = 250_000, 65_536
+HIDDEN = 32
+# Parts in which the documents are learned from, and rounds over parts.
+PARTS = 4
+ROUNDS = 4
+# Words of a minibatch, rate of learning and the squared gradient that every weight starts with.
+MINIBATCH = 2_048
+RATE, DAMPING = 0.1, 0.01
+# Words that one step of scoring takes, and the smallest chance of a class.
 STEP = 8_192
+LEAST = 1e-30
 
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
@@ -85,9 +94,76 @@ def contexts(ids: np.ndarray, counts: np.ndarray, edge: int) -> np.ndarray:
     return found
 
 
+@dataclass
+class Network:
+    """Vectors per offset and entry, and weights per class. The last hidden unit is always 1."""
+
+    tables: np.ndarray
+    output: np.ndarray
+
+    def hidden(self, context: np.ndarray) -> np.ndarray:
+        found = self.tables[0][context[:, 0]]
+        for i in range(1, len(OFFSETS)):
+            found += self.tables[i][context[:, i]]
+        np.tanh(found, out=found)
+        found[:, -1] = 1
+        return found
+
+    def chances(self, hidden: np.ndarray) -> np.ndarray:
+        """Probability of every class."""
+        found = hidden @ self.output.T
+        found -= found.max(axis=1, keepdims=True)
+        np.exp(found, out=found)
+        found /= found.sum(axis=1, keepdims=True)
+        return found
+
+    def slopes(self, context: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient of the summed loss by each word's sum of vectors, and by the output weights."""
+        hidden = self.hidden(context)
+        missed = self.chances(hidden)
+        missed[np.arange(len(own)), own] -= 1
+        # The constant unit has slope 0.
+        return (missed @ self.output) * (1 - hidden * hidden), missed.T @ hidden
+
+
+class Learner:
+    """A copy of a network that learns by Adagrad, and how often it used each vector."""
+
+    def __init__(self, net: Network) -> None:
+        self.start = net
+        self.net = Network(net.tables.copy(), net.output.copy())
+        self.past = Network(np.full_like(net.tables, DAMPING), np.full_like(net.output, DAMPING))
+        self.used = np.zeros(net.tables.shape[:2], np.int64)
+        self.words = 0
+
+    def learn(self, context: np.ndarray, own: np.ndarray) -> None:
+        inner, outer = self.net.slopes(context, own)
+        self.past.output += outer * outer
+        self.net.output -= RATE * outer / np.sqrt(self.past.output)
+        for i in range(len(OFFSETS)):
+            order = np.argsort(context[:, i], kind="stable")
+            entry = context[order, i]
+            first = np.flatnonzero(np.append(True, entry[1:] != entry[:-1]))
+            slope, entry = np.add.reduceat(inner[order], first, axis=0), entry[first]
+            past = self.past.tables[i][entry] + slope * slope
+            self.past.tables[i][entry] = past
+            self.net.tables[i][entry] -= RATE * slope / np.sqrt(past)
+            self.used[i][entry] += np.diff(np.append(first, len(order)))
+        self.words += len(own)
+
+    def moves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the weights that were used, how often, and how far they have moved."""
+        rows = np.flatnonzero(self.used.ravel())
+        tables = (self.net.tables - self.start.tables).reshape(-1, HIDDEN)[rows]
+        output = self.net.output - self.start.output
+        classes = np.arange(len(output)) + self.used.size
+        weight = np.concatenate([self.used.ravel()[rows], np.full(len(output), self.words)])
+        return np.concatenate([rows, classes]), weight, np.concatenate([tables, output]).astype(np.float64)
+
+
 @dataclass
 class Model:
-    """Vocabulary, class and log share of every entry, and the network as one table per offset.
+    """Vocabulary, class and log share of every entry, and the network.
 
     The log share of a bucket is that of a word seen once. ``head`` has the sorted words that go to the tasks and
     ``head_log`` the logarithms of their counts; ``counted`` has the words (word, n) that are not among them.
@@ -97,8 +173,7 @@ class Model:
     order: np.ndarray
     word_class: np.ndarray
     log_share: np.ndarray
-    tables: np.ndarray
-    bias: np.ndarray
+    net: Network
     head: np.ndarray
     head_log: np.ndarray
     counted: DataFrame | None
@@ -107,12 +182,10 @@ class Model:
         """Conditional log-probability of each word given its context; words without entry as if seen once."""
         found = np.empty(len(ids))
         for low in range(0, len(ids), STEP):
-            logits = self.bias + sum(self.tables[i][context[low : low + STEP, i]] for i in range(len(OFFSETS)))
-            logits -= logits.max(axis=1, keepdims=True)
             words = ids[low : low + STEP]
-            own = logits[np.arange(len(words)), self.word_class[words]]
-            whole = np.log(np.exp(logits).sum(axis=1))
-            found[low : low + STEP] = own - whole + self.log_share[words]
+            chance = self.net.chances(self.net.hidden(context[low : low + STEP]))
+            own = chance[np.arange(len(words)), self.word_class[words]].astype(np.float64)
+            found[low : low + STEP] = np.log(np.maximum(own, LEAST)) + self.log_share[words]
         return found
 
     def score(self, part: Texts) -> tuple[np.ndarray, np.ndarray, pa.ListArray, pa.ListArray]:
@@ -171,72 +244,60 @@ def classes(counts: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.log(number / np.maximum(total[found], 1)), total
 
 
-def neighbours(docs: DataFrame, text: str, vocabulary: np.ndarray, order: np.ndarray, word_class: np.ndarray) -> np.ndarray:
-    """How often each class stands beside each entry, by offset, over all words of all documents."""
-    entries = edge(vocabulary) + 1
-    size = entries * CLASSES
+def fresh(entries: int, share: np.ndarray) -> Network:
+    """The network before the first round: small random vectors, and the overall share of each class."""
+    rng = np.random.default_rng(0)
+    tables = rng.normal(0, 0.1, (len(OFFSETS), entries, HIDDEN)).astype(np.float32)
+    output = rng.normal(0, 0.1, (len(share), HIDDEN)).astype(np.float32)
+    output[:, -1] = np.log(share)
+    return Network(tables, output)
+
+
+def trained(
+    docs: DataFrame, text: str, vocabulary: np.ndarray, order: np.ndarray, word_class: np.ndarray, net: Network
+) -> Network:
+    """The network after a round over ``docs``: every vector moved by the mean of its moves, weighted by use."""
+    outside = edge(vocabulary)
+    names = [f"v{j}" for j in range(HIDDEN)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(OFFSETS), size), np.int64)
+        learner, rng = Learner(net), np.random.default_rng(1)
         for batch in batches:
             for _, part in slices(batch, text):
                 ids, n, _ = word_ids(part, vocabulary, order)
-                around, own = contexts(ids, n, entries - 1), word_class[ids]
-                for i in range(len(OFFSETS)):
-                    total[i] += np.bincount(around[:, i] * CLASSES + own, minlength=size)
-        flat = total.ravel()
-        cells = np.flatnonzero(flat)
-        for low in range(0, len(cells), 100_000):
-            some = cells[low : low + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(flat[some])], ["cell", "n"])
-
-    found = (
-        docs.select(text).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-        .toArrow()  # of fixed size: offsets, entries and classes
-    )
-    beside = np.zeros(len(OFFSETS) * size)
-    beside[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return beside.reshape(len(OFFSETS), entries, CLASSES)
+                around, own = contexts(ids, n, outside), word_class[ids]
+                mixed = rng.permutation(len(ids))
+                for low in range(0, len(ids), MINIBATCH):
+                    some = mixed[low : low + MINIBATCH]
+                    learner.learn(around[some], own[some])
+        if learner.words:
+            rows, weight, moved = learner.moves()
+            for low in range(0, len(rows), 16_384):
+                at = slice(low, low + 16_384)
+                weighted = moved[at] * weight[at, None]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[at]), pa.array(weight[at]), *[pa.array(weighted[:, j]) for j in range(HIDDEN)]],
+                    ["row", "n", *names],
+                )
 
+    moves = docs.select(text).mapInArrow(run, ", ".join(["row long, n long", *[f"{v} double" for v in names]]))
+    mean = moves.groupBy("row").agg(*[(F.sum(v) / F.sum("n")).cast("float").alias(v) for v in names])
+    found = mean.toArrow()  # one row per weight vector, LARGEST + BUCKETS entries at most
+    weights = np.concatenate([net.tables.reshape(-1, HIDDEN), net.output])
+    rows = found.column("row").to_numpy()
+    for j, v in enumerate(names):
+        weights[rows, j] += found.column(v).to_numpy()
+    split = net.tables.shape[0] * net.tables.shape[1]
+    return Network(weights[:split].reshape(net.tables.shape), weights[split:])
 
-def scales(docs: DataFrame, text: str, model: Model) -> np.ndarray:
-    """Scale of the tables at each distance: one Newton step from ``START`` on sums over all words."""
-    distance = np.abs(OFFSETS) - 1
-    net = replace(model, counted=None)
-    names = [f"g{i}" for i in range(REACH)] + [f"h{i}{j}" for i in range(REACH) for j in range(REACH)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slope, curve = np.zeros(REACH), np.zeros((REACH, REACH))
-        for batch in batches:
-            for _, part in slices(batch, text):
-                ids, n, _ = word_ids(part, net.vocabulary, net.order)
-                around = contexts(ids, n, edge(net.vocabulary))
-                for low in range(0, len(ids), STEP):
-                    some, own = around[low : low + STEP], net.word_class[ids[low : low + STEP]]
-                    parts = [
-                        sum(net.tables[i][some[:, i]] for i in np.flatnonzero(distance == d)) for d in range(REACH)
-                    ]
-                    logits = net.bias + sum(np.float32(START[d]) * parts[d] for d in range(REACH))
-                    chance = np.exp(logits - logits.max(axis=1, keepdims=True))
-                    chance /= chance.sum(axis=1, keepdims=True)
-                    weighted = [chance * part_ for part_ in parts]
-                    mean = [w.sum(axis=1, dtype=np.float64) for w in weighted]
-                    for i in range(REACH):
-                        slope[i] += parts[i][np.arange(len(own)), own].sum(dtype=np.float64) - mean[i].sum()
-                        for j in range(REACH):
-                            both = np.einsum("ij,ij->i", weighted[i], parts[j]).sum(dtype=np.float64)
-                            curve[i, j] += both - mean[i] @ mean[j]
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in [*slope, *curve.ravel()]], names)
-
-    sums = docs.select(text).mapInArrow(run, ", ".join(f"{n} double" for n in names))
-    total = np.array([x or 0.0 for x in sums.agg(*[F.sum(n) for n in names]).first()])
-    curve = total[REACH:].reshape(REACH, REACH) + 1e-6 * np.eye(REACH)
-    step = np.clip(np.linalg.solve(curve, total[:REACH]), -0.5, 0.5)
-    return np.clip(np.array(START) + step, 0.0, 1.5)[distance]
-
-
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """Count all words and what stands beside them in all documents, and scale the network."""
+def vocabulary_size(different: int) -> int:
+    """Words with own entries when the corpus has that many different words."""
+    return min(int(VOCABULARY * max(1.0, (different / FIRST) ** 0.5)), max(VOCABULARY, LARGEST), max(VOCABULARY, HEAD))
+
+
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
+    """Count all words and train the network. More rounds than ``PARTS`` learn from documents again."""
     counted = stage(word_counts(docs, text))
     # As many rows as there are different counts, at most about the root of twice the number of words.
     kinds = counted.groupBy("n").agg(F.count("*").alias("kinds")).toArrow()
@@ -247,7 +308,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     words, counts = top.column("word").to_numpy(), top.column("n").to_numpy()
     sort = np.argsort(words)
     head, head_log = words[sort], np.log(counts[sort])
-    first = np.lexsort((words, -counts))[:VOCABULARY]
+    different = int(kinds.column("kinds").to_numpy().sum())
+    first = np.lexsort((words, -counts))[: vocabulary_size(different)]
     words, counts = words[first], counts[first].astype(np.float64)
     order = np.argsort(words)
     vocabulary = words[order]
@@ -259,15 +321,13 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     rare -= np.bincount(words % BUCKETS % RARE, counts, minlength=RARE)
     word_class, log_share, total = classes(counts, rare)
 
-    beside = neighbours(docs, text, vocabulary, order, word_class)
     # A class without words has no chance worth naming.
-    share = np.maximum(total, 1e-6) / max(total.sum(), 1)
-    tables = np.log((beside / share + PRIOR) / (beside.sum(axis=2, keepdims=True) + PRIOR)).astype(np.float32)
-    model = Model(
-        vocabulary, order, word_class, log_share, tables, np.log(share).astype(np.float32), head, head_log,
-        counted.filter((F.col("n") < least) & (F.col("n") > 1)),
-    )
-    return replace(model, tables=tables * scales(docs, text, model).astype(np.float32)[:, None, None])
+    net = fresh(edge(vocabulary) + 1, np.maximum(total, 1e-6) / max(total.sum(), 1))
+    part = F.pmod(F.xxhash64(text), F.lit(PARTS))
+    for i in range(rounds):
+        net = trained(docs.filter(part == i % PARTS), text, vocabulary, order, word_class, net)
+    rest = counted.filter((F.col("n") < least) & (F.col("n") > 1))
+    return Model(vocabulary, order, word_class, log_share, net, head, head_log, rest)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

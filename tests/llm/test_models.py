@@ -157,7 +157,7 @@ def test_pseudo_likelihood_prefers_natural_order(rows):
     mixed = [rng.sample(s, len(s)) for s in plain[:60]]
     data = [(i, " ".join(s)) for i, s in enumerate(plain)] + [(1000 + i, " ".join(s)) for i, s in enumerate(mixed)]
     docs = rows("doc_id long, text string, n_words string", *[(*d, "x") for d in data + ODD])
-    model = pseudo_likelihood.train(docs)
+    model = pseudo_likelihood.train(docs, rounds=40)  # a small table, learned from ten times
     found = {r["doc_id"]: r for r in pseudo_likelihood.score(docs, model).collect()}
     better = [found[i]["mean_log_likelihood"] > found[1000 + i]["mean_log_likelihood"] for i in range(60)]
     assert np.mean(better) > 0.95
@@ -207,16 +207,100 @@ def test_pseudo_likelihood_counts_every_word(rows, monkeypatch):
     assert abs((chance * np.where(inside, 1, [counted[w] for w in words.tolist()])).sum() - 1) < 1e-4
 
 
-def test_pseudo_likelihood_counts_every_neighbour(rows):
-    """What stands beside a word is counted over all words of the table."""
-    data = [(i, "a b c " * (i % 7) + "d") for i in range(60)] + [(99, None), (98, "")]
-    docs = rows("doc_id long, text string", *data)
-    model = pseudo_likelihood.train(docs)
-    beside = pseudo_likelihood.neighbours(docs, "text", model.vocabulary, model.order, model.word_class)
-    total = sum(len((t or "").split()) for _, t in data)
-    assert beside.sum(axis=(1, 2)).tolist() == [total] * 4
-    batch = pa.RecordBatch.from_arrays([pa.array(["a b"])], ["text"])
-    (_, part), = text.slices(batch, "text")
-    (a, b), _, _ = pseudo_likelihood.word_ids(part, model.vocabulary, model.order)
-    want = sum((t or "").count("a b") for _, t in data)
-    assert beside[pseudo_likelihood.OFFSETS.index(-1), a, model.word_class[b]] == want > 0
+def small_network(entries=11, classes=5):
+    rng = np.random.default_rng(6)
+    return pseudo_likelihood.Network(
+        rng.normal(0, 0.5, (4, entries, pseudo_likelihood.HIDDEN)), rng.normal(0, 0.5, (classes, pseudo_likelihood.HIDDEN))
+    )
+
+
+def test_network_slopes_are_the_loss_gradient():
+    net, rng = small_network(), np.random.default_rng(7)
+    context, own = rng.integers(0, 11, (9, 4)), rng.integers(0, 5, 9)
+
+    def loss(net):
+        return -np.log(net.chances(net.hidden(context))[np.arange(9), own]).sum()
+
+    inner, outer = net.slopes(context, own)
+    tables = np.zeros_like(net.tables)
+    for i in range(4):
+        np.add.at(tables[i], context[:, i], inner)
+    for weights, slopes in ((net.tables, tables), (net.output, outer)):
+        for at in zip(*[rng.integers(0, n, 40) for n in weights.shape]):
+            kept = weights[at]
+            weights[at] = kept + 1e-5
+            above = loss(net)
+            weights[at] = kept - 1e-5
+            slope = (above - loss(net)) / 2e-5
+            weights[at] = kept
+            assert abs(slope - slopes[at]) < 1e-4
+
+
+def test_network_learns_by_adagrad():
+    """One step over repeated entries equals plain sums; use is counted; untouched vectors do not move."""
+    net, rng = small_network(), np.random.default_rng(8)
+    context, own = rng.integers(0, 6, (50, 4)), rng.integers(0, 5, 50)
+    learner = pseudo_likelihood.Learner(net)
+    inner, outer = net.slopes(context, own)
+    learner.learn(context, own)
+    want = net.tables.copy()
+    for i in range(4):
+        slope = np.zeros_like(want[i])
+        np.add.at(slope, context[:, i], inner)
+        want[i] -= pseudo_likelihood.RATE * slope / np.sqrt(pseudo_likelihood.DAMPING + slope**2)
+        assert learner.used[i].tolist() == np.bincount(context[:, i], minlength=11).tolist()
+    assert np.allclose(learner.net.tables, want) and not np.allclose(learner.net.output, net.output)
+    rows, weight, moved = learner.moves()
+    assert set(rows.tolist()) == {i * 11 + e for i in range(4) for e in range(6)} | {44 + c for c in range(5)}
+    assert weight[-5:].tolist() == [50] * 5 and moved.shape == (len(rows), pseudo_likelihood.HIDDEN)
+
+
+def test_round_averages_the_moves_of_all_tasks(rows):
+    """A round over several tasks equals the mean of their moves, weighted by use."""
+    data = [(i, " ".join(f"v{(i * j) % 17}" for j in range(1, 30 + i))) for i in range(60)] + [(99, None), (98, "")]
+    docs = rows("doc_id long, text string", *data).repartition(3, "doc_id")
+    model = pseudo_likelihood.train(docs, rounds=0)
+    net, outside = model.net, pseudo_likelihood.edge(model.vocabulary)
+    after = pseudo_likelihood.trained(docs, "text", model.vocabulary, model.order, model.word_class, net)
+    used, moved = np.zeros(net.tables.shape[:2]), np.zeros(net.tables.shape)
+    for task in docs.rdd.glom().collect():
+        learner, rng = pseudo_likelihood.Learner(net), np.random.default_rng(1)
+        batch = pa.RecordBatch.from_arrays([pa.array([r["text"] for r in task], pa.string())], ["text"])
+        for _, part in text.slices(batch, "text"):
+            ids, n, _ = pseudo_likelihood.word_ids(part, model.vocabulary, model.order)
+            around, own = pseudo_likelihood.contexts(ids, n, outside), model.word_class[ids]
+            mixed = rng.permutation(len(ids))
+            for low in range(0, len(ids), pseudo_likelihood.MINIBATCH):
+                some = mixed[low : low + pseudo_likelihood.MINIBATCH]
+                learner.learn(around[some], own[some])
+        used += learner.used
+        moved += (learner.net.tables - net.tables) * learner.used[:, :, None]
+    want = net.tables + moved / np.maximum(used, 1)[:, :, None]
+    assert used.sum() == 4 * sum(len((t or "").split()) for _, t in data)
+    assert np.allclose(after.tables, want, atol=1e-5)
+    assert (after.tables == net.tables)[used == 0].all()
+
+
+def test_network_predicts_held_out_documents_better_than_shares(rows):
+    rng = random.Random(3)
+
+    def sentence():
+        words = [rng.randrange(40)]
+        while len(words) < 60:
+            words.append((3 * words[-1] + rng.choice((1, 2))) % 40)
+        return " ".join(f"v{w}" for w in words)
+
+    docs = rows("doc_id long, text string", *[(i, sentence()) for i in range(400)])
+    held = rows("doc_id long, text string", *[(i, sentence()) for i in range(50)])
+
+    def mean(model):
+        found = pseudo_likelihood.score(held, model).collect()
+        return sum(r["pseudo_log_likelihood"] for r in found) / sum(r["n_words"] for r in found)
+
+    trained = pseudo_likelihood.train(docs, rounds=40)
+    assert mean(trained) > mean(pseudo_likelihood.train(docs, rounds=0)) + 1.0
+
+
+def test_vocabulary_grows_with_the_words():
+    sizes = [pseudo_likelihood.vocabulary_size(n) for n in (0, 100, 250_000, 1_000_000, 10**8)]
+    assert sizes == [4_096, 4_096, 4_096, 8_192, 65_536]
