@@ -5,8 +5,10 @@ shard takes rows up to its bound, the rest goes on clockwise to the next shard w
 rounded up or down, so counts differ by one at most, and a row moves only where a shard on its way fills earlier.
 
 Rows between two points are alike, so only their number decides which go on: the walk runs over one count per arc
-(shards * points numbers at most) and gives, per arc, ranges of ranks with their shard. Rows get their rank from a
-count per arc and salt, so an arc that holds a third of all rows is numbered in many tasks.
+(shards * points numbers at most) and gives, per arc, ranges of ranks with their shard. Equal rows (key, size, checksum)
+are counted first, and a group of more than ``BLOCK`` is cut into blocks. Ranks follow from a sum per arc and salt, the
+salt being a hash of the row and its block, so an arc or a row that holds a third of the table is numbered in many tasks
+and the result does not depend on the order or the files of the table.
 
 Rules for odd input: a null text has no bytes and checksum 0; rows without doc_id share one place on the ring; equal
 rows are placed one by one; an empty table gives an empty result; other columns are ignored, whatever their names.
@@ -24,21 +26,24 @@ from pyspark.sql import functions as F
 from lapwise.operators.staging import stage
 
 SHARDS = 40
-# Points of each shard on the ring, places on the ring, and parts in which an arc is numbered.
+# Points of each shard on the ring, and parts in which an arc is numbered.
 POINTS = 64
-PLACES = 1 << 13
 SALTS = 64
+# Bits of a place on the ring, and of the stretch in which a row looks for its next point.
+PLACE_BITS, STRETCH_BITS = 48, 12
+# Equal rows that are ranked as one.
+BLOCK = 4_096
 
 Segment = tuple[int, int, int, int, int]
 
 
 def place_of(name: str) -> int:
     """Place of a name on the ring."""
-    return int(hashlib.md5(name.encode()).hexdigest()[:12], 16) % PLACES
+    return int(hashlib.md5(name.encode()).hexdigest()[: PLACE_BITS // 4], 16)
 
 
 def _place(name: Column) -> Column:
-    return F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("long") % PLACES
+    return F.conv(F.substring(F.md5(name), 1, PLACE_BITS // 4), 16, 10).cast("long")
 
 
 def ring(shards: int) -> list[tuple[int, int]]:
@@ -78,26 +83,41 @@ def _table(df: DataFrame, rows: list, schema: str) -> DataFrame:
 def assign(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``df``: key, size, checksum of the text, law, shard and its slot there."""
     points = ring(shards)
-    first_after = [len(points)] * (PLACES + 1)
-    for arc in range(len(points) - 1, -1, -1):
-        first_after[points[arc][0]] = arc
-    arcs = list(accumulate(reversed(first_after), min))[::-1]  # first point at or after each place
-    owner = _table(df, [{"place": p, "arc": arcs[p] % len(points)} for p in range(PLACES)], "place:long,arc:int")
-
+    shift = PLACE_BITS - STRETCH_BITS
+    stretches: list[list[int]] = [[] for _ in range(1 << STRETCH_BITS)]
+    for place, _ in points:
+        stretches[place >> shift].append(place)
+    ahead = accumulate(map(len, stretches), initial=0)
+    owner = _table(
+        df, [{"_stretch": i, "_before": n, "_points": p} for i, (n, p) in enumerate(zip(ahead, stretches))],
+        "_stretch:long,_before:int,_points:array<long>",
+    )
+    # The first point at or after the place of a row.
+    passed = F.col("_before") + F.size(F.filter("_points", lambda p: p < F.col("_place")))
+
+    groups = df.select(
+        key,
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.col(text)), F.lit(0)).cast("long").alias("text_crc32"),
+    ).groupBy(key, "size", "text_crc32").agg(F.count("*").alias("_all"))
+    blocks = groups.select(
+        "*",
+        _place(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_place"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_all - 1) div {BLOCK}"))).alias("_block"),
+    )
     rows = stage(
-        df.select(
-            key,
-            (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
-            F.coalesce(F.crc32(F.col(text)), F.lit(0)).cast("long").alias("text_crc32"),
-            _place(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("place"),
-            F.monotonically_increasing_id().alias("_row"),
+        blocks.withColumn("_stretch", F.shiftright("_place", shift))
+        .join(F.broadcast(owner), "_stretch")  # 2 ** STRETCH_BITS rows
+        .select(
+            key, "size", "text_crc32", "_block",
+            (passed % len(points)).alias("arc"),
+            F.pmod(F.xxhash64(key, "size", "text_crc32", "_block"), F.lit(SALTS)).alias("_salt"),
+            F.least(F.lit(BLOCK), F.col("_all") - F.col("_block") * BLOCK).alias("_n"),
         )
-        .join(F.broadcast(owner), "place")  # PLACES rows
-        .withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)))
     )
     before = Window.partitionBy("arc").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     cells = stage(
-        rows.groupBy("arc", "_salt").agg(F.count("*").alias("_n"))
+        rows.groupBy("arc", "_salt").agg(F.sum("_n").alias("_n"))
         .withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     )
     demand = [0] * len(points)
@@ -111,16 +131,21 @@ def assign(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str =
         "arc:int,_from:long,_until:long,shard:int,_slot:long",
     )
 
-    inside = Window.partitionBy("arc", "_salt").orderBy(key, "text_crc32", "size", "_row")
-    ranked = rows.withColumn("_inner", F.row_number().over(inside) - 1).join(
+    inside = (
+        Window.partitionBy("arc", "_salt").orderBy(key, "text_crc32", "size", "_block")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranked = rows.withColumn("_inner", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
         cells.select("arc", "_salt", "_ahead"), ["arc", "_salt"]
     ).withColumn("_rank", F.col("_ahead") + F.col("_inner"))
+    low, end = F.greatest("_rank", "_from"), F.least(F.col("_rank") + F.col("_n"), "_until")
+    first = F.col("_slot") + low - F.col("_from")
     return (
         ranked.join(F.broadcast(segments), "arc")  # a few rows per arc
-        .filter("_rank >= _from and _rank < _until")
+        .filter(low < end)
         .select(
             key, "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-            (F.col("_slot") + F.col("_rank") - F.col("_from")).alias("slot"),
+            F.explode(F.sequence(first, first + end - low - 1)).alias("slot"),  # BLOCK rows at most
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )

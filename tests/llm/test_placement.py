@@ -54,6 +54,28 @@ def test_walk_moves_few_rows():
     assert len(before) == 20_000 and sum(before[k] != after[k] for k in before) < 2_000
 
 
+def test_shards_do_not_depend_on_the_layout(rows, monkeypatch):
+    """The same rows in other files, or beside one row more, keep their shards."""
+    monkeypatch.setattr(sharding, "BLOCK", 16)
+    data = [(i, f"text {i}") for i in range(900)] + [(7, "hot")] * 400 + [(None, f"t{i}") for i in range(90)] + [(None, None)] * 3
+    df = rows("doc_id long, text string", *data)
+
+    def placed(df):
+        return Counter(tuple(r) for r in sharding.assign(df).collect())
+
+    whole = placed(df)
+    assert sum(whole.values()) == len(data)
+    assert placed(df.repartition(7)) == whole == placed(df.coalesce(1).orderBy("text"))
+    homes = Counter((r[0], r[2], r[4]) for r in whole.elements())
+    more = Counter((r[0], r[2], r[4]) for r in placed(rows("doc_id long, text string", (5_000, "new"), *data)).elements())
+    assert (homes - more).total() < len(data) * 0.05
+
+
+def test_points_have_places_of_their_own():
+    points = sharding.ring(40)
+    assert len({place for place, _ in points}) == len(points) == 40 * sharding.POINTS
+
+
 def test_raking_meets_all_marginals(spark, rows):
     cells = rows(
         "_source string, _lang string, _topic string, _sum long",
