@@ -49,11 +49,13 @@ HIDDEN = 32
 # Parts in which the documents are learned from, and rounds over parts.
 PARTS = 4
 ROUNDS = 4
+# Words a round that a task learns from at least, on average, when a table has many small partitions.
+TASK = 250_000
 # Words of a minibatch, rate of learning and the squared gradient that every weight starts with.
 MINIBATCH = 2_048
 RATE, DAMPING = 0.1, 0.01
 # Words that one step of scoring takes, and the smallest chance of a class.
-STEP = 8_192
+STEP = 4_096
 LEAST = 1e-30
 
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
@@ -110,20 +112,24 @@ class Network:
         return found
 
     def chances(self, hidden: np.ndarray) -> np.ndarray:
-        """Probability of every class."""
-        found = hidden @ self.output.T
-        found -= found.max(axis=1, keepdims=True)
+        """Probability of every class (rows) for every word (columns)."""
+        found = self.output @ hidden.T
+        found -= found.max(axis=0)
         np.exp(found, out=found)
-        found /= found.sum(axis=1, keepdims=True)
+        found *= 1 / found.sum(axis=0)
         return found
 
     def slopes(self, context: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradient of the summed loss by each word's sum of vectors, and by the output weights."""
         hidden = self.hidden(context)
         missed = self.chances(hidden)
-        missed[np.arange(len(own)), own] -= 1
+        missed[own, np.arange(len(own))] -= 1
+        outer = missed @ hidden
         # The constant unit has slope 0.
-        return (missed @ self.output) * (1 - hidden * hidden), missed.T @ hidden
+        np.multiply(hidden, hidden, out=hidden)
+        np.subtract(1, hidden, out=hidden)
+        hidden *= missed.T @ self.output
+        return hidden, outer
 
 
 class Learner:
@@ -138,10 +144,12 @@ class Learner:
 
     def learn(self, context: np.ndarray, own: np.ndarray) -> None:
         inner, outer = self.net.slopes(context, own)
+        # Small integers are sorted by radix, in linear time.
+        small = context.astype(np.uint16) if self.used.shape[1] <= 1 << 16 else context
         self.past.output += outer * outer
         self.net.output -= RATE * outer / np.sqrt(self.past.output)
         for i in range(len(OFFSETS)):
-            order = np.argsort(context[:, i], kind="stable")
+            order = np.argsort(small[:, i], kind="stable")
             entry = context[order, i]
             first = np.flatnonzero(np.append(True, entry[1:] != entry[:-1]))
             slope, entry = np.add.reduceat(inner[order], first, axis=0), entry[first]
@@ -158,7 +166,7 @@ class Learner:
         output = self.net.output - self.start.output
         classes = np.arange(len(output)) + self.used.size
         weight = np.concatenate([self.used.ravel()[rows], np.full(len(output), self.words)])
-        return np.concatenate([rows, classes]), weight, np.concatenate([tables, output]).astype(np.float64)
+        return np.concatenate([rows, classes]), weight, np.concatenate([tables, output])
 
 
 @dataclass
@@ -184,7 +192,7 @@ class Model:
         for low in range(0, len(ids), STEP):
             words = ids[low : low + STEP]
             chance = self.net.chances(self.net.hidden(context[low : low + STEP]))
-            own = chance[np.arange(len(words)), self.word_class[words]].astype(np.float64)
+            own = chance[self.word_class[words], np.arange(len(words))].astype(np.float64)
             found[low : low + STEP] = np.log(np.maximum(own, LEAST)) + self.log_share[words]
         return found
 
@@ -254,9 +262,13 @@ def fresh(entries: int, share: np.ndarray) -> Network:
 
 
 def trained(
-    docs: DataFrame, text: str, vocabulary: np.ndarray, order: np.ndarray, word_class: np.ndarray, net: Network
+    docs: DataFrame, text: str, vocabulary: np.ndarray, order: np.ndarray, word_class: np.ndarray, net: Network,
+    tasks: int | None = None,
 ) -> Network:
-    """The network after a round over ``docs``: every vector moved by the mean of its moves, weighted by use."""
+    """The network after a round over ``docs``: every vector moved by the mean of its moves, weighted by use.
+
+    ``tasks`` joins the partitions of a table to so many, without a shuffle, if it has more.
+    """
     outside = edge(vocabulary)
     names = [f"v{j}" for j in range(HIDDEN)]
 
@@ -274,13 +286,14 @@ def trained(
             rows, weight, moved = learner.moves()
             for low in range(0, len(rows), 16_384):
                 at = slice(low, low + 16_384)
-                weighted = moved[at] * weight[at, None]
+                weighted = (moved[at] * weight[at, None]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[at]), pa.array(weight[at]), *[pa.array(weighted[:, j]) for j in range(HIDDEN)]],
                     ["row", "n", *names],
                 )
 
-    moves = docs.select(text).mapInArrow(run, ", ".join(["row long, n long", *[f"{v} double" for v in names]]))
+    dealt = docs.select(text) if tasks is None else docs.select(text).coalesce(tasks)
+    moves = dealt.mapInArrow(run, ", ".join(["row long, n long", *[f"{v} float" for v in names]]))
     mean = moves.groupBy("row").agg(*[(F.sum(v) / F.sum("n")).cast("float").alias(v) for v in names])
     found = mean.toArrow()  # one row per weight vector, LARGEST + BUCKETS entries at most
     weights = np.concatenate([net.tables.reshape(-1, HIDDEN), net.output])
@@ -324,8 +337,9 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     # A class without words has no chance worth naming.
     net = fresh(edge(vocabulary) + 1, np.maximum(total, 1e-6) / max(total.sum(), 1))
     part = F.pmod(F.xxhash64(text), F.lit(PARTS))
+    tasks = -(-int(total.sum()) // (PARTS * TASK)) + 8
     for i in range(rounds):
-        net = trained(docs.filter(part == i % PARTS), text, vocabulary, order, word_class, net)
+        net = trained(docs.filter(part == i % PARTS), text, vocabulary, order, word_class, net, tasks)
     rest = counted.filter((F.col("n") < least) & (F.col("n") > 1))
     return Model(vocabulary, order, word_class, log_share, net, head, head_log, rest)
 
