@@ -198,6 +198,7 @@ QUERIES = {
         ).select("check_name", "status", "bad_pct")
     ),
     "join11_orphans": bound(lambda b: dq.orphans(b.lap_times(), b.drivers(), "driverId")),
+    "join11_filtered_orphans": bound(lambda b: dq.filtered_orphans(b.lap_times(), b.drivers(), "driverId")),
     "mon2_scored_table": bound(_scored),
     "mon3_table_sizes": bound(_sizes),
     "mon4_run_summary": bound(lambda b: rounded(mon.run_summary(runs(b), "run_name"), "average_seconds")),
@@ -442,6 +443,12 @@ SQL = {
         "laps",
         "drivers",
     ),
+    "join11_filtered_orphans": sql(
+        """SELECT l.driverId, count(*) AS "rows" FROM laps l WHERE NOT EXISTS
+        (SELECT 1 FROM drivers d WHERE d.driverId = l.driverId) GROUP BY l.driverId""",
+        "laps",
+        "drivers",
+    ),
     "mon2_scored_table": sql(
         f"""SELECT 'results' AS table_name, count(*) AS row_count, count(DISTINCT constructorId) AS partitions,
         (SELECT round(count(*) FILTER (WHERE status = 'PASS') * 100.0 / count(*), 6) FROM ({_RESULT_SQL}))

@@ -171,3 +171,21 @@ def test_latest_and_summaries(rows):
     got = mon.run_summary(ledger).first()
     assert (got["total_executions"], got["success_rate"], got["average_seconds"]) == (4, 50.0, 10.0)
     assert [mon.final_status(d, 2) for d in (2, 1, 0)] == ["SUCCESS", "PARTIAL", "FAILED"]
+
+
+def test_orphans_by_key_filter(rows, spark, values):
+    """Equal to the anti join for filters of any size; a filter never misses a key and merges by parts."""
+    facts = spark.range(3000).selectExpr("IF(id % 50 = 0, NULL, id % 700) AS k", "id AS x")
+    dimension = spark.range(400).selectExpr("id * 2 AS k").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    want = sorted(values(dq.orphans(facts, dimension, "k")), key=str)
+    for bits in (64, 32_768, 100_000):
+        assert sorted(values(dq.filtered_orphans(facts, dimension, "k", bits)), key=str) == want
+    low, high = dimension.filter("k < 300"), dimension.filter("k >= 300")
+    both = dq.merged_filters(dq.key_filter(low, "k", 100_000), dq.key_filter(high, "k", 100_000))
+    found = dq.possible(facts.select("k").distinct(), both, "k", 100_000).collect()
+    inside = {r["k"] for r in dimension.collect()} - {None}
+    assert all(r["possible"] for r in found if r["k"] in inside)
+    assert sum(r["possible"] for r in found if r["k"] not in inside) < 40
+    assert not next(r["possible"] for r in found if r["k"] is None)
+    empty = dimension.limit(0)
+    assert sorted(values(dq.filtered_orphans(facts, empty, "k")), key=str) == sorted(values(dq.orphans(facts, empty, "k")), key=str)
