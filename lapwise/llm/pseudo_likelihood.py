@@ -96,6 +96,22 @@ def contexts(ids: np.ndarray, counts: np.ndarray, edge: int) -> np.ndarray:
     return found
 
 
+def sums(entries: np.ndarray, rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ones of the sorted ``entries``, their numbers, and the sums of their ``rows`` of ``values``.
+
+    Most entries have one row, which needs no summing.
+    """
+    first = np.flatnonzero(np.append(True, entries[1:] != entries[:-1]))
+    n = np.diff(np.append(first, len(entries)))
+    found = np.take(values, rows[first], axis=0)
+    several = n > 1
+    if several.any():
+        members = np.take(values, rows[np.repeat(several, n)], axis=0)
+        ends = np.cumsum(n[several])
+        found[several] = np.add.reduceat(members, ends - n[several], axis=0)
+    return entries[first], n, found
+
+
 @dataclass
 class Network:
     """Vectors per offset and entry, and weights per class. The last hidden unit is always 1."""
@@ -104,9 +120,9 @@ class Network:
     output: np.ndarray
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        found = self.tables[0][context[:, 0]]
+        found = np.take(self.tables[0], context[:, 0], axis=0)
         for i in range(1, len(OFFSETS)):
-            found += self.tables[i][context[:, i]]
+            found += np.take(self.tables[i], context[:, i], axis=0)
         np.tanh(found, out=found)
         found[:, -1] = 1
         return found
@@ -150,13 +166,15 @@ class Learner:
         self.net.output -= RATE * outer / np.sqrt(self.past.output)
         for i in range(len(OFFSETS)):
             order = np.argsort(small[:, i], kind="stable")
-            entry = context[order, i]
-            first = np.flatnonzero(np.append(True, entry[1:] != entry[:-1]))
-            slope, entry = np.add.reduceat(inner[order], first, axis=0), entry[first]
-            past = self.past.tables[i][entry] + slope * slope
+            entry, n, slope = sums(np.take(context[:, i], order), order, inner)
+            past = np.take(self.past.tables[i], entry, axis=0)
+            past += slope * slope
             self.past.tables[i][entry] = past
-            self.net.tables[i][entry] -= RATE * slope / np.sqrt(past)
-            self.used[i][entry] += np.diff(np.append(first, len(order)))
+            np.sqrt(past, out=past)
+            slope *= RATE
+            slope /= past
+            self.net.tables[i][entry] = np.take(self.net.tables[i], entry, axis=0) - slope
+            self.used[i][entry] += n
         self.words += len(own)
 
     def moves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,7 +299,7 @@ def trained(
                 mixed = rng.permutation(len(ids))
                 for low in range(0, len(ids), MINIBATCH):
                     some = mixed[low : low + MINIBATCH]
-                    learner.learn(around[some], own[some])
+                    learner.learn(np.take(around, some, axis=0), own[some])
         if learner.words:
             rows, weight, moved = learner.moves()
             for low in range(0, len(rows), 16_384):
