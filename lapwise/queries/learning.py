@@ -6,6 +6,7 @@ Feature tables and reports have SQL counterparts; fitted models do not.
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,20 +139,88 @@ def _importance_facts(b: Binding) -> DataFrame:
 
 
 def _segment_facts(b: Binding) -> DataFrame:
-    """Rows per season and how many have a label of the list."""
-    labels = [label for _, label in C.SEGMENT_BY_WIN_RATE] + [C.SEGMENT_CONSISTENCY[1], C.SEGMENT_LAST]
-    return _per_year(_segments(b), F.col("cluster_label").isin(labels))
+    """Rows per season and how many have the label that the means over all rows of their label ask for.
+
+    Every label stands for a range of means, so clusters that share a label have joint means in it too.
+    """
+    found = stage(_segments(b).select("year", "cluster_label", "win_rate", "consistency_score"))
+    means = found.groupBy("cluster_label").agg(F.avg("win_rate").alias("_wins"), F.avg("consistency_score").alias("_even"))
+    asked = means.select("cluster_label", sg.segment_label(F.col("_wins"), F.col("_even")).alias("asked"))
+    return _per_year(found.join(asked, "cluster_label"), F.col("asked") == F.col("cluster_label"))
 
 
 def _four_facts(b: Binding) -> DataFrame:
-    return _per_year(_four(b), F.col("cluster_name").isin(list(C.FOUR_SEGMENTS)))
+    """Rows per season and how many have a name whose mean win rate no later name exceeds."""
+    found = stage(_four(b))
+    place = F.array_position(F.array(*map(F.lit, C.FOUR_SEGMENTS)), F.col("cluster_name"))
+    means = found.groupBy("cluster_name", place.alias("place")).agg(F.avg("win_rate").alias("wins"))
+    later = means.select(F.col("place").alias("_place"), F.col("wins").alias("_wins"))  # four rows
+    worst = means.join(later, F.col("_place") > F.col("place"), "left").groupBy("cluster_name", "place", "wins").agg(
+        F.max("_wins").alias("above")
+    )
+    falling = (F.col("place") > 0) & (F.col("wins") >= F.coalesce("above", F.lit(0.0)))
+    return _per_year(found.join(worst.select("cluster_name", falling.alias("falling")), "cluster_name"), F.col("falling"))
 
 
 def _score_facts(b: Binding) -> DataFrame:
     """Rows per season and how many have a class, a probability and a confidence that fit each other."""
     p = F.col("win_probability")
-    sound = p.between(0, 1) & F.col("confidence").between(0.5, 1) & (F.abs(F.col("confidence") - p).between(0, 1))
-    return _per_year(_scores(b), sound & F.col("prediction").isin(0, 1))
+    sure = F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9
+    return _per_year(_scores(b), p.between(0, 1) & sure & (F.col("prediction") == (p > 0.5).cast("double")))
+
+
+def _winner_balance(b: Binding) -> DataFrame:
+    """Training rows and winners, and whether the regression expects as many winners as there are.
+
+    That is the condition of the best intercept, which no penalty touches.
+    """
+    train, _ = ml.split(_labelled_seasons(b, "is_winner"), SEASON_KEY)
+    model = ml.chain(ft.WINNER_FEATURES, ml.classifiers("is_winner")["logistic_regression"]).fit(train)
+    chance = F.element_at(vector_to_array("probability"), 2)
+    rows, won = F.count(F.lit(1)), F.sum("is_winner")
+    return model.transform(train).agg(
+        rows.alias("rows"), won.alias("winners"), (F.abs(F.sum(chance) - won) <= 1e-3 * rows).alias("balanced")
+    )
+
+
+def _lap_balance(b: Binding) -> DataFrame:
+    """Training laps and their mean time, and whether the regression's mean is the same."""
+    train, _ = ml.split(stage(laps(b).select(*LAP_KEY[:2], "milliseconds", *ft.LAP_FEATURES)), ["raceId"])
+    model = ml.chain(ft.LAP_FEATURES, ml.regressors("milliseconds")["linear_regression"]).fit(train)
+    mean = F.avg(F.col("milliseconds").cast("double"))
+    return model.transform(train).agg(
+        F.count(F.lit(1)).alias("laps"), F.round(mean, 4).alias("mean_time"),
+        (F.abs(F.avg("prediction") - mean) <= 1e-6 * mean).alias("balanced"),
+    )
+
+
+def _center_facts(b: Binding) -> DataFrame:
+    """Per input its mean over all rows, and whether the centers, weighted by size, have that mean."""
+    data = stage(clusters(b))
+    model, clustered = sg.segmented(data, ft.CLUSTER_FEATURES, 5)
+    sizes = clustered.groupBy("prediction").agg(F.count(F.lit(1)).alias("size"))
+    joint = sg.centers(b.spark, model).join(sizes, "prediction").groupBy("feature").agg(
+        (F.sum(F.col("center") * F.col("size")) / F.sum("size")).alias("joint")
+    )
+    means = data.agg(*[F.avg(n).alias(n) for n in ft.CLUSTER_FEATURES]).unpivot([], ft.CLUSTER_FEATURES, "feature", "mean")
+    # Centers are standardised, and are those of the assignment one step before.
+    return means.join(joint, "feature").select(
+        "feature", F.round("mean", 6).alias("mean"), (F.abs("joint") < 0.01).alias("balanced")
+    )
+
+
+def _podium_totals(b: Binding) -> DataFrame:
+    """Held-out seasons with and without a podium, over both predictions."""
+    forest = ml.classifiers("is_podium")["random_forest"]
+    _, predictions = ml.fitted(
+        _labelled_seasons(b, "is_podium"), SEASON_KEY, ft.WINNER_FEATURES, forest, "is_podium"
+    )
+    return ml.confusion(predictions, "is_podium").groupBy("label").agg(F.sum("rows").alias("rows"))
+
+
+def _finish_totals(b: Binding) -> DataFrame:
+    """Held-out rows per true place, over all predicted places."""
+    return _finish_model(b).groupBy("label").agg(F.sum("rows").alias("rows"))
 
 
 def _per_year(df: DataFrame, sound) -> DataFrame:
@@ -356,6 +425,10 @@ QUERIES = {
     "agg13_confusion": bound(lambda b: ml.confusion(_pole_wins(b), "won")),
     "ml7_split_sizes": bound(_split_sizes),
     "ml8_winner_models": bound(_winner_models),
+    "ml8_winner_balance": bound(_winner_balance),
+    "ml9_lap_balance": bound(_lap_balance),
+    "ml12_center_facts": bound(_center_facts),
+    "ml19_finish_totals": bound(_finish_totals),
     "ml9_lap_models": bound(_lap_models),
     "ml10_importances": bound(_importances),
     "ml11_k_sweep": bound(_sweep),
@@ -381,6 +454,7 @@ QUERIES = {
     "ml21_seasonal_coverage": bound(lambda b: seasonal.coverage(_points_by_day(b), "constructorId")),
     "ml21_seasonal_facts": bound(_seasonal_facts),
     "ml22_podium_model": bound(_podium_model),
+    "ml22_podium_totals": bound(_podium_totals),
 }
 
 _SEASON = """SELECT s.*, t.team_win_rate, t.team_podium_rate, t.points_per_race AS points_per_race_constructor,
@@ -428,7 +502,53 @@ _RECENT_SQL = """round(coalesce(d_recent, 0), 6) AS driver_avg_lap_time_recent,
 _POLE = """SELECT CAST(coalesce(race_position = 1, false) AS INTEGER) AS won,
     CAST(qualifying_position = 1 AS INTEGER) AS prediction FROM qvr"""
 
+
+
+def _training_side(*keys: str) -> str:
+    """Tenth of a row by the MD5 of its key."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)})), 1, 7) AS BIGINT) % 10"
+
+
+_CLUSTER = """SELECT total_races, total_wins, total_podiums, total_points, win_rate, podium_rate,
+    coalesce(average_finish_position, 0) AS average_finish_position, CAST(total_wins AS DOUBLE) / total_races AS win_efficiency,
+    CAST(total_podiums AS DOUBLE) / total_races AS podium_efficiency, points_per_race, finish_rate,
+    coalesce(consistency_score, 0) AS consistency_score, coalesce(1 / average_lap_time, 0) AS pace_quality,
+    coalesce(pit_efficiency_score / 100, 0) AS pit_efficiency_normalized,
+    coalesce(team_win_rate * dominance_score, 0) AS constructor_impact,
+    coalesce(qualifying_performance_score / 10, 0) AS qualifying_strength FROM season WHERE total_races >= 3"""
+
 SQL = {
+    "ml7_split_sizes": sql(
+        f"""SELECT CASE WHEN {_training_side(*SEASON_KEY)} < 8 THEN 'train' ELSE 'test' END AS part, count(*) AS "rows"
+        FROM driver_statistics GROUP BY ALL""",
+        "driver_statistics",
+    ),
+    "ml8_winner_balance": sql(
+        f"""SELECT count(*) AS "rows", count(*) FILTER (total_wins > 0) AS winners, true AS balanced
+        FROM driver_statistics WHERE year > {SINCE} AND {_training_side(*SEASON_KEY)} < 8""",
+        "driver_statistics",
+    ),
+    "ml9_lap_balance": sql(
+        f"""SELECT count(*) AS laps, round(avg(milliseconds), 4) AS mean_time, true AS balanced FROM lapf
+        WHERE {_training_side("raceId")} < 8""",
+        *_LAP_NEEDS, lapf=_LAPS,
+    ),
+    "ml22_podium_totals": sql(
+        f"""SELECT CAST(total_podiums > 0 AS INTEGER) AS label, count(*) AS "rows" FROM driver_statistics
+        WHERE year > {SINCE} AND {_training_side(*SEASON_KEY)} >= 8 GROUP BY ALL""",
+        "driver_statistics",
+    ),
+    "ml12_center_facts": sql(
+        f"""SELECT feature, round(mean, 6) AS mean, true AS balanced FROM (SELECT {', '.join(
+            f'avg({name}) AS {name}' for name in ft.CLUSTER_FEATURES)} FROM clustering)
+        UNPIVOT (mean FOR feature IN ({', '.join(ft.CLUSTER_FEATURES)}))""",
+        *_SEASON_NEEDS, season=_SEASON, clustering=_CLUSTER,
+    ),
+    "ml19_finish_totals": sql(
+        f"""SELECT race_position AS label, count(*) AS "rows" FROM qvr WHERE race_position > 0
+        AND {_training_side("raceId", "driverId", "constructorId")} >= 8 GROUP BY ALL""",
+        "qvr",
+    ),
     "join5_season_features": sql(
         """SELECT * REPLACE (round(position_stddev, 6) AS position_stddev, round(consistency_score, 6) AS
         consistency_score, CAST(fastest_lap_time AS BIGINT) AS fastest_lap_time, round(average_lap_time, 6) AS

@@ -1,6 +1,7 @@
 """Features, models, segments and forecasts."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -30,6 +31,15 @@ def test_split_is_stable_and_whole(points):
     assert train.select("id").exceptAll(again.select("id")).isEmpty()
 
 
+def test_split_follows_the_digest_of_the_key(spark):
+    keys = [(i % 7, i) for i in range(300)] + [(None, 3), (5, None), (None, None)]
+    rows = spark.createDataFrame(keys, "a int, b long")
+    train, test = models.split(rows, ["a", "b"])
+    plain = lambda *key: int(hashlib.md5("|".join(str(k) for k in key if k is not None).encode()).hexdigest()[:7], 16) % 10
+    assert {tuple(r) for r in train.collect()} == {key for key in keys if plain(*key) < 8}
+    assert {tuple(r) for r in test.collect()} == {key for key in keys if plain(*key) >= 8}
+
+
 def test_compare_picks_the_better_classifier(points):
     shared = {"labelCol": "label", "featuresCol": "features"}
     trials = {"good": LogisticRegression(**shared), "blind": LogisticRegression(maxIter=0, **shared)}
