@@ -195,9 +195,9 @@ def lap_time_trends(lap_times: DataFrame, races: DataFrame, teams: DataFrame) ->
         .join(teams, ["raceId", "driverId"], "left")
         .withColumns(
             {
-                "pace_consistency": 1 - M.ratio(F.col("lap_time_stddev"), F.col("average_lap_time")),
+                "pace_consistency": 1 - M.quotient(F.col("lap_time_stddev"), F.col("average_lap_time")),
                 "lap_degradation_rate": M.ratio(spread, F.col("total_laps")),
-                "pace_improvement_potential": M.ratio(
+                "pace_improvement_potential": M.quotient(
                     F.col("average_lap_time") - F.col("fastest_lap_time"), F.col("average_lap_time")
                 ),
             }
