@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lapwise import constants as C
 from lapwise.functions import metrics as M
-from lapwise.ml.features import present
+from lapwise.ml.features import finite, present
 from lapwise.ml.models import SEED, chain
 
 
@@ -27,7 +27,7 @@ def sweep(df: DataFrame, inputs: list[str], ks: range = range(2, 11)) -> tuple[i
     """Silhouette per k; the best k is the largest. Inputs are assembled and scaled once for all k."""
     inputs = present(df, inputs)
     prepared = chain(inputs, kmeans(2)).getStages()
-    assembled = prepared[0].transform(df.select(*inputs))
+    assembled = prepared[0].transform(finite(df.select(*inputs), inputs))
     vectors = prepared[1].fit(assembled).transform(assembled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     scores = []
     for k in ks:
@@ -39,8 +39,11 @@ def sweep(df: DataFrame, inputs: list[str], ks: range = range(2, 11)) -> tuple[i
 
 
 def segmented(df: DataFrame, inputs: list[str], k: int) -> tuple[PipelineModel, DataFrame]:
-    model = chain(present(df, inputs), kmeans(k)).fit(df)
-    return model, model.transform(df)
+    """Model and clustered rows; infinite and NaN inputs count as 0 in both."""
+    inputs = present(df, inputs)
+    usable = finite(df, inputs)
+    model = chain(inputs, kmeans(k)).fit(usable)
+    return model, model.transform(usable)
 
 
 def centers(spark: SparkSession, model: PipelineModel) -> DataFrame:
