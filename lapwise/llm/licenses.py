@@ -1,9 +1,10 @@
 """Licence scans: a sparse word n-gram classifier finds paragraphs that state a licence, templates confirm them.
 
 A paragraph is a line with a word. Its features are its distinct words and word pairs. A multinomial logistic
-regression with L1 (Spark ML) is trained on variants of the templates of each licence family and on a bounded sample
-of paragraphs of the corpus as the class of unknown text. Its threshold is calibrated on other sampled paragraphs, so
-that about one in a thousand of unknown ones passes. A paragraph that passes must also share enough word pairs with a
+regression with L1 (Spark ML) is trained on variants of the templates of each licence family and on half of all
+paragraphs of the corpus as the class of unknown text. Its threshold is calibrated on the other half, so that one in a
+thousand of unknown ones passes at most. Only features of the templates can have a weight, so both halves are counted by
+the features they share with them and enter as weighted rows. A paragraph that passes must also share enough word pairs with a
 template of its family: ``PAIRS`` at least, or all of a title that has fewer. The scan itself is DataFrame functions
 only. Only paragraphs that share so many pairs with the templates can be confirmed, so only they are scored; their
 features meet the weights in a broadcast join, and little is shuffled.
@@ -24,12 +25,13 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapwise.operators.running import running_totals
 from lapwise.operators.staging import stage
 
 UNKNOWN = "unknown"
 NONE = "none"
-# Paragraphs of the corpus, about so many, that stand for unknown text: half to train, half to calibrate.
-SAMPLE = 8_000
+# All paragraphs that stand for unknown text weigh as much as so many variants of the templates, or one each if fewer.
+UNKNOWN_WEIGHT = 4_000
 # Share of unknown paragraphs that may pass the classifier.
 PASSING = 0.001
 # Least share of word pairs in common with a template, of the template's or the paragraph's pairs, and least number
@@ -214,50 +216,74 @@ class Classifier:
 
     def probable(self, found: DataFrame, keys: list[str]) -> DataFrame:
         """Rows (keys, family, probability) of the likeliest family, for paragraphs with a weighted feature."""
+        return self.likeliest(_features(found), keys)
+
+    def likeliest(self, featured: DataFrame, keys: list[str]) -> DataFrame:
+        """The same for rows with a column ``features``. Probabilities are rounded, so the order of sums moves none."""
         fields = ",".join(f"w{i}:double" for i in range(len(self.families)))
-        weights = _literal(found.sparkSession, self.weights, f"feature:string,{fields}")
+        weights = _literal(featured.sparkSession, self.weights, f"feature:string,{fields}")
         summed = (
-            _features(found).select(*keys, F.explode("features").alias("feature"))
+            featured.select(*keys, F.explode("features").alias("feature"))
             .join(F.broadcast(weights), "feature")  # at most the words and pairs of the templates
             .groupBy(*keys).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(self.families))])
         )
         sums = [F.exp(F.col(f"w{i}") + b) for i, b in enumerate(self.intercepts)]
         whole = sum(sums[1:], sums[0])
         best = F.array_max(F.array(*[
-            F.struct((s / whole).alias("probability"), F.lit(family).alias("family"))
+            F.struct(F.round(s / whole, 9).alias("probability"), F.lit(family).alias("family"))
             for s, family in zip(sums, self.families) if family != UNKNOWN
         ]))
         return summed.select(*keys, best.alias("best")).select(*keys, "best.family", "best.probability")
 
 
-def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
-    """Train on the templates and a bounded sample of paragraphs, and calibrate on another."""
-    spark = df.sparkSession
-    templates = _templates(spark)
-    lines = df.agg(F.sum(F.regexp_count(text, F.lit("\n")) + 1)).first()[0] or 1
-    known, titles = _known_pairs(spark)
-    chance = F.pmod(F.xxhash64("key", "row", "paragraph"), F.lit(1 << 30))
-    own = pairs(F.col("words"))
-    like = F.size(F.filter(own, lambda p: p.isin(known)))
-    sampled = stage(
-        paragraphs(df, key, text).withColumn("chance", chance)
-        .filter(F.col("chance") < int(min(1.0, SAMPLE / lines) * (1 << 30)))
-        .filter((F.size("words") > 0) & (2 * like < F.greatest(F.size(own), F.lit(1))))  # nothing that quotes a template
-        .filter(~F.exists(own, lambda p: p.isin(titles)))
-        .withColumn("calibrates", F.pmod(F.xxhash64("chance", "row"), F.lit(2)) == 1)
+def _unknown(df: DataFrame, key: str, text: str, vocabulary: list[str]) -> DataFrame:
+    """Rows (calibrates, features, n): all paragraphs that quote no template, counted by their features of ``vocabulary``."""
+    known, titles = _known_pairs(df.sparkSession)
+    singles, doubles = [f for f in vocabulary if f and " " not in f], [f for f in vocabulary if " " in f]
+    like = F.size(F.filter("pairs", lambda p: p.isin(known)))
+    # Pairs are made inside a generator, so no later use of them makes them again.
+    found = paragraphs(df, key, text).filter(F.size("words") > 0).select(
+        "row", "key", "paragraph", "words", F.explode(F.array(pairs(F.col("words")))).alias("pairs")
     )
-    rows = _features(
-        _variants(templates).union(sampled.filter("not calibrates").select(F.lit(UNKNOWN).alias("family"), "words"))
+    shared = F.concat(
+        F.array(F.lit("")), F.array_sort(F.array_distinct(F.filter("words", lambda w: w.isin(singles)))),
+        F.array_sort(F.filter("pairs", lambda p: p.isin(doubles))),
     )
-    rows = stage(rows)
-    vectors = CountVectorizer(inputCol="features", outputCol="vector", binary=True, minDF=2.0).fit(
-        rows.filter(F.col("family") != UNKNOWN)
+    return (
+        found.filter(2 * like < F.greatest(F.size("pairs"), F.lit(1)))
+        .filter(~F.exists("pairs", lambda p: p.isin(titles)))
+        .groupBy((F.pmod(F.xxhash64("key", "row", "paragraph"), F.lit(2)) == 1).alias("calibrates"), shared.alias("features"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def least_probability(scored: DataFrame, passing: int) -> float | None:
+    """The probability that more than ``passing`` rows reach, of those above 0.5, where a row counts ``n`` times."""
+    values = scored.filter("probability > 0.5").groupBy("probability").agg(F.sum("n").alias("n"))
+    reached = running_totals(
+        values, [], [F.desc("probability")], {"reached": F.col("n")}, [F.floor(-F.col("probability") * 1000)]
+    )
+    return reached.filter(F.col("reached") > passing).agg(F.max("probability")).first()[0]
+
+
+def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
+    """Train on the templates and half of all paragraphs, and calibrate on the other half."""
+    variants = stage(_features(_variants(_templates(df.sparkSession))))
+    vectors = CountVectorizer(inputCol="features", outputCol="vector", binary=True, minDF=2.0).fit(variants)
+    unknown = stage(_unknown(df, key, text, vectors.vocabulary))
+    totals = unknown.agg(
+        F.sum(F.when(~F.col("calibrates"), F.col("n"))), F.sum(F.when(F.col("calibrates"), F.col("n")))
+    ).first()
+    share = min(1.0, UNKNOWN_WEIGHT / (totals[0] or 1))
+    rows = variants.select("family", "features", F.lit(1.0).alias("weight")).union(
+        unknown.filter("not calibrates").select(F.lit(UNKNOWN).alias("family"), "features", F.col("n") * share)
     )
     families = sorted([*TEMPLATES, UNKNOWN])
     labels = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     fitted = LogisticRegression(
-        featuresCol="vector", family="multinomial", elasticNetParam=1.0, regParam=1e-3, maxIter=60, standardization=False
-    ).fit(vectors.transform(rows).select("vector", labels.cast("double").alias("label")))
+        featuresCol="vector", weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=1e-3, maxIter=60,
+        standardization=False,
+    ).fit(vectors.transform(rows).select("vector", "weight", labels.cast("double").alias("label")))
     matrix = fitted.coefficientMatrix.toArray()
     # Without unknown rows the class does not occur; it then never wins.
     present = matrix.shape[0]
@@ -267,10 +293,10 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
     ]
     weights.append({"feature": ""} | {f"w{i}": 0.0 for i in range(present)})
     model = Classifier(families[:present], weights, fitted.interceptVector.toArray().tolist(), 0.5)
-    scored = model.probable(sampled.filter("calibrates"), ["row", "paragraph"])
-    passing = int(sampled.filter("calibrates").count() * PASSING)
-    highest = [row["probability"] for row in scored.orderBy(F.desc("probability")).limit(passing + 1).collect()]
-    model.least = max(0.5, highest[passing]) if len(highest) > passing else 0.5
+    scored = model.likeliest(
+        unknown.filter("calibrates").select("features", "n", F.monotonically_increasing_id().alias("vector")), ["vector", "n"]
+    )
+    model.least = least_probability(scored, int((totals[1] or 0) * PASSING)) or 0.5
     return model
 
 
