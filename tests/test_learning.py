@@ -51,6 +51,25 @@ def test_compare_picks_the_better_classifier(points):
     assert best.stages[-1].coefficients.toArray().any() and best.stages[0].getInputCols() == ["x", "y"]
 
 
+def test_trees_take_rows_in_even_tasks(spark, points, monkeypatch):
+    """One large split, and rows that share one key and one vector: tasks stay even and bounded."""
+    monkeypatch.setattr(models, "TASK_ROWS", 50)
+    same = points.coalesce(1).withColumns({"x": F.lit(1.0), "label": F.lit(1)})
+    sizes = models.dealt(same, 600).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 12 and max(r["count"] for r in sizes) <= 55
+    seen, own = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or own(self, df))
+    forest = models.classifiers("label")["random_forest"].setNumTrees(3)
+    model, predictions = models.fitted(points.coalesce(1), ["id"], ["x", "y"], forest, "label")
+    assert seen == [12] and predictions.count() == models.split(points, ["id"])[1].count()
+    assert model.stages[-1].getNumTrees == 3 and models.classification_report(predictions, "label").first()["accuracy"] > 0.9
+
+
+def test_forests_keep_the_node_of_each_row():
+    trees = [models.classifiers("l")["random_forest"], models.regressors("l")["random_forest"]]
+    assert all(t.getCacheNodeIds() and t.getNumTrees() == 100 and t.getMaxDepth() == 10 for t in trees)
+
+
 def test_compare_picks_the_smaller_error(points):
     shared = {"labelCol": "value", "featuresCol": "features"}
     trials = {"flat": LinearRegression(regParam=1e6, **shared), "line": LinearRegression(**shared)}
