@@ -45,14 +45,19 @@ def split(df: DataFrame, keys: list[str], train_tenths: int = 8) -> tuple[DataFr
     return df.filter(side < train_tenths), df.filter(side >= train_tenths)
 
 
+def tasks(df: DataFrame, rows: int) -> int:
+    """Whole rounds of all cores, at most about ``TASK_ROWS`` rows a task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores * max(1, math.ceil(rows / (cores * TASK_ROWS)))
+
+
 def dealt(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, of about ``rows`` rows, dealt in turn to whole rounds of all cores, at most about ``TASK_ROWS`` a task.
+    """``df``, of about ``rows`` rows, dealt in turn to its ``tasks``.
 
     Files of narrow rows are read in few large splits, which are far larger in a tree's memory. Keys play no part, so
     neither a key nor a vector that many rows share fills one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores * max(1, math.ceil(rows / (cores * TASK_ROWS))))
+    return df.repartition(tasks(df, rows))
 
 
 def fit(train: DataFrame, inputs: list[str], estimator: Estimator, rows: int) -> PipelineModel:
@@ -224,39 +229,41 @@ def permutation_importances(
 ) -> DataFrame:
     """How much worse a model scores when one input's values are dealt to other rows: feature, importance, spread.
 
-    Every round and input scores a copy of the rows in which that input comes from another row, and one copy is left as
-    it is; all copies go through the model in one pass. The other row is the next one in an order by a seeded hash of the
+    Every round and input scores a copy of the rows in which that input comes from another row, against the rows as they
+    are; all copies go through the model in one pass. The other row is the next one in an order by a seeded hash of the
     keys, within a hash cell of about ``CELL_ROWS`` rows, so no task sorts all rows and a run can be repeated. The score is the
     accuracy of a classifier or minus the mean squared error of a regression; ``importance`` is the mean loss over the
     rounds, ``spread`` its standard deviation. An input the model does not use loses exactly 0.
     """
     inputs = model.stages[0].getInputCols()
-    cells = F.pmod(F.xxhash64(*keys), F.lit(max(1, test.count() // CELL_ROWS))).alias("_cell")
-    rows = test.select(*keys, label, *inputs, cells)
-    shuffled = rows
+    count = test.count()
+    cells = F.pmod(F.xxhash64(*keys), F.lit(max(1, count // CELL_ROWS))).alias("_cell")
+    kept = [F.col(f"`{n}`") for n in dict.fromkeys([*keys, label, *inputs])]
+    rows = model.transform(test).select(*kept, F.col("prediction").alias("_own"), cells)
+    # By size alone these narrow rows would meet in one task, however much is done with each of them.
+    shuffled = rows.repartition(tasks(rows, count), "_cell")
     for number in range(rounds):
         order = Window.partitionBy("_cell").orderBy(F.xxhash64(F.lit(seed + number), *keys), *keys)
-        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        dealt = F.struct(*[F.col(f"`{n}`").alias(n) for n in inputs])
+        so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+        dealt_out = F.struct(*[F.col(f"`{n}`").alias(n) for n in inputs])
         # The last row of a cell takes the first one's values.
-        shuffled = shuffled.withColumn(f"_r{number}", F.coalesce(F.lead(dealt).over(order), F.first(dealt).over(whole)))
-    own = [F.col(f"`{n}`").alias(n) for n in inputs]
-    copies = [F.struct(F.lit("").alias("_feature"), F.lit(0).alias("_round"), *own)]
+        value = F.coalesce(F.lead(dealt_out).over(order), F.first(dealt_out).over(so_far))
+        shuffled = shuffled.withColumn(f"_r{number}", value)
+    copies = []
     for number in range(rounds):
         for name in inputs:
             taken = [F.col(f"_r{number}")[n].alias(n) if n == name else F.col(f"`{n}`").alias(n) for n in inputs]
             copies.append(F.struct(F.lit(name).alias("_feature"), F.lit(number).alias("_round"), *taken))
-    scored_rows = model.transform(shuffled.select(F.col(label).alias("_label"), F.inline(F.array(*copies))))
-    error = F.col("_label") - F.col("prediction")
-    score = F.avg((error == 0).cast("double")) if classify else -F.avg(error * error)
-    scores = scored_rows.groupBy("_feature", "_round").agg(score.alias("_score"))
-    # One row per input and round from here on.
-    base = F.max(F.when(F.col("_feature") == "", F.col("_score"))).over(Window.partitionBy(F.lit(1)))
-    return (
-        scores.withColumn("_base", base).filter("_feature <> ''")
-        .groupBy(F.col("_feature").alias("feature"))
-        .agg(F.avg(F.col("_base") - F.col("_score")).alias("importance"),
-             F.coalesce(F.stddev_samp(F.col("_base") - F.col("_score")), F.lit(0.0)).alias("spread"))
+    spread = dealt(shuffled, count).select(F.col(label).alias("_label"), "_own", F.inline(F.array(*copies)))
+
+    def score(prediction: str) -> Column:
+        error = F.col("_label") - F.col(prediction)
+        return (error == 0).cast("double") if classify else -error * error
+
+    # Losses are taken row by row, so rows with the same prediction lose exactly 0 in whatever order they are summed.
+    losses = model.transform(spread).groupBy("_feature", "_round").agg(F.avg(score("_own") - score("prediction")).alias("_loss"))
+    return losses.groupBy(F.col("_feature").alias("feature")).agg(
+        F.avg("_loss").alias("importance"), F.coalesce(F.stddev_samp("_loss"), F.lit(0.0)).alias("spread")
     )
 
 

@@ -65,6 +65,20 @@ def test_trees_take_rows_in_even_tasks(spark, points, monkeypatch):
     assert model.stages[-1].getNumTrees == 3 and models.classification_report(predictions, "label").first()["accuracy"] > 0.9
 
 
+def test_permutation_scores_in_even_tasks(points, monkeypatch):
+    """Narrow rows in one split are scored many times each: their copies are made in tasks dealt by rows, not by bytes."""
+    monkeypatch.setattr(models, "TASK_ROWS", 50)
+    monkeypatch.setattr(models, "CELL_ROWS", 100)
+    rows = points.coalesce(1).withColumn("same", F.lit(0.1))
+    inputs = ["x", "y", "same"]
+    model = models.chain(inputs, LinearRegression(labelCol="value", featuresCol="features")).fit(rows)
+    found = models.permutation_importances(model, rows, ["id"], "value")
+    plan = found._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning(12)" in plan and "hashpartitioning(_cell" in plan
+    losses = {r["feature"]: (r["importance"], r["spread"]) for r in found.collect()}
+    assert losses["same"] == (0.0, 0.0) and losses["x"][0] > losses["y"][0] > 1 and losses["x"][1] > 0
+
+
 def test_forests_keep_the_node_of_each_row():
     trees = [models.classifiers("l")["random_forest"], models.regressors("l")["random_forest"]]
     assert all(t.getCacheNodeIds() and t.getNumTrees() == 100 and t.getMaxDepth() == 10 for t in trees)
