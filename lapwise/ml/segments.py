@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -24,16 +23,18 @@ def _silhouette(clustered: DataFrame) -> float:
 
 
 def sweep(df: DataFrame, inputs: list[str], ks: range = range(2, 11)) -> tuple[int, DataFrame]:
-    """Silhouette per k; the best k is the largest. Inputs are assembled and scaled once for all k."""
+    """Silhouette per k; the best k is the largest. Inputs are scaled once for all k; ``df`` should be staged.
+
+    The vectors are not stored: k-means keeps the rows it iterates over itself, but would decode a stored table each time.
+    """
     inputs = present(df, inputs)
     prepared = chain(inputs, kmeans(2)).getStages()
     assembled = prepared[0].transform(finite(df.select(*inputs), inputs))
-    vectors = prepared[1].fit(assembled).transform(assembled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = prepared[1].fit(assembled).transform(assembled).select("features")
     scores = []
     for k in ks:
         model = kmeans(k).fit(vectors)
         scores.append((k, _silhouette(model.transform(vectors)), float(model.summary.trainingCost)))
-    vectors.unpersist()
     table = df.sparkSession.createDataFrame(scores, "k INT, silhouette DOUBLE, cost DOUBLE")
     return max(scores, key=lambda s: s[1])[0], table
 

@@ -79,6 +79,15 @@ def test_permutation_scores_in_even_tasks(points, monkeypatch):
     assert losses["same"] == (0.0, 0.0) and losses["x"][0] > losses["y"][0] > 1 and losses["x"][1] > 0
 
 
+def test_the_sweep_lets_k_means_keep_its_rows(points, monkeypatch):
+    """A table that is stored already makes k-means decode it in every iteration."""
+    kept, own = [], segments.KMeans._fit
+    monkeypatch.setattr(segments.KMeans, "_fit", lambda self, df: kept.append(df.storageLevel.useMemory) or own(self, df))
+    best, scores = segments.sweep(points, ["x", "y", "absent"], range(2, 4))
+    assert kept == [False, False] and best in (2, 3)
+    assert all(r["silhouette"] > 0 and r["cost"] > 0 for r in scores.collect())
+
+
 def test_forests_keep_the_node_of_each_row():
     trees = [models.classifiers("l")["random_forest"], models.regressors("l")["random_forest"]]
     assert all(t.getCacheNodeIds() and t.getNumTrees() == 100 and t.getMaxDepth() == 10 for t in trees)
