@@ -93,6 +93,27 @@ def test_forests_keep_the_node_of_each_row():
     assert all(t.getCacheNodeIds() and t.getNumTrees() == 100 and t.getMaxDepth() == 10 for t in trees)
 
 
+def test_a_large_forest_is_fitted_in_parts_that_vote(points, monkeypatch):
+    monkeypatch.setattr(models, "PART_TREES", 4)
+    fits, plain = [], RandomForestClassifier.fit
+
+    def fit(self, train, params=None):
+        fits.append(plain(self, train, params))
+        return fits[-1]
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    forest = RandomForestClassifier(numTrees=10, maxDepth=4, seed=7, labelCol="label", featuresCol="features")
+    found = models.fitted_forest(points, ["id"], ["x", "y"], forest, "label")
+    assert [part.getNumTrees for part in fits] == [4, 3, 3]
+    assert len({part.toDebugString.partition("\n")[2] for part in fits[1:]}) == 2  # same size, other draws
+    rows = found.select("label", "prediction", "features").collect()
+    assert len(rows) == models.split(points, ["id"])[1].count()
+    for row in rows[:20]:
+        votes = sum(part.predictRaw(row["features"]).toArray() for part in fits)
+        assert row["prediction"] == float(votes.argmax())
+    assert sum(row["prediction"] == row["label"] for row in rows) > 0.9 * len(rows)
+
+
 def test_compare_picks_the_smaller_error(points):
     shared = {"labelCol": "value", "featuresCol": "features"}
     trials = {"flat": LinearRegression(regParam=1e6, **shared), "line": LinearRegression(**shared)}
