@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lapwise import constants as C
 from lapwise.functions import metrics as M
 from lapwise.ml import features, forecast, models, segments
+from lapwise.queries import learning
+from lapwise.sources.binding import Binding
 
 
 @pytest.fixture(scope="module")
@@ -222,6 +224,23 @@ def test_prior_season_uses_last_year_only(rows, values):
     assert got == [(1, 2000, 1, 0.0), (1, 2001, 0, 10.0), (1, 2003, 1, 0.0), (2, 2001, 1, 0.0)]
 
 
+@pytest.mark.parametrize("label", ["is_winner", "is_podium"])
+def test_labels_do_not_join_the_inputs_a_second_time(spark, monkeypatch, label):
+    plans = []
+    monkeypatch.setattr(learning, "stage", lambda df: plans.append(df) or df)
+    b = Binding(spark, "/root/testdata/sf0.001")
+    found = learning._labelled_seasons(b, label)
+    # Laps are read for the numbering, its totals and the years of the trends; a second side would double that.
+    reads = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("event_id#")
+    assert 0 < reads(found) == reads(learning.winners(b))
+    old = learning.winners(b).withColumn("is_podium", (F.col("total_podiums") > 0).cast("int"))
+    keys = [*learning.SEASON_KEY, label]
+    whole = features.prior_season(old, [label], features.WINNER_FEATURES).filter("year > 1995")
+    assert sorted(map(tuple, found.select(keys).collect())) == sorted(map(tuple, whole.select(keys).collect()))
+    sums = lambda df: df.agg(*[F.round(F.sum(n), 3) for n in features.WINNER_FEATURES]).first()
+    assert tuple(sums(found)) == pytest.approx(tuple(sums(whole)))
+
+
 def test_season_features_do_not_multiply_rows(rows):
     stats = rows("driverId INT, constructorId INT, year INT, total_wins INT", (1, 1, 2000, 1), (1, 2, 2000, 0))
     team = rows(
