@@ -4,8 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from lapwise.queries import storage
 from lapwise.sinks import merge
+from lapwise.sources.binding import Binding
 from lapwise.streaming import trailing
 
 T0 = dt.datetime(2024, 1, 1)
@@ -119,3 +122,22 @@ def test_many_partitions_are_rewritten_in_turns(spark, rows, values, tmp_path, m
     merge.upsert_partitions(spark, path, rows(DDL, *moved), ["k"], "year")
     want = sorted(moved + [(i, "o", 2000 + i % 8) for i in range(20, 24)])
     assert sorted(map(tuple, spark.read.parquet(path).select("k", "v", "year").collect())) == want
+
+
+def test_changes_are_dealt_to_files_of_bounded_rows(spark, monkeypatch):
+    """More rows make more files in as many batches, not larger files."""
+    seen = []
+
+    def look(session, source, schema, *rest, files_per_batch, **more):
+        name = F.input_file_name().alias("name")
+        sizes = [r["count"] for r in session.read.parquet(source).groupBy(name).count().collect()]
+        seen.append((len(sizes), max(sizes), sum(sizes), files_per_batch))
+
+    monkeypatch.setattr(storage, "FILE_ROWS", 500, raising=False)
+    monkeypatch.setattr(storage.incremental, "stream_upsert", look)
+    b = Binding(spark, "/root/testdata/sf0.001")
+    storage._streamed(b)
+    rows = b.given("lineitem").count()
+    per_batch = -(-rows // 1500)
+    files, largest, total, taken = seen[0]
+    assert (files, total, taken) == (3 * per_batch, rows, per_batch) and largest <= 550
