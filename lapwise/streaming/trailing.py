@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SIZE = 5
 OUTPUT = "driverId LONG, raceId LONG, lap INT, milliseconds LONG, recent DOUBLE"
+KINDS = [("driverId", "int64"), ("raceId", "int64"), ("lap", "int32"), ("milliseconds", "int64"), ("recent", "float64")]
 # Waiting laps, laps that left last (oldest first), the last lap that left, and the latest event time in milliseconds.
 STATE = (
     "waiting ARRAY<STRUCT<race: LONG, lap: LONG, at: LONG, ms: LONG>>, recent ARRAY<LONG>, race LONG, lap LONG, latest LONG"
@@ -54,9 +56,7 @@ def trailing_means(laps: DataFrame, size: int = SIZE, delay: str = "1 hour", idl
         waiting = [tuple(row) for row in waiting]
         recent, fresh = list(recent), []
         for batch in batches:
-            at = batch["at_ms"].astype("int64")
-            fresh += list(zip(*(batch[n].astype("int64").tolist() for n in ("raceId", "lap")), at.tolist(),
-                              batch["milliseconds"].astype("int64").tolist()))
+            fresh += zip(*(batch[n].to_numpy("int64").tolist() for n in ("raceId", "lap", "at_ms", "milliseconds")))
         latest = max([latest, *(row[2] for row in fresh)])
         waiting = admitted(waiting, fresh, (race, lap))
         watermark = state.getCurrentWatermarkMs()
@@ -73,9 +73,9 @@ def trailing_means(laps: DataFrame, size: int = SIZE, delay: str = "1 hour", idl
             state.update((waiting, recent, race, lap, latest))
             wake = min(row[2] for row in waiting) if waiting else latest + idle_ms
             state.setTimeoutTimestamp(max(wake, watermark) + 1)
-        yield pd.DataFrame(out, columns=["driverId", "raceId", "lap", "milliseconds", "recent"]).astype(
-            {"driverId": "int64", "raceId": "int64", "lap": "int32", "milliseconds": "int64", "recent": "float64"}
-        )
+        # Most calls come for drivers whose laps still wait: no frame is made for them.
+        if out:
+            yield pd.DataFrame({name: np.array(column, kind) for (name, kind), column in zip(KINDS, zip(*out))})
 
     timed = (
         laps.dropna(subset=["driverId", "raceId", "lap", "milliseconds", "at"])

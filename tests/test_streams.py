@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +142,30 @@ def test_changes_are_dealt_to_files_of_bounded_rows(spark, monkeypatch):
     per_batch = -(-rows // 1500)
     files, largest, total, taken = seen[0]
     assert (files, total, taken) == (3 * per_batch, rows, per_batch) and largest <= 550
+
+
+def test_no_frame_is_made_for_laps_that_wait(spark, rows, monkeypatch):
+    laps = rows(LAPS, lap(1, 1, 1, 10, 0))
+    monkeypatch.setattr(type(laps.groupBy("lap")), "applyInPandasWithState", lambda _, step, *more: step)
+    step = trailing.trailing_means(laps)
+
+    class State:
+        exists, watermark, kept = False, 0, None
+
+        def getCurrentWatermarkMs(self):
+            return self.watermark
+
+        def setTimeoutTimestamp(self, at):
+            pass
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    state = State()
+    batch = pd.DataFrame({"raceId": [1, 1], "lap": [2, 1], "milliseconds": [30, 10], "at_ms": [7, 5]})
+    assert list(step((1,), iter([batch]), state)) == []
+    state.watermark = 8
+    (out,) = step((1,), iter([]), state)
+    assert out.drop(columns="recent").values.tolist() == [[1, 1, 1, 10], [1, 1, 2, 30]]
+    assert out["recent"].isna().tolist() == [True, False] and out["recent"][1] == 10.0
+    assert list(map(str, out.dtypes)) == ["int64", "int64", "int32", "int64", "float64"]
