@@ -15,7 +15,8 @@ from lapwise.ml.models import SEED, chain
 
 
 def kmeans(k: int) -> KMeans:
-    return KMeans(k=k, maxIter=100, seed=SEED, initMode="k-means||", featuresCol="features")
+    # The solver is named: to choose one, Spark would read all rows once more.
+    return KMeans(k=k, maxIter=100, seed=SEED, initMode="k-means||", featuresCol="features", solver="row")
 
 
 def _silhouette(clustered: DataFrame) -> float:
@@ -56,6 +57,10 @@ def centers(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "prediction INT, feature STRING, center DOUBLE")
 
 
+# What a profile reads of the rows.
+PROFILED = ["total_wins", "total_points", "win_rate", "consistency_score", "finish_rate", "points_per_race"]
+
+
 def profile(clustered: DataFrame, by: str = "prediction") -> DataFrame:
     """Size, share and mean measures per cluster. The share divides by a scalar subquery over the few clusters."""
     means = clustered.groupBy(by).agg(
@@ -81,12 +86,18 @@ def labelled(profiles: DataFrame) -> DataFrame:
     return profiles.withColumn("cluster_label", segment_label(F.col("avg_win_rate"), F.col("avg_consistency")))
 
 
+# What a segment table tells of the rows besides their cluster.
+DESCRIBED = [
+    "driverId", "forename", "surname", "nationality", "year", "total_races", "total_wins", "total_points", "win_rate",
+    "consistency_score", "finish_rate",
+]
+
+
 def segment_table(clustered: DataFrame, profiles: DataFrame, by: str = "prediction") -> DataFrame:
     """Drivers with the label of their cluster; the label side has one row per cluster."""
     labels = labelled(profiles).select(by, "cluster_label")
     return clustered.join(labels, by).select(
-        "driverId", "forename", "surname", "nationality", "year", by, "cluster_label", "total_races", "total_wins",
-        "total_points", "win_rate", "consistency_score", "finish_rate",
+        *DESCRIBED[:5], by, "cluster_label", *DESCRIBED[5:],
     )
 
 

@@ -7,7 +7,7 @@ are joined to the aggregated rows instead of to the facts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.functions import metrics as M
@@ -15,8 +15,8 @@ from lapwise.operators.maintenance import Stored
 from lapwise.operators.running import row_numbers
 
 
-def season_partials(facts: DataFrame) -> DataFrame:
-    """Mergeable sums per driver, constructor and year.
+def season_partials(facts: DataFrame, *more: Column) -> DataFrame:
+    """Mergeable sums per driver, constructor and year, with ``more`` of the kind.
 
     ``fastest_laps`` counts rows whose ``fastestLap`` equals 1, the definition given for it.
     """
@@ -33,6 +33,40 @@ def season_partials(facts: DataFrame) -> DataFrame:
         F.count(finished).alias("finishes"),
         F.sum(finished).alias("finish_sum"),
         F.sum(finished * finished).alias("finish_squares"),
+        *more,
+    )
+
+
+def best_slots(qualifying: DataFrame) -> DataFrame:
+    """A driver has one grid slot per race, the best one."""
+    return qualifying.groupBy("raceId", "driverId").agg(F.min("position").alias("qualifying_position"))
+
+
+GRID_SUMS = ["grid_rows", "grid_slots", "grid_sum", "grid_places", "grid_place_sum", "grid_score"]
+
+
+def grid_partials(facts: DataFrame, qualifying: DataFrame) -> DataFrame:
+    """``season_partials`` with the sums that ``grid_means`` divides, so results are read once for both."""
+    grid = best_slots(qualifying).withColumn("_on_grid", F.lit(True))
+    start, there = F.col("qualifying_position"), F.col("_on_grid")
+    place = F.when(there, F.col("position"))
+    sums = [
+        F.count(there), F.count(start), F.sum(start), F.count(place), F.sum(place),
+        F.sum(F.when(there, M.qualifying_score(start))),
+    ]
+    joined = facts.join(grid, ["raceId", "driverId"], "left")
+    return season_partials(joined, *[value.alias(name) for name, value in zip(GRID_SUMS, sums)])
+
+
+def grid_means(partials: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFrame:
+    """Means of ``qualifying_vs_race`` per driver and year, from ``grid_partials``."""
+    known = partials.join(drivers.select("driverId"), "driverId").join(constructors.select("constructorId"), "constructorId")
+    sums = known.groupBy("driverId", "year").agg(*[F.sum(name).alias(name) for name in GRID_SUMS])
+    return sums.filter("grid_rows > 0").select(
+        "driverId", "year",
+        M.ratio(F.col("grid_sum"), F.col("grid_slots")).alias("qualifying_position"),
+        M.ratio(F.col("grid_place_sum"), F.col("grid_places")).alias("race_position"),
+        M.ratio(F.col("grid_score"), F.col("grid_rows")).alias("qualifying_performance_score"),
     )
 
 
@@ -205,26 +239,40 @@ def lap_time_trends(lap_times: DataFrame, races: DataFrame, teams: DataFrame) ->
     )
 
 
-def pit_stop_efficiency(pit_analysis: DataFrame, constructors: DataFrame) -> DataFrame:
-    per_race = pit_analysis.groupBy("raceId", "year", "driverId", "constructorId").agg(
+def stop_times(pit_analysis: DataFrame, *keys: str) -> DataFrame:
+    return pit_analysis.groupBy(*keys).agg(
         F.count("stop").alias("total_pit_stops"),
         F.min("milliseconds").alias("fastest_pit_time"),
         F.max("milliseconds").alias("slowest_pit_time"),
         F.avg("milliseconds").alias("average_pit_time"),
         F.sum("milliseconds").alias("total_pit_time"),
     )
+
+
+def stop_efficiency() -> Column:
+    return M.ratio(F.lit(10000), F.col("average_pit_time"))
+
+
+def pit_stop_efficiency(pit_analysis: DataFrame, constructors: DataFrame) -> DataFrame:
+    per_race = stop_times(pit_analysis, "raceId", "year", "driverId", "constructorId")
     spread = F.col("slowest_pit_time") - F.col("fastest_pit_time")
     return per_race.join(
         constructors.select("constructorId", "constructorName"), "constructorId", "left"
     ).withColumns(
         {
-            "pit_efficiency_score": M.ratio(F.lit(10000), F.col("average_pit_time")),
+            "pit_efficiency_score": stop_efficiency(),
             "pit_consistency": 1 - M.ratio(spread, F.col("average_pit_time")),
             "time_lost_in_pits": F.col("total_pit_time") / 1000.0,
         }
     )
 
 
+def race_pit_scores(pit_analysis: DataFrame) -> DataFrame:
+    """Pit efficiency per race and driver without its team: a driver has one team in a race, so the rows are the same."""
+    per_race = stop_times(pit_analysis, "raceId", "year", "driverId")
+    return per_race.withColumn("pit_efficiency_score", stop_efficiency())
+
+
 def race_pace_analysis(performance: DataFrame, lap_times: DataFrame) -> DataFrame:
     """Pace of every result. Laps are aggregated before the join: repeats on the left leave means and extremes
     unchanged, and the join then carries one row per race and driver instead of one per lap."""
@@ -245,7 +293,7 @@ def race_pace_analysis(performance: DataFrame, lap_times: DataFrame) -> DataFram
 def qualifying_vs_race(qualifying: DataFrame, performance: DataFrame) -> DataFrame:
     """Grid against finish. A driver has one grid slot per race, so qualifying is cut to the best slot first:
     the join can then never multiply repeated rows of both sides."""
-    grid = qualifying.groupBy("raceId", "driverId").agg(F.min("position").alias("qualifying_position"))
+    grid = best_slots(qualifying)
     race = performance.select(
         "raceId", "driverId", "year", "constructorId", F.col("position").alias("race_position"),
         "forename", "surname", "nationality", "constructorName", "constructorNationality",
