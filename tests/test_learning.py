@@ -82,6 +82,11 @@ def test_permutation_scores_in_even_tasks(points, monkeypatch):
     assert losses["same"] == (0.0, 0.0) and losses["x"][0] > losses["y"][0] > 1 and losses["x"][1] > 0
 
 
+def test_copied_rows_take_smaller_tasks_than_trees(points):
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    assert models.tasks(points, 5 * cores * 200_000) == cores < models.tasks(points, 5 * cores * 200_000, models.COPIED_ROWS) == 5 * cores
+
+
 def test_the_sweep_lets_k_means_keep_its_rows(points, monkeypatch):
     """A table that is stored already makes k-means decode it in every iteration."""
     kept, own = [], segments.KMeans._fit
